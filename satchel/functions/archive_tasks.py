@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import io
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
@@ -25,6 +25,13 @@ TALLY_COLUMNS = {
     "error_class": pa.string(), "error_message": pa.string(),
 }
 NO_ENTRY = (None,) * len(ENTRY_COLUMNS)
+DATA_AT = list(ENTRY_COLUMNS).index("data")
+SNIFF_LIMIT = 2**30
+READ_AHEAD_BYTES = 2**20
+
+# Types a file can have without any magic bytes; only markup begins with a tag.
+UNMARKED_TYPES = frozenset({"text/plain", "application/octet-stream"})
+MARKUP_TYPES = frozenset(mime for mime, _ in magic.TEXT_EXTENSIONS) - UNMARKED_TYPES
 
 
 class UnpackOptions(NamedTuple):
@@ -100,31 +107,42 @@ def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
 
 
 def unpack_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
+    """Parent and child rows for archives held in ``_content``; NULL there gives a bare parent row."""
     for batch in batches:
         content = batch.column("_content")
-        kept = batch.drop_columns(["_content"])
-        picked: list[int] = []
-        rows: list[tuple] = []
-        pending = 0
-        for i in range(batch.num_rows):
+
+        def produce(i: int) -> Iterator[tuple]:
             if content[i].is_valid:
-                produced = archive_rows(io.BytesIO(content[i].as_py()), options)
-            else:
-                produced = iter([NO_ENTRY + Tally(options).row()])
-            for row in produced:
-                picked.append(i)
-                rows.append(row)
-                pending += len(row[9] or b"")
-                if pending >= FLUSH_BYTES or len(rows) >= FLUSH_ROWS:
-                    yield output_batch(kept, picked, rows)
-                    picked, rows, pending = [], [], 0
-        if rows:
-            yield output_batch(kept, picked, rows)
-
-
-def output_batch(kept: pa.RecordBatch, picked: list[int], rows: list[tuple]) -> pa.RecordBatch:
+                return archive_rows(io.BytesIO(content[i].as_py()), options)
+            return iter([NO_ENTRY + Tally(options).row()])
+
+        yield from bounded_batches(batch.drop_columns(["_content"]), produce, ENTRY_COLUMNS | TALLY_COLUMNS)
+
+
+def bounded_batches(
+    kept: pa.RecordBatch, produce: Callable[[int], Iterator[tuple]], kinds: dict[str, pa.DataType]
+) -> Iterator[pa.RecordBatch]:
+    """The rows produced for each input row behind its carried columns, never many bytes in one batch."""
+    picked: list[int] = []
+    rows: list[tuple] = []
+    pending = 0
+    for i in range(kept.num_rows):
+        for row in produce(i):
+            size = len(row[DATA_AT] or b"")
+            if rows and (pending + size > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
+                yield output_batch(kept, picked, rows, kinds)
+                picked, rows, pending = [], [], 0
+            picked.append(i)
+            rows.append(row)
+            pending += size
+    if rows:
+        yield output_batch(kept, picked, rows, kinds)
+
+
+def output_batch(
+    kept: pa.RecordBatch, picked: list[int], rows: list[tuple], kinds: dict[str, pa.DataType]
+) -> pa.RecordBatch:
     carried = kept.take(pa.array(picked, pa.int64()))
-    kinds = ENTRY_COLUMNS | TALLY_COLUMNS
     added = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds.values())]
     return pa.RecordBatch.from_arrays(carried.columns + added, names=carried.schema.names + list(kinds))
 
@@ -136,23 +154,38 @@ class SearchOptions(NamedTuple):
 
 
 def sniff_entries(content: bytes, options: SearchOptions) -> tuple[list[bytes], walker.WalkError | None]:
-    """The type-telling bytes of each file in order.
+    """The type-telling bytes of those files, in order, that can be the first match.
 
-    The walk ends early at a file whose magic bytes alone already give a type searched for: the first match cannot lie
-    behind it.
+    Left out is what cannot be: a type already seen, and a file without magic bytes when no such type is searched for.
+    The walk ends at a file whose magic bytes alone give a type searched for: the first match cannot lie behind it.
     """
     def sub_failed(exc: walker.WalkError) -> None:
         if options.fail_on_sub_error:
             raise exc
 
     wanted = walker.WalkOptions(options.recursive, lambda size: True, sub_failed, lambda: False, sniff=True)
+    any_unmarked = bool(options.stop_at & UNMARKED_TYPES)
+    any_markup = bool(options.stop_at & MARKUP_TYPES)
     sniffs: list[bytes] = []
+    seen: set[str] = set()
+    held = 0
     try:
         for entry in walker.walk(io.BytesIO(content), wanted):
-            sniffs.append(entry.data)
             mime = magic.magic_type(entry.data)
+            if mime in seen:
+                continue
+            if mime is None:
+                tagged = entry.data.lstrip(b"\xef\xbb\xbf \t\r\n\x0b\x0c").startswith(b"<")
+                if not (any_unmarked or (any_markup and tagged)):
+                    continue
+            else:
+                seen.add(mime)
+            sniffs.append(magic.telling_bytes(entry.data))
+            held += len(sniffs[-1])
             if mime is not None and mime.split(";")[0] in options.stop_at:
                 break
+            if held > SNIFF_LIMIT:
+                raise walker.BudgetError("SIZE_BUDGET", "the archive holds more files than one row can describe")
     except Exception as exc:
         return sniffs, walker.as_walk_error(exc)
     return sniffs, None
@@ -179,6 +212,85 @@ def search_batches(batches: Iterable[pa.RecordBatch], options: SearchOptions) ->
                 start, pending, sniffs, errors = i + 1, 0, [], []
 
 
+HEAD_COLUMNS = {"_head": pa.binary()}
+
+
+class RemoteFile(io.RawIOBase):
+    """An Arrow file as Python's readers expect one; a seek before the beginning is an ``OSError`` to them."""
+
+    def __init__(self, file: pa.NativeFile):
+        self._file = file
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        return self._file.readinto(buffer)
+
+    def tell(self) -> int:
+        return self._file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        start = (0, self._file.tell(), self._file.size())[whence]
+        if start + offset < 0:
+            raise OSError("seek before the beginning of the file")
+        return self._file.seek(start + offset)
+
+    def close(self) -> None:
+        self._file.close()
+        super().close()
+
+
+def remote_source(path: str) -> BinaryIO:
+    """A seekable file on whatever filesystem the path names, so an archive may be larger than a row can hold."""
+    from pyarrow import fs
+
+    uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+    filesystem, inner = fs.FileSystem.from_uri(uri)
+    return io.BufferedReader(RemoteFile(filesystem.open_input_file(inner)), READ_AHEAD_BYTES)
+
+
+def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
+    """Walks the archives at ``_path`` to their end without keeping their files: totals, verdict and type-telling bytes."""
+    for batch in batches:
+        rows = []
+        for path in batch.column("_path").to_pylist():
+            tally, head = Tally(options), None
+            try:
+                with remote_source(path) as source:
+                    head = magic.telling_bytes(walker.zip_sample(source))
+                    source.seek(0)
+                    for _ in tally.entries(source):
+                        pass
+            except Exception as exc:
+                tally.error = walker.as_walk_error(exc)
+            rows.append(tally.row() + (head,))
+        yield output_batch(batch, list(range(batch.num_rows)), rows, TALLY_COLUMNS | HEAD_COLUMNS)
+
+
+def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
+    """Every ``_parts``-th file of the archive at ``_path``, beginning with ``_part``; part 0 also gives the parent row."""
+    for batch in batches:
+        path, part, parts, good = (batch.column(c).to_pylist() for c in ("_path", "_part", "_parts", "_good"))
+
+        def produce(i: int) -> Iterator[tuple]:
+            if part[i] == 0:
+                yield NO_ENTRY
+            if good[i]:
+                with remote_source(path[i]) as source:
+                    tally = Tally(options)
+                    for pos, entry in tally.entries(source, part[i], parts[i]):
+                        yield (pos, *entry)
+                    if tally.error is not None:
+                        # it was whole a moment ago: let Spark try the task again
+                        raise tally.error
+
+        yield from bounded_batches(batch.drop_columns(["_path", "_part", "_parts", "_good"]), produce, ENTRY_COLUMNS)
+
+
 # the reading code travels with the tasks, so executors need no installed copy of this package
 for _module in ("satchel.functions.magic", "satchel.functions.walker", __name__):
     cloudpickle.register_pickle_by_value(sys.modules[_module])

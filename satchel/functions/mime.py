@@ -14,12 +14,11 @@ from satchel.functions.magic import (
     RULES,
     TEXT_EXTENSIONS,
     TEXT_PLAIN,
+    TEXT_WINDOW,
     UNREADABLE_ARCHIVE_TYPES,
     Rule,
 )
 
-TEXT_WINDOW = 512
-
 
 def _holds(content: str, rule: Rule) -> str:
     tests = [f"substring({content}, {offset + 1}, {len(magic) // 2}) = X'{magic}'" for offset, magic in rule.parts]

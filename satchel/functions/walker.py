@@ -89,13 +89,31 @@ def zip_members(source: BinaryIO) -> Iterator[Member]:
         yield Member(info.filename, info.file_size, info.is_dir(), None, None, None, None, reader)
 
 
+class StrictTarInfo(tarfile.TarInfo):
+    """Reports a header that is cut off or damaged, where the standard reader takes it for the end of the archive."""
+
+    @classmethod
+    def fromtarfile(cls, archive: tarfile.TarFile) -> tarfile.TarInfo:
+        try:
+            return super().fromtarfile(archive)
+        except (tarfile.InvalidHeaderError, tarfile.TruncatedHeaderError) as exc:
+            raise tarfile.ReadError(str(exc)) from exc
+
+
 def open_tar_member(archive: tarfile.TarFile, info: tarfile.TarInfo) -> BinaryIO:
     # links and devices carry no bytes of their own and must not be followed
-    return archive.extractfile(info) if info.isreg() else io.BytesIO()
+    if not info.isreg():
+        return io.BytesIO()
+    if isinstance(archive.fileobj, io.BytesIO) and not info.issparse():
+        data = archive.fileobj.getbuffer()[info.offset_data : info.offset_data + info.size]
+        if len(data) < info.size:
+            raise tarfile.ReadError("unexpected end of data")
+        return io.BytesIO(data)
+    return archive.extractfile(info)
 
 
 def tar_members(source: BinaryIO) -> Iterator[Member]:
-    archive = tarfile.open(fileobj=source, mode="r:*")
+    archive = tarfile.open(fileobj=source, mode="r:*", tarinfo=StrictTarInfo)
     for info in archive:
         size = info.size if info.isreg() else 0
         reader = partial(open_tar_member, archive, info)
@@ -117,8 +135,9 @@ def zip_sample(source: BinaryIO) -> bytes:
     if isinstance(source, io.BytesIO):
         return source.getvalue()
     source.seek(0)
-    head = source.read(SNIFF_BYTES)
-    source.seek(max(0, source.seek(0, io.SEEK_END) - DIRECTORY_BYTES))
+    head = source.read(DIRECTORY_BYTES)
+    rest = source.seek(0, io.SEEK_END) - len(head)
+    source.seek(-min(rest, DIRECTORY_BYTES), io.SEEK_END)
     return head + source.read(DIRECTORY_BYTES)
 
 
@@ -142,7 +161,7 @@ def read_entry(member: Member, options: WalkOptions) -> tuple[bytes | None, bool
     with member.open() as stream:
         data = stream.read(SNIFF_BYTES)
         # zip containers and compressed tars are told apart by more than their head
-        if magic.magic_type(data) in magic.TAR_STREAM_TYPES or data.startswith(b"PK"):
+        if data.startswith(magic.CONTAINER_HEADS):
             data += stream.read(MAX_CELL_BYTES)
         if options.recursive:
             if member_reader(data[:SNIFF_BYTES], io.BytesIO(data)) is not None:

@@ -51,6 +51,45 @@ def unpack(
     return _routed(rows, id_col, filename_col, recursive, fail_on_nothing, non_archive_to_failure)
 
 
+def unpack_large(
+    archives: DataFrame,
+    path_col: str = "source_path",
+    id_col: str = "file_id",
+    filename_col: str = "filename",
+    *,
+    recursive: bool = False,
+    budget: str | int = -1,
+    fail_on_breach: bool = True,
+    fail_on_sub_error: bool = True,
+    fail_on_nothing: bool = True,
+    non_archive_to_failure: bool = False,
+    part_bytes: str | int = "256 MB",
+) -> DataFrame:
+    """``unpack`` for archives of any size, read from where they lie instead of from a content column.
+
+    A first pass walks each archive to its verdict and keeps nothing.  An archive is then as many rows as it has parts
+    of ``part_bytes``, spread over the cluster, and each part reads only its own files: one archive that makes up a
+    third of the data is many tasks.  The executors must reach the paths.
+    """
+    options = archive_tasks.UnpackOptions(recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error)
+    carried = T.StructType([f for f in archives.schema.fields if f.name not in (path_col, "content")])
+    staged = archives.select(*carried.names, F.col(path_col).alias("_path"))
+    tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + [T.StructField("_head", T.BinaryType())])
+    tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options), tallied_schema)
+
+    good = F.col("error_class").isNull() & (F.col("n_unpacked") > 0)
+    parts = F.greatest(F.lit(1), F.ceil(F.col("unpack_bytes") / columns.size_option(part_bytes))).cast("int")
+    split = (
+        schema.with_computed(tallied, archive_mime_type=mime.clean(mime.detect("_head")), _good=good, _parts=F.when(good, parts).otherwise(1))
+        .drop("_head")
+        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        .repartition("_path", "_part")
+    )
+    out_fields = [f for f in split.schema.fields if f.name not in ("_path", "_part", "_parts", "_good")]
+    rows = split.mapInArrow(lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + ENTRY_FIELDS))
+    return _routed(rows, id_col, filename_col, recursive, fail_on_nothing, non_archive_to_failure)
+
+
 def _routed(
     rows: DataFrame, id_col: str, filename_col: str, recursive: bool, fail_on_nothing: bool, non_archive_to_failure: bool
 ) -> DataFrame:

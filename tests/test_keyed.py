@@ -1,0 +1,84 @@
+import datetime as dt
+import random
+
+from pyspark.sql import functions as F
+
+from satchel.operators import keyed
+from tests.conftest import plan_of
+
+
+def store_of(spark, *keys):
+    return spark.createDataFrame([(k, b"v") for k in keys], "key string, value binary")
+
+
+def requests_of(spark, *keys):
+    return spark.createDataFrame(list(enumerate(keys)), "request_id long, key string")
+
+
+def routes(df):
+    return [r.route for r in df.orderBy("request_id").collect()]
+
+
+def test_one_key(spark):
+    routed = keyed.route_deletes(requests_of(spark, "thekey"), store_of(spark, "thekey"))
+    assert routes(routed) == ["success"]
+    assert keyed.survivors(store_of(spark, "thekey"), requests_of(spark, "thekey")).count() == 0
+
+
+def test_routes_blanks_and_repeats(spark):
+    requests = requests_of(spark, "a", "b", None, "", " \t\n", " ", "a", "zz", "b", " a")
+    routed = keyed.route_deletes(requests, store_of(spark, "a", "b", "c", "  "))
+    assert routes(routed) == ["success", "success"] + ["failure"] * 4 + ["not-found"] * 4
+    failed = routed.filter("route = 'failure'").collect()
+    assert all(r.penalized and r.error["class"] == "BLANK_KEY" for r in failed)
+    assert routed.filter("route <> 'failure' AND (penalized OR error IS NOT NULL)").count() == 0
+
+
+def test_survivors(spark):
+    left = keyed.survivors(store_of(spark, "a", "b", "c"), requests_of(spark, "a", "a", None, " ", "zz"))
+    assert sorted(r.key for r in left.collect()) == ["b", "c"]
+
+
+def test_key_expression(spark):
+    requests = spark.createDataFrame([(0, "x", 1), (1, None, 2)], "request_id long, a string, b int")
+    for key in ("concat(a, ':', b)", F.concat("a", F.lit(":"), "b")):
+        routed = keyed.route_deletes(keyed.with_key(requests, key), store_of(spark, "x:1"))
+        assert routes(routed) == ["success", "failure"]
+
+
+def log_of(spark, rows):
+    return spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, k string, op string")
+
+
+def brute_force(rows):
+    stored, expected = set(), {}
+    for event_id, _, key, op in sorted(rows, key=lambda r: (r[1], r[0])):
+        if op == "put":
+            stored.add(key)
+        elif op == "del":
+            expected[event_id] = "success" if key in stored else "not-found"
+            stored.discard(key)
+    return expected
+
+
+def random_log(n, hot=0.4, seed=5):
+    rng = random.Random(seed)
+    start = dt.datetime(2024, 1, 1)
+    return [
+        (i, start + dt.timedelta(minutes=rng.randrange(5000)), "hot" if rng.random() < hot else f"k{rng.randrange(20)}", rng.choice(["put", "del", "get"]))
+        for i in range(n)
+    ]
+
+
+def test_replay_with_a_hot_key(spark):
+    rows = random_log(2000)
+    for span in ("10 minutes", "1 hour", "30 days"):
+        got = keyed.replay(log_of(spark, rows), "k", "ts", "event_id", "op", "put", "del", span=span)
+        assert {r.event_id: r.route for r in got.collect()} == brute_force(rows)
+
+
+def test_no_window_over_whole_keys_and_no_cross_join(spark):
+    plan = plan_of(keyed.route_deletes(requests_of(spark, "a"), store_of(spark, "a")))
+    assert "Window" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    replay = plan_of(keyed.replay(log_of(spark, random_log(5)), "k", "ts", "event_id", "op", "put", "del"))
+    assert "NestedLoop" not in replay and "Cartesian" not in replay

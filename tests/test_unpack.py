@@ -1,0 +1,262 @@
+import bz2
+import gzip
+
+import pytest
+from pyspark.sql import functions as F
+
+from satchel.functions import archive_tasks, columns
+from satchel.operators import unpack
+from satchel.sources import files
+from tests.conftest import plan_of, tar_of, zip_of
+
+
+def run(df, **options):
+    rows = unpack.unpack(df, **options)
+    parents = {r.file_id: r for r in unpack.parents(rows).collect()}
+    children = sorted(unpack.children(rows).collect(), key=lambda r: (r.parent_id, r.fragment_index))
+    return parents, children
+
+
+def names(children):
+    return [r.entry_name for r in children]
+
+
+def zip_inside_zip():
+    return zip_of([("inner.zip", zip_of([("in.txt", "inner text")])), ("out.txt", "outer text")])
+
+
+def test_recursive_unpack(make_files):
+    parents, children = run(make_files(("zz", "zip_inside_zip", zip_inside_zip())), recursive=True)
+    assert len(children) == 2 and {c.route for c in children} == {"success"}
+    assert (parents["zz"].route, parents["zz"].fragment_count, parents["zz"].unpack_bytes) == ("original", 2, 20)
+    assert [(c.entry_name, c.depth, c.container, bytes(c.content)) for c in children] == [
+        ("out.txt", 0, "", b"outer text"), ("in.txt", 1, "inner.zip/", b"inner text"),
+    ]
+    assert {c.mime_type for c in children} == {"text/plain"}
+    assert {c.segment_original_filename for c in children} == {"zip_inside_zip"}
+
+
+def test_flat_unpack_gives_the_inner_archive(make_files):
+    _, children = run(make_files(("zz", zip_inside_zip())))
+    assert names(children) == ["inner.zip", "out.txt"]
+    assert {c.mime_type for c in children} == {"application/octet-stream"}
+
+
+@pytest.mark.parametrize("kind", ["w", "w:gz", "w:bz2", "w:xz"])
+def test_tars(make_files, kind):
+    data = tar_of([("d/", b""), ("d/a.txt", b"A"), ("b.txt", b"BB")], kind, uname="me", gname="us", mode=0o751, mtime=1704067200)
+    parents, children = run(make_files(("t", data)))
+    assert [(c.entry_name, bytes(c.content)) for c in children] == [("d/a.txt", b"A"), ("b.txt", b"BB")]
+    first = children[0]
+    assert (first.owner, first.grp, first.permissions) == ("me", "us", "rwxr-x--x")
+    assert first.last_modified_time == first.creation_time == "2024-01-01T00:00:00+0000"
+    assert parents["t"].error is None
+
+
+def test_nested_compressed_tars(make_files):
+    inner = {kind: tar_of([(f"{kind[-2:]}.txt", kind.encode())], kind) for kind in ("w:gz", "w:bz2", "w:xz")}
+    outer = zip_of([(kind[-3:], data) for kind, data in inner.items()] + [("lone.gz", gzip.compress(b"no tar"))])
+    _, children = run(make_files(("o", outer)), recursive=True)
+    assert names(children) == ["lone.gz", "gz.txt", "z2.txt", "xz.txt"]
+
+
+def test_zip_has_no_owner_or_times(make_files):
+    _, (child,) = run(make_files(("z", zip_of([("a", "x")]))))
+    assert (child.owner, child.grp, child.permissions, child.last_modified_time) == (None,) * 4
+
+
+@pytest.mark.parametrize(
+    "content, error",
+    [(b"Hello World", "NOT_AN_ARCHIVE"), (gzip.compress(b"text"), "NOT_AN_ARCHIVE"), (bz2.compress(b"t"), "NOT_AN_ARCHIVE"),
+     (bytes.fromhex("377ABCAF271C") + b"x", "UNSUPPORTED"), (b"", "NOT_AN_ARCHIVE")],
+)
+def test_non_archives(make_files, content, error):
+    for to_failure, route in ((False, "original"), (True, "failure")):
+        parents, children = run(make_files(("f", content)), non_archive_to_failure=to_failure)
+        assert children == []
+        parent = parents["f"]
+        assert (parent.route, parent.error["class"], parent.unpack_bytes, parent.threshold_breached) == (route, error, 0, False)
+        assert parent.fragment_id is None
+
+
+def sized(*sizes):
+    return zip_of([(f"f{i}", b"x" * n) for i, n in enumerate(sizes)])
+
+
+def test_budget_is_greedy_and_allows_equality(make_files):
+    df = make_files(("g", sized(30, 30, 30, 10)), ("eq", sized(40, 40)))
+    parents, children = run(df, budget="80 B", fail_on_breach=False)
+    assert [(c.parent_id, c.entry_name, c.fragment_index) for c in children] == [
+        ("eq", "f0", 1), ("eq", "f1", 2), ("g", "f0", 1), ("g", "f1", 2), ("g", "f3", 3),
+    ]
+    assert (parents["g"].unpack_bytes, parents["g"].threshold_breached, parents["g"].route) == (70, True, "original")
+    assert (parents["eq"].unpack_bytes, parents["eq"].threshold_breached) == (80, False)
+
+
+def test_budget_failure_gives_no_files_but_totals(make_files):
+    parents, children = run(make_files(("g", sized(30, 30, 30, 10))), budget=80)
+    assert children == []
+    parent = parents["g"]
+    assert (parent.route, parent.error["class"], parent.unpack_bytes, parent.threshold_breached) == ("failure", "SIZE_BUDGET", 60, True)
+    assert parent.fragment_count == 2
+
+
+def test_no_budget(make_files):
+    _, children = run(make_files(("g", sized(30, 30))), budget="-1")
+    assert len(children) == 2
+
+
+@pytest.mark.parametrize("budget", ["", "80", "80 XB", "MB", -2])
+def test_bad_budget(make_files, budget):
+    with pytest.raises(ValueError):
+        unpack.unpack(make_files(("g", b"")), budget=budget)
+
+
+def test_nested_archive_is_tested_against_the_budget_but_not_added(make_files):
+    inner = zip_of([("in", b"y" * 50)], stored=True)
+    outer = zip_of([("inner.zip", inner), ("own", b"x" * 100)])
+    room = max(len(inner), 150)
+    parents, children = run(make_files(("o", outer)), recursive=True, budget=room)
+    assert names(children) == ["own", "in"] and parents["o"].unpack_bytes == 150
+    _, children = run(make_files(("o", outer)), recursive=True, budget=len(inner) - 1, fail_on_breach=False)
+    assert names(children) == ["own"]
+
+
+def test_breach_in_a_nested_archive_is_never_swallowed(make_files):
+    outer = zip_of([("inner.zip", zip_of([("in", b"y" * 5000)])), ("own", b"x")])
+    parents, children = run(make_files(("o", outer)), recursive=True, budget=1000, fail_on_sub_error=False)
+    assert children == [] and parents["o"].error["class"] == "SIZE_BUDGET"
+
+
+def test_nothing_unpacked(make_files):
+    df = make_files(("empty", zip_of([])), ("dirs", zip_of([("d/", "")])), ("big", sized(50)))
+    for fail, route in ((True, "failure"), (False, "original")):
+        parents, children = run(df, budget=10, fail_on_breach=False, fail_on_nothing=fail)
+        assert children == [] and {p.route for p in parents.values()} == {route}
+        assert {p.error and p.error["class"] for p in parents.values()} == {"NOTHING_UNPACKED" if fail else None}
+
+
+def test_sub_archive_error_policy(make_files):
+    cut = zip_of([("a", "x" * 100)])[:60]
+    outer = zip_of([("cut.zip", cut), ("own", "x"), ("good.zip", zip_of([("in", "y")]))])
+    parents, children = run(make_files(("o", outer)), recursive=True)
+    assert children == [] and (parents["o"].route, parents["o"].error["class"]) == ("failure", "CORRUPT")
+    parents, children = run(make_files(("o", outer)), recursive=True, fail_on_sub_error=False)
+    assert names(children) == ["own", "in"]
+    assert (parents["o"].route, parents["o"].sub_errors, parents["o"].error) == ("original", 1, None)
+
+
+def test_files_before_a_sub_archive_error_stay(make_files):
+    inner = bytearray(zip_of([("first", b"good" * 10), ("second", b"bad" * 10)], stored=True))
+    inner[inner.index(b"badbad")] ^= 0xFF
+    outer = zip_of([("inner.zip", bytes(inner))])
+    parents, children = run(make_files(("o", outer)), recursive=True, fail_on_sub_error=False)
+    assert names(children) == ["first"] and parents["o"].sub_errors == 1
+
+
+def test_corrupt_archive_fails_alone(make_files):
+    good = sized(5)
+    tar = tar_of([("a", b"x" * 2000), ("b", b"y" * 2000)])
+    parents, children = run(make_files(("bad", good[:40]), ("cut", tar[:3000]), ("good", good)))
+    assert {k: p.route for k, p in parents.items()} == {"bad": "failure", "cut": "failure", "good": "original"}
+    assert [c.parent_id for c in children] == ["good"]
+
+
+def test_encrypted_entry(make_files):
+    data = bytearray(sized(5))
+    data[6] |= 1
+    data[data.index(b"PK\x01\x02") + 8] |= 1
+    parents, _ = run(make_files(("e", bytes(data))))
+    assert parents["e"].error["class"] == "ENCRYPTED"
+
+
+def test_links_are_empty_files(make_files):
+    import io
+    import tarfile
+
+    out = io.BytesIO()
+    with tarfile.open(fileobj=out, mode="w") as archive:
+        link = tarfile.TarInfo("link")
+        link.type, link.linkname = tarfile.SYMTYPE, "/etc/passwd"
+        archive.addfile(link)
+    _, (child,) = run(make_files(("l", out.getvalue())))
+    assert (child.entry_name, bytes(child.content)) == ("link", b"")
+
+
+def test_endless_nesting_is_stopped(make_files):
+    data = b"core"
+    for i in range(70):
+        data = zip_of([("n.zip" if i else "core.txt", data)])
+    parents, children = run(make_files(("deep", data)), recursive=True)
+    assert children == [] and parents["deep"].error["class"] == "CORRUPT"
+
+
+@pytest.mark.parametrize(
+    "name, filename, path, absolute",
+    [
+        ("a.txt", "a.txt", "/", "arc/"),
+        ("d/a.txt", "a.txt", "d/", "arc/d"),
+        ("d//e/a.txt", "a.txt", "d/e/", "arc/d/e"),
+        ("/a.txt", "a.txt", "//", "arc//"),
+        ("/d/a.txt", "a.txt", "/d/", "arc//d"),
+        ("../x/a.txt", "a.txt", "../x/", "arc/../x"),
+        ("d/new\nline", "new\nline", "d/", "arc/d"),
+    ],
+)
+def test_paths(spark, name, filename, path, absolute):
+    n = F.col("n")
+    row = spark.createDataFrame([(name,)], "n string").select(
+        columns.entry_filename(n), columns.segment_path(n), columns.absolute_path(F.lit("arc"), n)
+    ).first()
+    assert tuple(row) == (filename, path, absolute)
+
+
+def test_children_inherit_and_override(spark, make_files):
+    df = make_files(("z", "arc.zip", zip_of([("d/a", "x")]))).withColumn("attributes", F.create_map(F.lit("k"), F.lit("v")))
+    _, (child,) = run(df)
+    assert child.attributes == {"k": "v"} and child.filename == "a" and child.file_id != "z"
+
+
+def test_ids_are_stable_and_lineage_links_them(make_files):
+    df = make_files(("z", zip_of([("a", "x"), ("b", "y")])))
+    first, second = run(df)[1], run(df)[1]
+    assert [c.file_id for c in first] == [c.file_id for c in second]
+    assert len({c.fragment_id for c in first}) == 1 and {c.fragment_count for c in first} == {2}
+    edges = unpack.lineage(unpack.children(unpack.unpack(df))).collect()
+    assert sorted((e.parent_id, e.child_id, e.fragment_index) for e in edges) == sorted(("z", c.file_id, c.fragment_index) for c in first)
+
+
+def test_archive_beyond_the_memory_held_is_read_twice(make_files, monkeypatch):
+    df = make_files(("z", sized(*[100] * 50)), ("bad", sized(100, 100)[:-40]))
+    expected = run(df)
+    monkeypatch.setattr(archive_tasks, "HOLD_BYTES", 150)
+    monkeypatch.setattr(archive_tasks, "FLUSH_BYTES", 250)
+    assert run(df) == expected and len(expected[1]) == 50
+
+
+@pytest.mark.parametrize("recursive", [False, True])
+def test_large_form_equals_the_content_form(spark, tmp_path, recursive):
+    inner = zip_of([(f"in{i}", f"inner {i}") for i in range(7)])
+    (tmp_path / "a.zip").write_bytes(zip_of([("inner.zip", inner)] + [(f"f{i}", f"line {i}") for i in range(20)]))
+    (tmp_path / "b.tar.gz").write_bytes(tar_of([(f"t{i}", b"t" * i) for i in range(9)], "w:gz"))
+    (tmp_path / "c.txt").write_bytes(b"Hello World")
+    (tmp_path / "d.zip").write_bytes(sized(5, 5)[:50])
+    (tmp_path / "e.zip").write_bytes(zip_of([]))
+    (tmp_path / "f.docx").write_bytes(zip_of([("[Content_Types].xml", "x"), ("word/document.xml", "x")]))
+    df = files.read_files(spark, str(tmp_path))
+    plain = unpack.unpack(df, recursive=recursive, budget=-1)
+    large = unpack.unpack_large(df, recursive=recursive, part_bytes=16)
+
+    def collected(rows):
+        parents = unpack.parents(rows).drop("source_path")
+        children = unpack.children(rows).select("parent_id", "fragment_index", "entry_name", "content", "mime_type", "depth")
+        return [sorted(map(str, df.select(sorted(df.columns)).collect())) for df in (parents, children)]
+
+    for got, expected in zip(collected(large), collected(plain)):
+        assert set(got) ^ set(expected) == set() and len(got) == len(expected)
+
+
+def test_narrow_plan(make_files):
+    rows = unpack.unpack(make_files(("a", b"x")), recursive=True)
+    for df in (unpack.parents(rows), unpack.children(rows).filter("mime_type = 'text/plain'")):
+        assert "Exchange" not in plan_of(df) and plan_of(df).count("MapInArrow") == 1
