@@ -35,7 +35,7 @@ def size_option(value: str | int) -> int:
 
 def java_trim(text: Column) -> Column:
     """Strip every character up to and including the blank at both ends."""
-    return F.regexp_replace(text, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+    return F.trim(text, F.lit("".join(map(chr, range(0x21)))))
 
 
 def is_blank(text: Column) -> Column:

@@ -186,12 +186,12 @@ def telling_bytes(content: bytes) -> bytes:
     return b"\n".join((head, *(n for n in NEEDLES if n in content))) if content.startswith(b"PK") else head
 
 
-def _may_start_with(rule: Rule, byte: int) -> bool:
+def may_start_with(rule: Rule, byte: int) -> bool:
     offset, magic = rule.parts[0]
     return offset > 0 or bytes.fromhex(magic)[0] == byte
 
 
 _BY_FIRST_BYTE = tuple(
-    tuple((rule, tuple((off, bytes.fromhex(h)) for off, h in rule.parts)) for rule in RULES if _may_start_with(rule, byte))
+    tuple((rule, tuple((off, bytes.fromhex(h)) for off, h in rule.parts)) for rule in RULES if may_start_with(rule, byte))
     for byte in range(256)
 )

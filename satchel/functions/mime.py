@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import json
 from collections.abc import Sequence
 
@@ -17,34 +18,62 @@ from satchel.functions.magic import (
     TEXT_WINDOW,
     UNREADABLE_ARCHIVE_TYPES,
     Rule,
+    may_start_with,
 )
 
 
-def _holds(content: str, rule: Rule) -> str:
-    tests = [f"substring({content}, {offset + 1}, {len(magic) // 2}) = X'{magic}'" for offset, magic in rule.parts]
-    if rule.needle is not None:
-        tests.append(f"contains({content}, X'{rule.needle.encode().hex()}')")
-    return " AND ".join(tests)
+RULE_TYPE = "array<struct<mime:string,parts:array<struct<off:int,magic:binary>>,needle:binary>>"
 
 
-def _looks_like_text(latin: str) -> str:
+def _rule_json(rule: Rule) -> dict:
+    def b64(data: bytes) -> str:
+        return base64.b64encode(data).decode()
+
+    parts = [{"off": offset, "magic": b64(bytes.fromhex(magic))} for offset, magic in rule.parts]
+    return {"mime": rule.mime, "parts": parts} | ({"needle": b64(rule.needle.encode())} if rule.needle else {})
+
+
+def _rule_lookup(rules: Sequence[Rule]) -> str:
+    """All rules as one constant, keyed by the first byte they can apply to; ``any`` holds those for other bytes."""
+    firsts = {bytes.fromhex(rule.parts[0][1])[0] for rule in rules if rule.parts[0][0] == 0}
+    keyed = {f"{byte:02X}": [_rule_json(rule) for rule in rules if may_start_with(rule, byte)] for byte in sorted(firsts)}
+    keyed["any"] = [_rule_json(rule) for rule in rules if rule.parts[0][0] > 0]
+    return f"from_json({_quoted(json.dumps(keyed))}, 'map<string,{RULE_TYPE}>')"
+
+
+def _magic_sql(content: str, rules: Sequence[Rule]) -> str:
+    """The type of the first rule that holds.
+
+    A table of rules is a constant that a higher-order function runs over.  One CASE branch per rule would make a single
+    generated method too long for the JVM to compile to machine code, and many times slower.
+    """
+    table = _rule_lookup(rules)
+    candidates = f"coalesce(try_element_at({table}, hex(substring({content}, 1, 1))), try_element_at({table}, 'any'))"
+    return f"""get(filter({candidates}, rule ->
+        forall(rule.parts, part -> substring({content}, part.off + 1, length(part.magic)) = part.magic)
+        AND (rule.needle IS NULL OR contains({content}, rule.needle))), 0).mime"""
+
+
+def _text_case(latin: str) -> str:
     """No control bytes other than tab, line ends, form feed and escape, and the rest is UTF-8 or mostly ASCII."""
-    whole_chars = f"regexp_replace({latin}, r'[\xC0-\xFF][\x80-\xBF]{{0,2}}$', '')"
+    whole_chars = rf"regexp_replace({latin}, r'[\xC0-\xFF][\x80-\xBF]{{0,2}}$', '')"
     utf8 = f"is_valid_utf8(CAST(encode({whole_chars}, 'ISO-8859-1') AS STRING))"
-    high = f"length(regexp_replace({latin}, r'[\x00-\x7F]+', ''))"
-    return f"NOT {latin} RLIKE r'[\x00-\x08\x0B\x0E-\x1A\x1C-\x1F]' AND ({utf8} OR {high} * 10 < length({latin}))"
+    high = rf"length(regexp_replace({latin}, r'[\x00-\x7F]+', ''))"
+    clean_bytes = rf"NOT {latin} RLIKE r'[\x00-\x08\x0B\x0E-\x1A\x1C-\x1F]'"
+    return f"WHEN {clean_bytes} AND ({utf8} OR {high} * 10 < length({latin})) THEN '{TEXT_PLAIN}'"
 
 
 def _markup_cases(latin: str) -> str:
     """HTML and XML by how the text begins."""
     start = r"(?is)^(?:\xEF\xBB\xBF)?\s*"
     prolog = start + r"(?:<\?xml.*?\?>\s*)?(?:<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
+    tagged = rf"{latin} RLIKE r'{start}<'"
     xml = rf"{latin} RLIKE r'{start}<\?xml\s'"
 
     def root(name: str) -> str:
-        return rf"{latin} RLIKE r'{prolog}<{name}[\s>]'"
+        return rf"{tagged} AND {latin} RLIKE r'{prolog}<{name}[\s>]'"
 
-    html = rf"{latin} RLIKE r'{start}(?:<!--.*?-->\s*)*<(?:!DOCTYPE\s+html|html|head|body|title|h1)[\s>]'"
+    html = rf"{tagged} AND {latin} RLIKE r'{start}(?:<!--.*?-->\s*)*<(?:!DOCTYPE\s+html|html|head|body|title|h1)[\s>]'"
     return f"""
         WHEN {xml} AND {root('html')} THEN 'application/xhtml+xml'
         WHEN {html} THEN 'text/html'
@@ -56,14 +85,12 @@ def _markup_cases(latin: str) -> str:
 
 
 def detect_sql(content: str, rules: Sequence[Rule] | None = None) -> str:
-    latin = f"decode(substring({content}, 1, {TEXT_WINDOW}), 'ISO-8859-1')"
-    magic = "".join(f" WHEN {_holds(content, rule)} THEN {_quoted(rule.mime)}" for rule in (RULES if rules is None else rules))
-    markup = rf"WHEN {latin} RLIKE r'^(?:\xEF\xBB\xBF)?\s*<' THEN CASE {_markup_cases(latin)} END" if rules is None else ""
-    return f"""coalesce(
-        CASE WHEN {content} IS NULL OR length({content}) = 0 THEN '{OCTET_STREAM}' {magic} END,
-        {f"CASE {markup} END," if markup else ""}
-        CASE WHEN {_looks_like_text(latin)} THEN '{TEXT_PLAIN}' END,
-        '{OCTET_STREAM}')"""
+    head = f"array(decode(substring({content}, 1, {TEXT_WINDOW}), 'ISO-8859-1'))"
+    cases = (_markup_cases("head") if rules is None else "") + _text_case("head")
+    return f"""CASE WHEN {content} IS NULL OR length({content}) = 0 THEN '{OCTET_STREAM}' ELSE coalesce(
+        {_magic_sql(content, RULES if rules is None else rules)},
+        get(transform({head}, head -> CASE {cases} END), 0),
+        '{OCTET_STREAM}') END"""
 
 
 def _quoted(text: str) -> str:

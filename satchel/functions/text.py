@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +21,8 @@ ENTITIES = (
 )
 
 _TAG = r"(?s)<[^>]+>"
-_SPACE = r"[ \t\r\n]+"
+# a run of white space that is not already one blank
+_SPACE = r"[\t\r\n][ \t\r\n]*| [ \t\r\n]+"
 _COMMENT = r"(?is)<!--.*?-->"
 _BEFORE_BODY = r"(?is)^.*?<body[^>]*>"
 _NOT_SHOWN = r"(?is)<(script|style|noscript)\b[^>]*>.*?</(script|style|noscript)>"
@@ -31,26 +34,41 @@ def decode_utf8(content: Column) -> Column:
     return F.regexp_replace(F.make_valid_utf8(content.cast("string")), "^﻿", "")
 
 
-def _untagged(markup: Column) -> Column:
-    text = F.regexp_replace(markup, _TAG, " ")
+def _with(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is worked out once, however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _without_comments(markup: Column) -> Column:
+    return _with(markup, lambda m: F.when(m.contains("<!--"), F.regexp_replace(m, _COMMENT, " ")).otherwise(m))
+
+
+def _resolved(text: Column) -> Column:
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
+    return text
+
+
+def _untagged(markup: Column) -> Column:
+    text = F.regexp_replace(markup, _TAG, " ")
+    text = _with(text, lambda t: F.when(t.contains("&"), _resolved(t)).otherwise(t))
     return F.trim(F.regexp_replace(text, _SPACE, " "))
 
 
 def html_text(html: Column) -> Column:
     """The text of an HTML body: every tag is a break between words, runs of white space become one blank."""
-    text = html
-    for pattern, replacement in ((_COMMENT, " "), (_BEFORE_BODY, ""), (_NOT_SHOWN, " ")):
+    text = _without_comments(html)
+    for pattern, replacement in ((_BEFORE_BODY, ""), (_NOT_SHOWN, " ")):
         text = F.regexp_replace(text, pattern, replacement)
     return _untagged(text)
 
 
 def xml_text(xml: Column) -> Column:
     """The character data of an XML document, CDATA sections included."""
-    escaped = F.regexp_replace(xml, _COMMENT, " ")
-    has_cdata = escaped.contains("<![CDATA[")
-    return _untagged(F.when(has_cdata, F.regexp_replace(escaped, _CDATA, "$1")).otherwise(escaped))
+    def opened(markup: Column) -> Column:
+        return F.when(markup.contains("<![CDATA["), F.regexp_replace(markup, _CDATA, "$1")).otherwise(markup)
+
+    return _untagged(_with(_without_comments(xml), opened))
 
 
 def cut_chars(text: Column, limit: int) -> Column:

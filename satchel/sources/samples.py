@@ -35,8 +35,18 @@ PREFIXES = (
 MODES = (0o644, 0o755, 0o600, 0o4751)
 
 
+# The columns used of each sample table; given to the reader so that no job is needed to infer them.
+COLUMNS = {
+    "documents": "doc_id long, text string, lang string, n_chars long",
+    "pages": "page_id long, html string",
+    "customer": "c_custkey long, c_name string, c_mktsegment string",
+    "orders": "o_orderkey long, o_custkey long, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def text_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
