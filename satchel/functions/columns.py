@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 UNITS = "BKMGT"
+TRIMMED = "".join(map(chr, range(0x21)))
 _SIZE = r"(?i)^\s*([0-9]+(?:\.[0-9]+)?)\s*([KMGT]?B)\s*$"
 
 
@@ -35,12 +36,12 @@ def size_option(value: str | int) -> int:
 
 def java_trim(text: Column) -> Column:
     """Strip every character up to and including the blank at both ends."""
-    return F.trim(text, F.lit("".join(map(chr, range(0x21)))))
+    return F.trim(text, F.lit(TRIMMED))
 
 
 def is_blank(text: Column) -> Column:
-    """NULL, empty or nothing but white space."""
-    return text.isNull() | text.rlike(r"^[\s\x1C-\x1F\p{Z}]*$")
+    """NULL, empty or nothing but white space; a non-breaking space is a character like any other."""
+    return text.isNull() | text.rlike(r"^[[\s\x1C-\x1F\p{Z}]&&[^\u00A0\u2007\u202F]]*$")
 
 
 def permission_string(mode: Column) -> Column:

@@ -116,13 +116,16 @@ def clean(mime: Column) -> Column:
     return F.substring_index(mime, ";", 1)
 
 
-def extension(mime: Column, rules: Sequence[Rule] | None = None) -> Column:
-    """Usual extension of a full (uncleaned) type, ``''`` when there is none; gzip is ``.gz``, never ``.tgz``."""
-    table = RULES if rules is None else rules
+def known_extensions(rules: Sequence[Rule] | None = None) -> dict[str, str]:
     known = dict(TEXT_EXTENSIONS)
-    for rule in table:
+    for rule in RULES if rules is None else rules:
         known.setdefault(rule.mime, rule.ext)
-    lookup = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    return known
+
+
+def extension(mime: Column, rules: Sequence[Rule] | None = None) -> Column:
+    """Usual extension of a full (uncleaned) type, ``''`` when there is none; gzip is ``.gz``, never ``.tgz``."""
+    lookup = F.create_map(*[F.lit(x) for pair in known_extensions(rules).items() for x in pair])
     ext = F.coalesce(F.try_element_at(lookup, mime), F.lit(""))
     return F.when((mime == "application/gzip") & (ext == ".tgz"), ".gz").otherwise(ext)
 

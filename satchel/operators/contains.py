@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from satchel import schema
-from satchel.functions import archive_tasks, mime
+from satchel.functions import archive_tasks, columns, mime
 
 
 def search_set(spark: SparkSession, body: str | None = None, path: str | None = None) -> list[str]:
@@ -29,7 +29,7 @@ def search_set(spark: SparkSession, body: str | None = None, path: str | None =
         raise ValueError('not a JSON array of strings such as ["application/pdf","application/zip"]') from exc
     if not isinstance(items, list) or not all(item is None or isinstance(item, str) for item in items):
         raise ValueError('not a JSON array of strings such as ["application/pdf","application/zip"]')
-    return list(dict.fromkeys(item for item in items if item is not None and item.strip()))
+    return list(dict.fromkeys(item for item in items if item is not None and item.strip(columns.TRIMMED)))
 
 
 def contains_type(

@@ -50,8 +50,11 @@ def replay(log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, re
     A remove succeeds when the operation before it on the same key was a put.  The log of one key is cut into time
     spans, so that a hot key is many groups: the operation before is looked up inside the span, and only the first
     operation of a span needs the last one of the key's span before, carried over from one summary row per span.
+    Removes without a key fail and take no part in that.
     """
-    ops = log.filter(F.col(op).isin(put, remove)).select(
+    blank = columns.is_blank(F.col(key).cast("string"))
+    failed = log.filter(blank & (F.col(op) == remove)).select(id_col, F.lit(schema.FAILURE).alias("route"))
+    ops = log.filter(~blank & F.col(op).isin(put, remove)).select(
         F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(id_col), F.col(op).alias("_op"),
         F.window(F.col(ts), span)["start"].alias("_span"),
     )
@@ -63,9 +66,10 @@ def replay(log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, re
         .select("_key", "_span", "_carried")
     )
     before = F.coalesce(F.col("_before"), F.col("_carried"))
-    return (
+    answered = (
         ops.withColumn("_before", F.lag("_op").over(by_span))
         .join(carried, ["_key", "_span"])
         .filter(F.col("_op") == remove)
         .select(id_col, F.when(before == put, schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
     )
+    return answered.unionByName(failed)

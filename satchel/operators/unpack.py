@@ -19,6 +19,7 @@ from satchel import schema
 from satchel.functions import archive_tasks, columns, magic, mime
 
 ENTRY_FIELDS = [T.StructField(name, from_arrow_type(kind)) for name, kind in archive_tasks.ENTRY_COLUMNS.items()]
+_ADDED = archive_tasks.ENTRY_COLUMNS | archive_tasks.TALLY_COLUMNS
 TALLY_FIELDS = [T.StructField(name, from_arrow_type(kind)) for name, kind in archive_tasks.TALLY_COLUMNS.items()]
 
 
@@ -37,13 +38,14 @@ def unpack(
 ) -> DataFrame:
     """Parents and children as rows of one frame; take them apart with ``parents`` and ``children``.
 
-    The columns of the input ride along on every row, so children inherit them, except the content of the archive.
+    The columns of the input ride along on every row, so children inherit them, except the content of the archive and
+    columns of a name this adds; the result can itself be unpacked again.
     Only the bytes of files whose type can be opened reach the Python stage.
     """
     options = archive_tasks.UnpackOptions(recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error)
     typed = archives.withColumn("archive_mime_type", mime.clean(mime.detect(content)))
     openable = mime.is_archive_type(F.col("archive_mime_type"))
-    carried = [c for c in typed.columns if c != content]
+    carried = [c for c in typed.columns if c != content and c not in _ADDED]
     staged = typed.select(*carried, F.when(openable, F.col(content)).alias("_content"))
     out_schema = T.StructType(staged.drop("_content").schema.fields + ENTRY_FIELDS + TALLY_FIELDS)
 
@@ -64,16 +66,21 @@ def unpack_large(
     fail_on_nothing: bool = True,
     non_archive_to_failure: bool = False,
     part_bytes: str | int = "256 MB",
+    tasks: int | None = None,
 ) -> DataFrame:
     """``unpack`` for archives of any size, read from where they lie instead of from a content column.
 
     A first pass walks each archive to its verdict and keeps nothing.  An archive is then as many rows as it has parts
     of ``part_bytes``, spread over the cluster, and each part reads only its own files: one archive that makes up a
     third of the data is many tasks.  The executors must reach the paths.
+
+    The parts are dealt out to ``tasks`` tasks, by default as many as the session shuffles into.  The number is given to
+    Spark explicitly: the rows that name the parts are tiny, and runtime re-planning would merge them into one task.
     """
+    tasks = tasks or int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     options = archive_tasks.UnpackOptions(recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error)
-    carried = T.StructType([f for f in archives.schema.fields if f.name not in (path_col, "content")])
-    staged = archives.select(*carried.names, F.col(path_col).alias("_path"))
+    carried = [c for c in archives.columns if c not in (path_col, "content") and c not in _ADDED]
+    staged = archives.select(*carried, F.col(path_col).alias("_path"))
     tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + [T.StructField("_head", T.BinaryType())])
     tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options), tallied_schema)
 
@@ -83,7 +90,7 @@ def unpack_large(
         schema.with_computed(tallied, archive_mime_type=mime.clean(mime.detect("_head")), _good=good, _parts=F.when(good, parts).otherwise(1))
         .drop("_head")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-        .repartition("_path", "_part")
+        .repartition(tasks, "_path", "_part")
     )
     out_fields = [f for f in split.schema.fields if f.name not in ("_path", "_part", "_parts", "_good")]
     rows = split.mapInArrow(lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + ENTRY_FIELDS))
@@ -133,27 +140,27 @@ def parents(unpacked: DataFrame) -> DataFrame:
 def children(unpacked: DataFrame, id_col: str = "file_id", filename_col: str = "filename") -> DataFrame:
     """One row per unpacked file, named and described by its place in the archive."""
     name, archive_filename = F.col("name"), F.col("segment_original_filename")
-    named = unpacked.filter(F.col("pos").isNotNull()).select(
-        *[c for c in unpacked.columns if c not in _REPLACED and c not in (id_col, filename_col)],
-        F.col(id_col).alias("parent_id"),
-        F.sha2(F.concat_ws("/", F.col(id_col).cast("string"), F.col("pos").cast("string")), 256).alias(id_col),
-        columns.entry_filename(name).alias(filename_col),
-        columns.segment_path(name).alias("path"),
-        columns.absolute_path(archive_filename, name).alias("absolute_path"),
-        columns.segment_path(name).alias("segment_path"),
-        F.col("pos").alias("fragment_index"),
-        F.col("name").alias("entry_name"),
-        columns.permission_string(F.col("mode")).alias("permissions"),
-        columns.time_string(F.col("mtime_s")).alias("last_modified_time"),
-        columns.time_string(F.col("mtime_s")).alias("creation_time"),
-        F.col("data").alias("content"),
-    )
-    return named
-
-
-_REPLACED = (
-    "pos", "name", "data", "mode", "mtime_s", "path", "content", "archive_mime_type", "n_unpacked", "unpack_bytes",
-    "threshold_breached", "sub_errors", "error",
+    described = {
+        "parent_id": F.col(id_col),
+        id_col: F.sha2(F.concat_ws("/", F.col(id_col).cast("string"), F.col("pos").cast("string")), 256),
+        filename_col: columns.entry_filename(name),
+        "path": columns.segment_path(name),
+        "absolute_path": columns.absolute_path(archive_filename, name),
+        "segment_path": columns.segment_path(name),
+        "fragment_index": F.col("pos"),
+        "entry_name": name,
+        "permissions": columns.permission_string(F.col("mode")),
+        "last_modified_time": columns.time_string(F.col("mtime_s")),
+        "creation_time": columns.time_string(F.col("mtime_s")),
+        "content": F.col("data"),
+    }
+    kept = [c for c in unpacked.columns if c not in described and c not in _NOT_FOR_CHILDREN]
+    return unpacked.filter(F.col("pos").isNotNull()).select(*kept, *[value.alias(c) for c, value in described.items()])
+
+
+_NOT_FOR_CHILDREN = (
+    "pos", "name", "data", "mode", "mtime_s", "archive_mime_type", "n_unpacked", "unpack_bytes", "threshold_breached",
+    "sub_errors", "error",
 )
 
 

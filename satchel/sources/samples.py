@@ -107,16 +107,18 @@ def pack_zip(members: list[tuple[str, bytes]]) -> bytes:
 
 def pack_tar(members: list[tuple[str, bytes]], archive_id: int) -> bytes:
     out = io.BytesIO()
-    with tarfile.open(fileobj=out, mode="w", format=tarfile.GNU_FORMAT) as archive:
-        for i, (name, data) in enumerate(members):
-            info = tarfile.TarInfo(name)
-            info.size = len(data)
-            info.type = tarfile.DIRTYPE if name.endswith("/") else tarfile.REGTYPE
-            info.mode = MODES[archive_id // 2 % 4]
-            info.uname = f"user{archive_id % 7}"
-            info.gname = f"group{archive_id % 3}"
-            info.mtime = BASE_TIME + archive_id
-            archive.addfile(info, io.BytesIO(data))
+    for name, data in members:
+        info = tarfile.TarInfo(name)
+        info.size = len(data)
+        info.type = tarfile.DIRTYPE if name.endswith("/") else tarfile.REGTYPE
+        info.mode = MODES[archive_id // 2 % 4]
+        info.uname = f"user{archive_id % 7}"
+        info.gname = f"group{archive_id % 3}"
+        info.mtime = BASE_TIME + archive_id
+        out.write(info.tobuf(tarfile.GNU_FORMAT))
+        out.write(data)
+        out.write(bytes(-len(data) % tarfile.BLOCKSIZE))
+    out.write(bytes(2 * tarfile.BLOCKSIZE))
     return out.getvalue()
 
 

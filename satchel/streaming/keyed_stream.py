@@ -13,6 +13,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.query import StreamingQuery
 
 from satchel import schema
+from satchel.functions import columns
 
 
 class KeyStore(StatefulProcessor):
@@ -44,15 +45,18 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def replay_stream(log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, remove: str) -> DataFrame:
-    """The outcome of every remove of a streaming log: ``event_id`` and ``route``.
+    """The outcome of every remove of a streaming log: ``event_id`` and ``route``; without a key it fails.
 
     The session needs the RocksDB state store, see ``satchel.session``.
     """
-    ops = log.filter(F.col(op).isin(put, remove)).select(
+    blank = columns.is_blank(F.col(key).cast("string"))
+    failed = log.filter(blank & (F.col(op) == remove))
+    ops = log.filter(~blank & F.col(op).isin(put, remove)).select(
         F.col(key).alias("key"), F.col(ts).alias("ts"), F.col(id_col).alias("event_id"), (F.col(op) == put).alias("is_put")
     )
     answered = ops.groupBy("key").transformWithStateInPandas(KeyStore(), "event_id long, found boolean", "Append", "None")
-    return answered.select("event_id", F.when(F.col("found"), schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
+    routed = answered.select("event_id", F.when(F.col("found"), schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
+    return routed.unionByName(failed.select(F.col(id_col).alias("event_id"), F.lit(schema.FAILURE).alias("route")))
 
 
 def checkpoint_location(spark: SparkSession, name: str, location: str | None = None) -> str:

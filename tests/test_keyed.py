@@ -34,6 +34,12 @@ def test_routes_blanks_and_repeats(spark):
     assert routed.filter("route <> 'failure' AND (penalized OR error IS NOT NULL)").count() == 0
 
 
+def test_what_counts_as_blank(spark):
+    keys = ["\u2003\u3000\x1c\x0b", "\u00a0", "\u202f", "\n", "a\n"]
+    routed = keyed.route_deletes(requests_of(spark, *keys), store_of(spark, "\u00a0"))
+    assert routes(routed) == ["failure", "success", "not-found", "failure", "not-found"]
+
+
 def test_survivors(spark):
     left = keyed.survivors(store_of(spark, "a", "b", "c"), requests_of(spark, "a", "a", None, " ", "zz"))
     assert sorted(r.key for r in left.collect()) == ["b", "c"]
@@ -55,6 +61,8 @@ def brute_force(rows):
     for event_id, _, key, op in sorted(rows, key=lambda r: (r[1], r[0])):
         if op == "put":
             stored.add(key)
+        elif op == "del" and not (key or "").strip():
+            expected[event_id] = "failure"
         elif op == "del":
             expected[event_id] = "success" if key in stored else "not-found"
             stored.discard(key)
@@ -65,7 +73,7 @@ def random_log(n, hot=0.4, seed=5):
     rng = random.Random(seed)
     start = dt.datetime(2024, 1, 1)
     return [
-        (i, start + dt.timedelta(minutes=rng.randrange(5000)), "hot" if rng.random() < hot else f"k{rng.randrange(20)}", rng.choice(["put", "del", "get"]))
+        (i, start + dt.timedelta(minutes=rng.randrange(5000)), "hot" if rng.random() < hot else rng.choice([None, " "] + [f"k{i}" for i in range(20)]), rng.choice(["put", "del", "get"]))
         for i in range(n)
     ]
 

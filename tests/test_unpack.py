@@ -217,6 +217,17 @@ def test_children_inherit_and_override(spark, make_files):
     assert child.attributes == {"k": "v"} and child.filename == "a" and child.file_id != "z"
 
 
+def test_children_can_be_unpacked_again(make_files):
+    once = unpack.children(unpack.unpack(make_files(("zz", "zip_inside_zip", zip_inside_zip()))))
+    again = unpack.unpack(once)
+    members = unpack.children(again).collect()
+    assert [(m.entry_name, m.filename, bytes(m.content)) for m in members] == [("in.txt", "in.txt", b"inner text")]
+    assert {m.parent_id for m in members} < {c.file_id for c in once.collect()}
+    assert {(p.filename, p.route, p.error and p.error["class"]) for p in unpack.parents(again).collect()} == {
+        ("inner.zip", "original", None), ("out.txt", "original", "NOT_AN_ARCHIVE"),
+    }
+
+
 def test_ids_are_stable_and_lineage_links_them(make_files):
     df = make_files(("z", zip_of([("a", "x"), ("b", "y")])))
     first, second = run(df)[1], run(df)[1]
@@ -254,6 +265,7 @@ def test_large_form_equals_the_content_form(spark, tmp_path, recursive):
 
     for got, expected in zip(collected(large), collected(plain)):
         assert set(got) ^ set(expected) == set() and len(got) == len(expected)
+    assert large.filter("pos IS NOT NULL").select(F.spark_partition_id()).distinct().count() > 1
 
 
 def test_narrow_plan(make_files):
