@@ -97,13 +97,27 @@ def cut_bytes(text: Column, limit: int) -> Column:
     return F.when(F.octet_length(text) > limit, whole).otherwise(text)
 
 
-def limit_kind(text: Column, max_chars: int, max_bytes: int) -> Column:
+def estimated_bytes(text: Column) -> Column:
+    """The size of the text if every character took as many bytes as the first one."""
+    return F.octet_length(F.substring(text, 1, 1)) * F.length(text)
+
+
+def cut_estimated_bytes(text: Column, limit: int) -> Column:
+    """The byte limit by that estimate: as many characters of the first one's width as fit."""
+    if limit == -1:
+        return text
+    allowed = F.floor(F.lit(limit) / F.octet_length(F.substring(text, 1, 1))).cast("int")
+    return F.when(estimated_bytes(text) > limit, F.substring(text, F.lit(1), allowed)).otherwise(text)
+
+
+def limit_kind(text: Column, max_chars: int, max_bytes: int, exact: bool = True) -> Column:
     """Which limit the text breaks: ``bytes`` is reported before ``chars``, NULL when both hold."""
     kind = F.lit(None).cast("string")
     if max_chars != -1:
         kind = F.when(F.length(text) > max_chars, "chars")
     if max_bytes != -1:
-        kind = F.when(F.octet_length(text) > max_bytes, "bytes").otherwise(kind)
+        size = F.octet_length(text) if exact else estimated_bytes(text)
+        kind = F.when(size > max_bytes, "bytes").otherwise(kind)
     return kind
 
 

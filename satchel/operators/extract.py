@@ -43,10 +43,12 @@ def extract_text(
     max_bytes: str | int = "80 MB",
     max_chars: int = 100_000,
     fail_on_limit: bool = True,
+    exact_bytes: bool = True,
 ) -> DataFrame:
     """Replaces ``content`` by its text and sets ``mime_type``, ``limit_reached``, ``route`` and ``error``.
 
-    A failed row keeps its bytes.  ``limit_reached`` is true or NULL: absent unless a limit was hit.
+    A failed row keeps its bytes.  ``limit_reached`` is true or NULL: absent unless a limit was hit.  Without
+    ``exact_bytes`` the size of a text is estimated from the width of its first character.
     """
     byte_limit = columns.size_option(max_bytes)
     if max_chars < -1:
@@ -62,12 +64,13 @@ def extract_text(
     staged = (
         files.withColumn("_type", mime.clean(mime.detect(content)))
         .withColumn("_text", document_text(content, found))
-        .withColumn("_kind", text.limit_kind(body, max_chars, byte_limit))
+        .withColumn("_kind", text.limit_kind(body, max_chars, byte_limit, exact_bytes))
     )
     staged = schema.with_computed(staged, _type=found, _text=body, _kind=kind, error=decided)
     limited = F.col("error.class").eqNullSafe(schema.TEXT_LIMIT)
     failed = F.col("error").isNotNull() & (~limited | F.lit(fail_on_limit))
-    cut = columns.java_trim(text.cut_bytes(text.cut_chars(body, max_chars), byte_limit))
+    cut_bytes = text.cut_bytes if exact_bytes else text.cut_estimated_bytes
+    cut = columns.java_trim(cut_bytes(text.cut_chars(body, max_chars), byte_limit))
     kept_type = F.col("mime_type") if "mime_type" in files.columns else found
     return (
         staged.withColumn("limit_reached", F.when(limited, True))

@@ -58,17 +58,15 @@ def replay(log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, re
         F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(id_col), F.col(op).alias("_op"),
         F.window(F.col(ts), span)["start"].alias("_span"),
     )
-    order = F.struct("_ts", id_col)
     by_span = Window.partitionBy("_key", "_span").orderBy("_ts", id_col)
-    carried = (
-        ops.groupBy("_key", "_span").agg(F.max_by("_op", order).alias("_last"))
-        .withColumn("_carried", F.lag("_last").over(Window.partitionBy("_key").orderBy("_span")))
-        .select("_key", "_span", "_carried")
+    # both users of this shuffle the log alike, so it is exchanged once
+    placed = ops.withColumn("_before", F.lag("_op").over(by_span)).withColumn("_after", F.lead("_op").over(by_span))
+    carried = placed.filter(F.col("_after").isNull()).select(
+        "_key", "_span", F.lag("_op").over(Window.partitionBy("_key").orderBy("_span")).alias("_carried")
     )
     before = F.coalesce(F.col("_before"), F.col("_carried"))
     answered = (
-        ops.withColumn("_before", F.lag("_op").over(by_span))
-        .join(carried, ["_key", "_span"])
+        placed.join(carried, ["_key", "_span"], "left")
         .filter(F.col("_op") == remove)
         .select(id_col, F.when(before == put, schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
     )

@@ -270,6 +270,10 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, {JAVA_TRIM.format(text=BYTE_CUT.format(n=64))} AS text,
                CASE WHEN strlen(text) > 64 THEN true END AS limit_reached
         FROM documents""",
+    "extract_byte_estimate": f"""
+        SELECT doc_id, {JAVA_TRIM.format(text="left(text, 2048 // strlen(left(text, 1)))")} AS text,
+               CASE WHEN length(text) * strlen(left(text, 1)) > 2048 THEN true END AS limit_reached
+        FROM documents""",
     "extract_both_limits": f"""
         SELECT doc_id, {JAVA_TRIM.format(text=BYTE_CUT.replace('text', 'left(text, 1000)').format(n=1024))} AS text,
                CASE WHEN strlen(text) > 1024 THEN 'the document holds more text than the limit of 1024 bytes'
@@ -299,7 +303,7 @@ ORACLE: dict[str, str] = {
         WITH {ROUTED}, routed AS (
             SELECT request_id, key,
                    CASE WHEN key IS NULL OR trim(key) = '' THEN 'failure'
-                        WHEN nth = 1 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey::VARCHAR = key AND c_custkey % 3 <> 0)
+                        WHEN nth = 1 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey::VARCHAR = key AND c_acctbal >= 0)
                         THEN 'success' ELSE 'not-found' END AS route
             FROM ranked
         )
@@ -307,11 +311,11 @@ ORACLE: dict[str, str] = {
         FROM routed""",
     "keyed_delete_survivors": """
         SELECT c_custkey::VARCHAR AS key, c_name AS value FROM customer
-        WHERE c_custkey % 3 <> 0
+        WHERE c_acctbal >= 0
           AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
     "keyed_delete_expr": """
         SELECT c_custkey, c_mktsegment || ':' || c_custkey AS key,
-               CASE WHEN c_custkey % 3 <> 0 THEN 'success' ELSE 'not-found' END AS route
+               CASE WHEN c_acctbal >= 0 THEN 'success' ELSE 'not-found' END AS route
         FROM customer""",
     "keyed_delete_replay": """
         SELECT event_id, CASE WHEN before = 'signup' THEN 'success' ELSE 'not-found' END AS route

@@ -299,6 +299,12 @@ def extract_byte_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", _text(), "limit_reached")
 
 
+def extract_byte_estimate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents_as_files(spark, sf_dir)
+    done = extract.extract_text(docs, max_bytes="2 KB", max_chars=-1, fail_on_limit=False, exact_bytes=False)
+    return done.select("doc_id", _text(), "limit_reached")
+
+
 def extract_both_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = extract.extract_text(_documents_as_files(spark, sf_dir), max_bytes="1 KB", max_chars=1000, fail_on_limit=False)
     return done.select("doc_id", _text(), F.col("error.message").alias("error_message"))
@@ -346,7 +352,7 @@ def extract_error_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = samples.table(spark, sf_dir, "customer").filter(F.col("c_custkey") % 3 != 0)
+    customers = samples.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
     return customers.select(
         F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("value"), "c_custkey", "c_mktsegment"
     )
@@ -411,7 +417,8 @@ QUERIES: dict[str, Query] = {
         unpack_sub_error, unpack_paths, unpack_fragments, unpack_tar_metadata, unpack_permissions, unpack_child_mime,
         unpack_parents, unpack_inherit, unpack_atomic, unpack_lineage, change_audit, contains_search_set, contains_type,
         contains_recursive, contains_sub_error, contains_nonarchive, extract_html, extract_xml, extract_plain,
-        extract_char_limit, extract_byte_limit, extract_both_limits, extract_limit_policy, extract_trim, extract_empty,
+        extract_char_limit, extract_byte_limit, extract_byte_estimate, extract_both_limits, extract_limit_policy, extract_trim,
+        extract_empty,
         extract_error_routes, keyed_delete_route, keyed_delete_survivors, keyed_delete_expr, keyed_delete_replay,
         parse_data_size, archive_text_report,
     )

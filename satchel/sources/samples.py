@@ -39,7 +39,7 @@ MODES = (0o644, 0o755, 0o600, 0o4751)
 COLUMNS = {
     "documents": "doc_id long, text string, lang string, n_chars long",
     "pages": "page_id long, html string",
-    "customer": "c_custkey long, c_name string, c_mktsegment string",
+    "customer": "c_custkey long, c_name string, c_acctbal double, c_mktsegment string",
     "orders": "o_orderkey long, o_custkey long, o_orderpriority string",
     "events": "event_id long, ts timestamp_ntz, user_id long, event_type string",
 }

@@ -84,6 +84,14 @@ def test_byte_cut_against_brute_force(spark):
             assert cut == whole, (t, limit)
 
 
+def test_byte_estimate_by_the_first_character(make_files):
+    df = make_files(("wide", "éaaaa".encode()), ("narrow", "aéééé".encode()), ("empty", b""))
+    rows = run(df, max_bytes=6, fail_on_limit=False, exact_bytes=False)
+    assert (content(rows["wide"]), rows["wide"].limit_reached) == ("éaa", True)
+    assert (content(rows["narrow"]), rows["narrow"].limit_reached) == ("aéééé", None)
+    assert content(rows["empty"]) == ""
+
+
 def test_html_entities_and_hidden_parts(make_files):
     page = b"""<!DOCTYPE html><html><head><script>x</script></head><body class='a'><!-- <p>gone</p> --><script>if (a < b) {}</script>
         <p>a &amp;lt; b&nbsp;&lt;&gt;&quot;&#39; &copy;&middot;</p><style>p{}</style><NOSCRIPT>no</NOSCRIPT>end</body></html>"""
