@@ -41,7 +41,8 @@ def register(spark: SparkSession) -> None:
     bodies = {
         "detect_type(content BINARY)": mime.detect_sql("content"),
         "clean_type(mime STRING)": "substring_index(mime, ';', 1)",
-        "type_extension(mime STRING)": f"CASE WHEN mime = 'application/gzip' THEN '.gz' ELSE coalesce(try_element_at(map({known}), mime), '') END",
+        "type_extension(mime STRING)": f"""CASE WHEN mime = 'application/gzip' THEN '.gz'
+            ELSE coalesce(try_element_at(map({known}), mime), '') END""",
     }
     for signature, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS STRING RETURN {body}")

@@ -86,8 +86,9 @@ def unpack_large(
 
     good = F.col("error_class").isNull() & (F.col("n_unpacked") > 0)
     parts = F.greatest(F.lit(1), F.ceil(F.col("unpack_bytes") / columns.size_option(part_bytes))).cast("int")
+    head_type = mime.clean(mime.detect("_head"))
     split = (
-        schema.with_computed(tallied, archive_mime_type=mime.clean(mime.detect("_head")), _good=good, _parts=F.when(good, parts).otherwise(1))
+        schema.with_computed(tallied, archive_mime_type=head_type, _good=good, _parts=F.when(good, parts).otherwise(1))
         .drop("_head")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .repartition(tasks, "_path", "_part")
