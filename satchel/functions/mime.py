@@ -18,40 +18,43 @@ from satchel.functions.magic import (
     TEXT_WINDOW,
     UNREADABLE_ARCHIVE_TYPES,
     Rule,
-    may_start_with,
 )
 
 
-RULE_TYPE = "array<struct<mime:string,parts:array<struct<off:int,magic:binary>>,needle:binary>>"
+RULE_TYPE = "array<struct<rank:int,mime:string,parts:array<struct<off:int,magic:binary>>,needle:binary>>"
 
 
-def _rule_json(rule: Rule) -> dict:
+def _rule_json(rank: int, rule: Rule) -> dict:
     def b64(data: bytes) -> str:
         return base64.b64encode(data).decode()
 
     parts = [{"off": offset, "magic": b64(bytes.fromhex(magic))} for offset, magic in rule.parts]
-    return {"mime": rule.mime, "parts": parts} | ({"needle": b64(rule.needle.encode())} if rule.needle else {})
+    needle = {"needle": b64(rule.needle.encode())} if rule.needle else {}
+    return {"rank": rank, "mime": rule.mime, "parts": parts} | needle
 
 
-def _rule_lookup(rules: Sequence[Rule]) -> str:
-    """All rules as one constant, keyed by the first byte they can apply to; ``any`` holds those for other bytes."""
-    firsts = {bytes.fromhex(rule.parts[0][1])[0] for rule in rules if rule.parts[0][0] == 0}
-    keyed = {f"{byte:02X}": [_rule_json(rule) for rule in rules if may_start_with(rule, byte)] for byte in sorted(firsts)}
-    keyed["any"] = [_rule_json(rule) for rule in rules if rule.parts[0][0] > 0]
-    return f"from_json({_quoted(json.dumps(keyed))}, 'map<string,{RULE_TYPE}>')"
+def _constant(value: object, kind: str) -> str:
+    return f"from_json({_quoted(json.dumps(value))}, '{kind}')"
 
 
 def _magic_sql(content: str, rules: Sequence[Rule]) -> str:
     """The type of the first rule that holds.
 
-    A table of rules is a constant that a higher-order function runs over.  One CASE branch per rule would make a single
-    generated method too long for the JVM to compile to machine code, and many times slower.
+    The rules are constants that higher-order functions run over: those for the first byte, by that byte, and those that
+    look further in.  One CASE branch per rule would make a single generated method too long for the JVM to compile to
+    machine code, and many times slower.
     """
-    table = _rule_lookup(rules)
-    candidates = f"coalesce(try_element_at({table}, hex(substring({content}, 1, 1))), try_element_at({table}, 'any'))"
-    return f"""get(filter({candidates}, rule ->
+    by_byte: dict[str, list[dict]] = {}
+    further_in = []
+    for rank, rule in enumerate(rules):
+        offset, magic = rule.parts[0]
+        (by_byte.setdefault(magic[:2].upper(), []) if offset == 0 else further_in).append(_rule_json(rank, rule))
+    first_byte = f"try_element_at({_constant(by_byte, f'map<string,{RULE_TYPE}>')}, hex(substring({content}, 1, 1)))"
+    candidates = f"concat(coalesce({first_byte}, {_constant([], RULE_TYPE)}), {_constant(further_in, RULE_TYPE)})"
+    return f"""array_min(transform(filter({candidates}, rule ->
         forall(rule.parts, part -> substring({content}, part.off + 1, length(part.magic)) = part.magic)
-        AND (rule.needle IS NULL OR contains({content}, rule.needle))), 0).mime"""
+        AND (rule.needle IS NULL OR contains({content}, rule.needle))),
+        rule -> named_struct('rank', rule.rank, 'mime', rule.mime))).mime"""
 
 
 def _text_case(latin: str) -> str:
