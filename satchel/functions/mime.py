@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from satchel.functions.magic import (
     ARCHIVE_TYPES,
+    HEAD_BYTES,
     OCTET_STREAM,
     RULES,
     TEXT_EXTENSIONS,
@@ -37,8 +38,8 @@ def _constant(value: object, kind: str) -> str:
     return f"from_json({_quoted(json.dumps(value))}, '{kind}')"
 
 
-def _magic_sql(content: str, rules: Sequence[Rule]) -> str:
-    """The type of the first rule that holds.
+def _magic_sql(head: str, content: str, rules: Sequence[Rule]) -> str:
+    """The type of the first rule that holds; the whole content is touched only for a rule with a needle.
 
     The rules are constants that higher-order functions run over: those for the first byte, by that byte, and those that
     look further in.  One CASE branch per rule would make a single generated method too long for the JVM to compile to
@@ -49,10 +50,10 @@ def _magic_sql(content: str, rules: Sequence[Rule]) -> str:
     for rank, rule in enumerate(rules):
         offset, magic = rule.parts[0]
         (by_byte.setdefault(magic[:2].upper(), []) if offset == 0 else further_in).append(_rule_json(rank, rule))
-    first_byte = f"try_element_at({_constant(by_byte, f'map<string,{RULE_TYPE}>')}, hex(substring({content}, 1, 1)))"
+    first_byte = f"try_element_at({_constant(by_byte, f'map<string,{RULE_TYPE}>')}, hex(substring({head}, 1, 1)))"
     candidates = f"concat(coalesce({first_byte}, {_constant([], RULE_TYPE)}), {_constant(further_in, RULE_TYPE)})"
     return f"""array_min(transform(filter({candidates}, rule ->
-        forall(rule.parts, part -> substring({content}, part.off + 1, length(part.magic)) = part.magic)
+        forall(rule.parts, part -> substring({head}, part.off + 1, length(part.magic)) = part.magic)
         AND (rule.needle IS NULL OR contains({content}, rule.needle))),
         rule -> named_struct('rank', rule.rank, 'mime', rule.mime))).mime"""
 
@@ -88,12 +89,13 @@ def _markup_cases(latin: str) -> str:
 
 
 def detect_sql(content: str, rules: Sequence[Rule] | None = None) -> str:
-    head = f"array(decode(substring({content}, 1, {TEXT_WINDOW}), 'ISO-8859-1'))"
-    cases = (_markup_cases("head") if rules is None else "") + _text_case("head")
-    return f"""CASE WHEN {content} IS NULL OR length({content}) = 0 THEN '{OCTET_STREAM}' ELSE coalesce(
-        {_magic_sql(content, RULES if rules is None else rules)},
-        get(transform({head}, head -> CASE {cases} END), 0),
-        '{OCTET_STREAM}') END"""
+    """The head is bound once: every mention of a binary column would copy the whole file out of its row."""
+    table = RULES if rules is None else rules
+    reach = max([HEAD_BYTES] + [offset + len(magic) // 2 for rule in table for offset, magic in rule.parts])
+    cases = (_markup_cases("latin") if rules is None else "") + _text_case("latin")
+    by_text = f"""get(transform(array(decode(substring(head, 1, {TEXT_WINDOW}), 'ISO-8859-1')), latin -> CASE {cases} END), 0)"""
+    return f"""coalesce(get(transform(array(substring({content}, 1, {reach})), head ->
+        CASE WHEN length(head) > 0 THEN coalesce({_magic_sql("head", content, table)}, {by_text}) END), 0), '{OCTET_STREAM}')"""
 
 
 def _quoted(text: str) -> str:
@@ -128,7 +130,7 @@ def known_extensions(rules: Sequence[Rule] | None = None) -> dict[str, str]:
 
 def extension(mime: Column, rules: Sequence[Rule] | None = None) -> Column:
     """Usual extension of a full (uncleaned) type, ``''`` when there is none; gzip is ``.gz``, never ``.tgz``."""
-    lookup = F.create_map(*[F.lit(x) for pair in known_extensions(rules).items() for x in pair])
+    lookup = F.from_json(F.lit(json.dumps(known_extensions(rules))), "map<string,string>")
     ext = F.coalesce(F.try_element_at(lookup, mime), F.lit(""))
     return F.when((mime == "application/gzip") & (ext == ".tgz"), ".gz").otherwise(ext)
 
