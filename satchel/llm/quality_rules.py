@@ -1,8 +1,8 @@
 """Quality rules as weak voters, with DataFrame functions only.
 
-Each rule says good, bad or nothing of a document.  Expectation-maximisation over how often each pattern of votes occurs
-estimates how far to trust each rule, without labels, and the posterior probability of good text decides in place of
-"all rules must pass".
+Each rule says bad or nothing, or good or nothing, of a document.  Expectation-maximisation over how often each pattern
+of votes occurs estimates how often each rule is right, without labels, and the posterior probability of good text
+decides in place of "all rules must pass".
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from satchel.llm.scratch import keep
 
 BLANKS = " \t\n\x0b\f\r"
 WINDOW = 8
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = "#*$%&|<>"  # none of them means anything else inside a class of a pattern
 LEAST_WORDS, MOST_REPEATED = 20, 30  # of the base rule: words, and per cent of words in repeated windows
 ROUNDS = 100
 BAD, NOTHING, GOOD = -1, 0, 1
@@ -52,6 +52,7 @@ def measures(docs: DataFrame) -> DataFrame:
         n_dup_lines=(F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
         n_lines=F.size("lines").cast("long"),
         n_distinct=F.size(F.array_distinct("words")).cast("long"),
+        n_symbol_runs=F.regexp_count("text", F.lit(rf"[{SYMBOLS}]+")).cast("long"),
         n_upper=F.length(F.regexp_replace("text", r"[^\p{Lu}]+", "")).cast("long"),
         n_digits=(F.length("text") - F.length(F.translate("text", "0123456789", ""))).cast("long"),
         n_marks=(F.length("text") - F.length(F.translate("text", "!?", ""))).cast("long"),
@@ -85,77 +86,73 @@ def _share(count: str, of: str) -> Column:
 
 
 def rules() -> dict[str, Column]:
-    """Votes: each rule is bad beyond one bound, good within another, and says nothing between."""
-
-    def rule(bad: Column, good: Column) -> Column:
-        return F.when(F.col("n_words") == 0, BAD).when(bad, BAD).when(good, GOOD).otherwise(NOTHING)
-
-    length = _share("word_chars", "n_words")
-    symbols, repeated = _share("n_symbols", "n_words"), _share("n_repeat_words", "n_words")
+    """Votes of each rule, -1 for bad and 1 for good text; a rule that has no ground to speak abstains with 0."""
+    length, variety = _share("word_chars", "n_words"), _share("n_distinct", "n_words")
+    symbols, runs = _share("n_symbols", "n_words"), _share("n_symbol_runs", "n_words")
     marks, upper = _share("n_marks", "n_words"), _share("n_upper", "word_chars")
-    variety, digits = _share("n_distinct", "n_words"), _share("n_digits", "word_chars")
-    return {
-        "words": rule(F.col("n_words") < LEAST_WORDS, F.col("n_words") >= 2 * LEAST_WORDS),
-        "length": rule((length < 2) | (length > 14), length.between(3, 10)),
-        "symbols": rule(symbols > 0.3, symbols < 0.05),
-        "repeated": rule(repeated > 0.3, repeated < 0.1),
-        "marks": rule(marks > 0.3, marks < 0.05),
-        "upper": rule(upper > 0.5, upper < 0.2),
-        "variety": rule((variety < 0.1) & (F.col("n_words") < 2000), variety > 0.3),
-        "digits": rule(digits > 0.3, digits < 0.1),
-        "lines": rule(_share("n_dup_lines", "n_lines") > 0.3, F.col("n_dup_lines") == 0),
+    enough = F.col("n_words") >= LEAST_WORDS
+    bad = {
+        "few_words": ~enough,
+        "odd_length": (length < 2) | (length > 14),
+        "symbols": symbols > 0.3,
+        "symbol_runs": runs > 0.2,
+        "symbol_share": _share("n_symbols", "word_chars") > 0.05,
+        "repeated": _share("n_repeat_words", "n_words") > 0.3,
+        "marks": marks > 0.3,
+        "upper": upper > 0.5,
+        "few_kinds": (variety < 0.1) & (F.col("n_words") < 2000),
+        "digits": _share("n_digits", "word_chars") > 0.3,
+        "same_lines": _share("n_dup_lines", "n_lines") > 0.3,
     }
+    good = {
+        "varied": enough & (variety > 0.3),
+        "plain": enough & (symbols < 0.05) & (marks < 0.05) & (upper < 0.2) & length.between(3, 10),
+    }
+    return {name: F.when(says, vote).otherwise(NOTHING) for vote, named in ((BAD, bad), (GOOD, good)) for name, says in named.items()}
 
 
 @dataclass
 class Trust:
-    """Probabilities of each vote given good and bad text, and the share of good text."""
+    """How often each rule is right when it speaks, and the share of good text to begin with."""
 
     names: list[str]
-    good: list[dict[int, float]]
-    bad: list[dict[int, float]]
+    accuracy: list[float]
     prior: float
 
+    def weights(self) -> list[float]:
+        return [math.log(a / (1 - a)) for a in self.accuracy]
+
     def posterior(self) -> Column:
         odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for name, good, bad in zip(self.names, self.good, self.bad, strict=True):
-            told = {vote: math.log(good[vote] / bad[vote]) for vote in (BAD, GOOD)}
-            odds = odds + F.when(F.col(name) == GOOD, told[GOOD]).when(F.col(name) == BAD, told[BAD]).otherwise(0.0)
+        for name, weight in zip(self.names, self.weights(), strict=True):
+            odds = odds + F.col(name) * F.lit(weight)
         return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: list[tuple[tuple[int, ...], int]], names: list[str], rounds: int = ROUNDS) -> Trust:
+def estimate(patterns: list[tuple[tuple[int, ...], int]], names: list[str], prior: float = 0.5, rounds: int = ROUNDS) -> Trust:
     """Expectation-maximisation over patterns of votes and how many rows have each.
 
-    A rule that abstains says nothing either way.  The start is the share of good votes; each rate starts from ten
-    imagined votes, nine of them right, so a rule that rarely speaks is trusted as written and no rate is ever 0 or 1.
+    A rule that abstains says nothing either way.  Each rule starts as right nine times in ten and keeps ten imagined votes
+    of that kind, so one that never speaks stays as written, and none is ever always right.
     """
-    weight = [n for _, n in patterns]
-    belief = [(sum(v == GOOD for v in votes) + 1) / (sum(v != NOTHING for v in votes) + 2) for votes, _ in patterns]
-    good: list[dict[int, float]] = []
-    bad: list[dict[int, float]] = []
-    prior = 0.5
+    trust = Trust(names, [0.9] * len(names), prior)
     for _ in range(rounds):
-        good, bad = [], []
-        for rule in range(len(names)):
-            for side, to, share in ((GOOD, good, belief), (BAD, bad, [1 - b for b in belief])):
-                mass = {vote: 9.0 if vote == side else 1.0 for vote in (BAD, GOOD)}
-                for (votes, _), n, b in zip(patterns, weight, share, strict=True):
-                    if votes[rule] != NOTHING:
-                        mass[votes[rule]] += n * b
-                total = sum(mass.values())
-                to.append({vote: m / total for vote, m in mass.items()})
-        prior = (sum(n * b for n, b in zip(weight, belief, strict=True)) + 1) / (sum(weight) + 2)
-        now = []
-        for votes, _ in patterns:
-            odds = math.log(prior / (1 - prior))
-            odds += sum(math.log(good[i][v] / bad[i][v]) for i, v in enumerate(votes) if v != NOTHING)
-            now.append(1 / (1 + math.exp(-max(-500.0, min(500.0, odds)))))
-        apart = max((abs(a - b) for a, b in zip(now, belief, strict=True)), default=0.0)
-        belief = now
+        weights, start = trust.weights(), math.log(prior / (1 - prior))
+        right, told = [9.0] * len(names), [10.0] * len(names)
+        for votes, n in patterns:
+            odds = start + sum(w * v for w, v in zip(weights, votes, strict=True))
+            good = 1 / (1 + math.exp(-max(-500.0, min(500.0, odds))))
+            for i, vote in enumerate(votes):
+                if vote:
+                    told[i] += n
+                    right[i] += n * (good if vote == GOOD else 1 - good)
+        now = [r / t for r, t in zip(right, told, strict=True)]
+        apart = max((abs(x - y) for x, y in zip(now, trust.accuracy, strict=True)), default=0.0)
+        # A rule that is wrong more often than not is not turned round: it is only no longer heard.
+        trust = Trust(names, [max(x, 0.5) for x in now], prior)
         if apart < 1e-9:
             break
-    return Trust(names, good, bad, prior)
+    return trust
 
 
 def judge(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
