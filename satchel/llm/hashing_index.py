@@ -7,7 +7,7 @@ that radius finds every code within r; what is found is checked over the whole c
 
 The radius is a query's own.  The sample holds rows of the table, so the k-th best cosine in it bounds the k-th best of
 all from below, and a neighbour of that cosine or more has a Hamming distance whose mean and spread are known; the
-radius is that mean and ``SPREADS`` times the spread.
+radius is that mean and ``SPREADS`` times the spread, and wider where that finds fewer than k rows in a shard.
 
 Rows are dealt into shards of bounded size, each with its own tables; queries stream past every shard in blocks, and
 only the best of each shard are passed on.
@@ -101,6 +101,16 @@ class Tables:
         return rows[apart <= r]
 
 
+    def nearest_within(self, code: np.ndarray, r: int, own: np.ndarray, asked: int, k: int) -> np.ndarray:
+        """Rows within ``r``, or within a wider radius until there are ``k`` besides the query's own."""
+        while True:
+            rows = self.within(code, r)
+            rows = rows[own[rows] != asked]
+            if len(rows) >= k or r >= PIECE * len(self.keys):
+                return rows
+            r = min(r + max(r // 4, len(self.keys)), PIECE * len(self.keys))
+
+
 def usable(rows: DataFrame, vector: str, dimension: int | None) -> DataFrame:
     """Rows whose vector is not null or zero, has only finite components, and as many as the others."""
     good = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -144,11 +154,10 @@ def _search(batches: Iterator, codes: Codes, k: int) -> Iterator:
             for at in range(start, end, BLOCK):
                 some = slice(at, min(at + BLOCK, end))
                 found = codes(matrix[some])
-                asked, near, scores, seen = [], [], [], []
+                asked, near, scores = [], [], []
                 for row, code in enumerate(found):
                     q = matrix[at + row]
-                    rows = tables.within(code, int(radii[at + row]))
-                    rows = rows[own[rows] != all_ids[at + row]]
+                    rows = tables.nearest_within(code, int(radii[at + row]), own, all_ids[at + row], k)
                     cosines = units[rows] @ (q / np.linalg.norm(q))
                     if len(rows) > k:
                         least = np.partition(cosines, len(rows) - k)[len(rows) - k]
@@ -157,7 +166,6 @@ def _search(batches: Iterator, codes: Codes, k: int) -> Iterator:
                     asked += [all_ids[at + row]] * len(best)
                     near.append(own[rows[best]])
                     scores.append(cosines[best])
-                    seen += [len(rows)] * len(best)
                 if asked:
                     yield pa.RecordBatch.from_pydict({
                         "query_id": pa.array(asked, pa.int64()), "vec_id": np.concatenate(near), "score": np.concatenate(scores),

@@ -64,12 +64,12 @@ def measures(docs: DataFrame) -> DataFrame:
     # Most texts repeat no window, and a set of the hashes tells; only the others sort them.
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     placed = F.when(
-        repeats, F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        repeats, F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     ).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
     sorted_ = _bound(counted, placed=placed).drop("windows")
     h = lambda at: F.get("placed", at)["h"]
     twice = F.filter("placed", lambda x, at: (h(at - 1) == x["h"]) | (h(at + 1) == x["h"]))
-    found = _bound(sorted_, places=F.array_sort(F.transform(twice, lambda x: x["i"]))).drop("placed")
+    found = _bound(sorted_, places=F.sort_array(F.transform(twice, lambda x: x["i"]))).drop("placed")
     gaps = F.transform(
         "places", lambda i, at: F.when(at > 0, F.least(F.lit(WINDOW), i - F.get("places", at - 1))).otherwise(WINDOW)
     )

@@ -7,7 +7,8 @@ Golay key.  A pair of keys has 24 bits; rows that share one are compared bit by
 Only distinct fingerprints take part, so copies cost nothing.  Rows of one key lie in one sorted run that a task streams
 through, and only links that connect something leave it, never all pairs.  A key with more fingerprints than a task
 should compare is split by exact blocks of the 64 bits: four wrong bits leave at least ``blocks - 4`` blocks untouched,
-so every choice of that many blocks is a finer key, and finer again where that is not enough.
+so every choice of that many blocks is a finer key for the fingerprints in question, and finer again where that is not
+enough; each step starts from the fingerprints, not from the keys before it.
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from satchel.llm.scratch import keep
 SHINGLE = 5
 DISTANCE = 4
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
+SPREAD_ROWS = 20_000
 GROUP = 2048  # fingerprints of one key that are compared in place
 FINER = (6, 8, 12, 16)  # numbers of blocks of the finer keys, from coarse to fine
 UPPER = bytes(range(65, 91))
@@ -111,19 +113,19 @@ def _with_keys(distinct: DataFrame) -> DataFrame:
     return distinct.select("fp").mapInArrow(run, "key long, fp long")
 
 
-def _finer(keyed: DataFrame, blocks: int) -> DataFrame:
+def _finer(fps: DataFrame, blocks: int) -> DataFrame:
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            keys, all_fps = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp"))
-            for at in range(0, len(all_fps), 100):
-                fps, own = all_fps[at : at + 100], keys[at : at + 100]
-                found = block_keys(fps.view(np.uint64), blocks)
-                mixed = (found ^ (own.view(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)[:, None]).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(mixed), pa.array(np.repeat(fps, found.shape[1]))], ["key", "fp"])
+            all_fps = batch.column("fp").to_numpy(zero_copy_only=False)
+            for at in range(0, len(all_fps), 200):
+                some = all_fps[at : at + 200]
+                found = block_keys(some.view(np.uint64), blocks)
+                columns = [pa.array(found.ravel()), pa.array(np.repeat(some, found.shape[1]))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "fp"])
 
-    return keyed.mapInArrow(run, "key long, fp long")
+    return fps.mapInArrow(run, "key long, fp long")
 
 
 def near_in_group(fps: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
@@ -142,11 +144,15 @@ def near_in_group(fps: np.ndarray, distance: int = DISTANCE) -> list[tuple[int,
     return links
 
 
-def _links(batches: Iterator) -> Iterator:
-    """Rows sorted by key, as links that connect; what the task has connected already is not said again."""
+def _links(batches: Iterator, group: int | None) -> Iterator:
+    """Rows sorted by key, as links that connect; what the task has connected already is not said again.
+
+    A key with more than ``group`` rows is not compared but named in ``over``; its rows are not held.
+    """
     import pyarrow as pa
 
     parent: dict[int, int] = {}
+    limit = np.iinfo(np.int64).max if group is None else group
 
     def find(x: int) -> int:
         while (up := parent.setdefault(x, x)) != x:
@@ -164,60 +170,64 @@ def _links(batches: Iterator) -> Iterator:
             parent.clear()  # memory stays bounded; a link may then be said again
         return out
 
-    def signed(links: list[tuple[int, int]]):
+    def found(links: list[tuple[int, int]], over: list[int]):
         pairs = np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        columns = [np.concatenate([pairs[:, i], np.zeros(len(over), np.int64)]) for i in (0, 1)]
+        columns.append(pa.array([None] * len(pairs) + over, pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "over"])
 
     rest = np.empty((2, 0), dtype=np.int64)
-    done = False
+    skipped, done = None, False
     while not done:
         batch = next(batches, None)
         done = batch is None
-        new = np.empty((2, 0), dtype=np.int64) if done else np.stack(
-            [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp")]
-        )
+        new = rest[:, :0] if done else np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "fp")])
+        if skipped is not None:
+            new = new[:, np.searchsorted(new[0], skipped, side="right") :]
         keys, fps = rows = np.concatenate([rest, new], axis=1)
         if not len(keys):
             continue
         borders = np.flatnonzero(np.diff(keys)) + 1
         last = len(keys) if done else int(borders[-1]) if len(borders) else 0
-        rest = rows[:, last:]
+        rest, over = rows[:, last:], []
+        if rest.shape[1] > limit:
+            skipped = int(rest[0, 0])
+            over.append(skipped)
+            rest = rest[:, :0]
         starts = np.concatenate([[0], borders[borders < last]]) if last else np.empty(0, dtype=np.int64)
         sizes = np.diff(np.concatenate([starts, [last]]))
+        over += keys[starts[sizes > limit]].tolist()
         links: list[tuple[int, int]] = []
         small = np.repeat(sizes <= 16, sizes)
-        for step in range(1, 16):  # neighbours at each distance within small groups, all groups at once
-            if step >= last:
-                break
-            near = (keys[: last - step] == keys[step:last]) & small[step:last]
-            i = np.flatnonzero(near)
+        for step in range(1, min(16, last)):  # neighbours at each distance within small groups, all groups at once
+            i = np.flatnonzero((keys[: last - step] == keys[step:last]) & small[step:last])
             i = i[np.bitwise_count(fps[i].view(np.uint64) ^ fps[i + step].view(np.uint64)) <= DISTANCE]
             links += zip(fps[i].view(np.uint64).tolist(), fps[i + step].view(np.uint64).tolist(), strict=True)
-        if out := told(links):
-            yield signed(out)
-        for start, size in zip(starts[sizes > 16].tolist(), sizes[sizes > 16].tolist(), strict=True):
-            if out := told(near_in_group(np.unique(fps[start : start + size]))):
-                yield signed(out)
+        large = (sizes > 16) & (sizes <= limit)
+        for start, size in zip(starts[large].tolist(), sizes[large].tolist(), strict=True):
+            links += near_in_group(np.unique(fps[start : start + size]))
+        if (links := told(links)) or over:
+            yield found(links, over)
 
 
 def near_links(distinct: DataFrame, group: int = GROUP) -> DataFrame:
     """Links ``a, b`` that connect the distinct fingerprints of ``distinct`` (``fp``) as all links of 4 bits would."""
-    keyed = keep(_with_keys(distinct), "keys")
-    found = None
+    # A fingerprint becomes some 84 keys, so partitions are cut by rows and not by bytes.
+    parts = max(distinct.count() // SPREAD_ROWS, int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = _with_keys(distinct.repartition(parts, "fp"))
+    links = None
     for blocks in (*FINER, None):
-        sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-        some = keyed.join(sizes, "key")
-        here = some if blocks is None else some.where(F.col("n") <= group)
-        runs = here.select("key", "fp").repartition("key").sortWithinPartitions("key")
-        links = keep(runs.mapInArrow(_links, "a long, b long"), "near")
-        found = links if found is None else found.unionByName(links)
-        if blocks is None:
+        limit = None if blocks is None else group
+        runs = keyed.repartition("key").sortWithinPartitions("key")
+        out = keep(runs.mapInArrow(lambda rows, limit=limit: _links(rows, limit), "a long, b long, over long"), "near")
+        some = out.where("over IS NULL").select("a", "b")
+        links = some if links is None else links.unionByName(some)
+        over = out.where("over IS NOT NULL").select(F.col("over").alias("key")).distinct()
+        if blocks is None or over.isEmpty():
             break
-        larger = keep(some.where(F.col("n") > group).select("key", "fp"), "larger")
-        if larger.isEmpty():
-            break
-        keyed = keep(_finer(larger, blocks).distinct(), "keys")
-    return found
+        larger = keep(keyed.join(over, "key", "left_semi").select("fp").distinct(), "larger")
+        keyed = _finer(larger.repartition(parts, "fp"), blocks)
+    return links
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -13,7 +13,7 @@ import re
 
 # Letters, numbers and white space up to U+024F.
 LETTER, NUMBER, SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
-OTHER_SCRIPT = re.compile("[^\x00-ɏ]")
+OTHER_SCRIPT = re.compile("[^\x00-ɏ]|İ")  # this one letter becomes two when lowered
 WORDS = {
     "byte": re.compile(
         rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+"

@@ -36,6 +36,7 @@ CAUTION = 1.64  # standard errors
 STRONG = 2.5  # log-odds
 SUPPORT = 5  # texts that a learned word must stand in
 SAMPLE = 20_000  # rows the two models are fitted on
+PATTERNS = 9  # measures of a text besides its words
 LABELLED = 40_000  # labelled rows that words are learned from
 STEPS = 300
 
@@ -155,11 +156,11 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
     features = Features(learned_words(about(labelled, LABELLED, "doc_id")))
     v = len(features.vocabulary)
     rows = _observed(about(docs, sample, "doc_id"), features).collect()
-    patterns = np.array([row["patterns"] for row in rows]).reshape(len(rows), -1)
+    patterns = np.array([row["patterns"] for row in rows]).reshape(len(rows), PATTERNS)
     if not len(rows):
-        weights = np.zeros(v + 9)
+        weights = np.zeros(v + PATTERNS)
         weights[: len(INSULTS)] = 6.0
-        return Classifier(features, np.ones(9), weights, -3.0)
+        return Classifier(features, np.ones(PATTERNS), weights, -3.0)
     votes = features.votes(patterns)
     told = np.array([{0: NO, 1: YES}.get(row["toxic"], ABSTAIN) for row in rows])
     share = labelled.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
