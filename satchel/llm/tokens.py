@@ -24,7 +24,7 @@ WORDS = {
     ),
 }
 BLANK = re.compile(r"(?<=\S) (?=\S)")
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000  # some 200 MB
 ASKED = 10_000
 
 
