@@ -78,7 +78,7 @@ class Tally:
                 self.bytes += len(entry.data) if delivered else entry.size
                 if delivered:
                     yield self.files, entry
-        except Exception as exc:
+        except walker.FORMAT_ERRORS as exc:
             self.error = walker.as_walk_error(exc)
 
     def row(self) -> tuple:
@@ -102,8 +102,12 @@ def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
     yield NO_ENTRY + totals
     if tally.error is None:
         source.seek(0)
-        for pos, entry in Tally(options).entries(source) if held is None else held:
+        again = Tally(options)
+        for pos, entry in again.entries(source) if held is None else held:
             yield (pos, *entry) + totals
+        if again.error is not None:
+            # it was whole a moment ago: let Spark try the task again
+            raise again.error
 
 
 def unpack_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
@@ -126,9 +130,11 @@ def bounded_batches(
     picked: list[int] = []
     rows: list[tuple] = []
     pending = 0
+    # carried columns are copied into every row
+    carried = kept.nbytes // max(kept.num_rows, 1)
     for i in range(kept.num_rows):
         for row in produce(i):
-            size = len(row[DATA_AT] or b"")
+            size = len(row[DATA_AT] or b"") + carried
             if rows and (pending + size > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                 yield output_batch(kept, picked, rows, kinds)
                 picked, rows, pending = [], [], 0
@@ -186,7 +192,7 @@ def sniff_entries(content: bytes, options: SearchOptions) -> tuple[list[bytes],
                 break
             if held > SNIFF_LIMIT:
                 raise walker.BudgetError("SIZE_BUDGET", "the archive holds more files than one row can describe")
-    except Exception as exc:
+    except walker.FORMAT_ERRORS as exc:
         return sniffs, walker.as_walk_error(exc)
     return sniffs, None
 
@@ -228,7 +234,10 @@ class RemoteFile(io.RawIOBase):
         return True
 
     def readinto(self, buffer) -> int:
-        return self._file.readinto(buffer)
+        try:
+            return self._file.readinto(buffer)
+        except OSError as exc:
+            raise walker.StorageFault(str(exc)) from exc
 
     def tell(self) -> int:
         return self._file.tell()
@@ -250,7 +259,13 @@ def remote_source(path: str) -> BinaryIO:
 
     uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
     filesystem, inner = fs.FileSystem.from_uri(uri)
-    return io.BufferedReader(RemoteFile(filesystem.open_input_file(inner)), READ_AHEAD_BYTES)
+    try:
+        file = filesystem.open_input_file(inner)
+    except FileNotFoundError:
+        raise
+    except OSError as exc:
+        raise walker.StorageFault(str(exc)) from exc
+    return io.BufferedReader(RemoteFile(file), READ_AHEAD_BYTES)
 
 
 def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
@@ -265,7 +280,9 @@ def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) ->
                     source.seek(0)
                     for _ in tally.entries(source):
                         pass
-            except Exception as exc:
+            except FileNotFoundError as exc:
+                tally.error = walker.WalkError("UNREADABLE", str(exc))
+            except walker.FORMAT_ERRORS as exc:
                 tally.error = walker.as_walk_error(exc)
             rows.append(tally.row() + (head,))
         yield output_batch(batch, list(range(batch.num_rows)), rows, TALLY_COLUMNS | HEAD_COLUMNS)

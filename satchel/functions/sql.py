@@ -14,22 +14,28 @@ from satchel.functions import mime, walker
 
 
 class UnpackArchive:
-    """``unpack_archive(content, recursive)``: one row per file inside; none for an archive that cannot be read to its end.
+    """``unpack_archive(content, recursive)``: one row per file inside, and one row with only ``error`` per error.
 
-    The archive is walked twice, so that nothing is given out before it is known to be whole and nothing is held.
+    An archive that cannot be read to its end gives no file.  An error inside a nested archive ends only that one.  The
+    archive is walked twice, so that nothing is given out before it is known to be whole and nothing is held.
     """
 
     def eval(self, content: bytes, recursive: bool) -> Iterator[tuple]:
         if content is None:
             return
-        options = walker.WalkOptions(bool(recursive), lambda size: True, lambda exc: None, lambda: True)
+        errors: list[walker.WalkError] = []
+        options = walker.WalkOptions(bool(recursive), lambda size: True, errors.append, lambda: True)
+        whole = True
         try:
             for _ in walker.walk(io.BytesIO(bytes(content)), options):
                 pass
-        except Exception:
-            return
-        for pos, entry in enumerate(walker.walk(io.BytesIO(bytes(content)), options), start=1):
-            yield pos, entry.name, entry.size, entry.depth, entry.container, entry.data
+        except walker.FORMAT_ERRORS as exc:
+            errors, whole = [walker.as_walk_error(exc)], False
+        for error in list(errors):
+            yield None, None, None, None, None, None, (error.code, str(error))
+        if whole:
+            for pos, entry in enumerate(walker.walk(io.BytesIO(bytes(content)), options), start=1):
+                yield pos, entry.name, entry.size, entry.depth, entry.container, entry.data, None
 
 
 def register(spark: SparkSession) -> None:
@@ -46,7 +52,8 @@ def register(spark: SparkSession) -> None:
     }
     for signature, body in bodies.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS STRING RETURN {body}")
-    table_function = F.udtf(UnpackArchive, returnType="pos long, name string, size long, depth int, container string, data binary")
+    kinds = "pos long, name string, size long, depth int, container string, data binary, error struct<class:string,message:string>"
+    table_function = F.udtf(UnpackArchive, returnType=kinds)
     spark.udtf.register("unpack_archive", table_function)
 
 

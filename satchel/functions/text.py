@@ -20,12 +20,14 @@ ENTITIES = (
     ("&amp;", "&"),
 )
 
-_TAG = r"(?s)<[^>]+>"
+# a lone "smaller than" is text
+_TAG = r"(?s)<[a-zA-Z/!?][^>]*>"
 # a run of white space that is not already one blank
 _SPACE = r"[\t\r\n][ \t\r\n]*| [ \t\r\n]+"
 _COMMENT = r"(?is)<!--.*?-->"
 _BEFORE_BODY = r"(?is)^.*?<body[^>]*>"
-_NOT_SHOWN = r"(?is)<(script|style|noscript)\b[^>]*>.*?</(script|style|noscript)>"
+# each ends only with its own name
+_NOT_SHOWN = tuple(rf"(?is)<{name}\b[^>]*>.*?</{name}>" for name in ("script", "style", "noscript"))
 _CDATA = r"(?s)<!\[CDATA\[(.*?)\]\]>"
 
 
@@ -58,8 +60,9 @@ def _untagged(markup: Column) -> Column:
 def html_text(html: Column) -> Column:
     """The text of an HTML body: every tag is a break between words, runs of white space become one blank."""
     text = _without_comments(html)
-    for pattern, replacement in ((_BEFORE_BODY, ""), (_NOT_SHOWN, " ")):
-        text = F.regexp_replace(text, pattern, replacement)
+    text = F.regexp_replace(text, _BEFORE_BODY, "")
+    for pattern in _NOT_SHOWN:
+        text = F.regexp_replace(text, pattern, " ")
     return _untagged(text)
 
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 
 import bz2
 import gzip
+import hashlib
 import io
 import lzma
+import struct
 import tarfile
 import zipfile
 import zlib
@@ -20,7 +22,6 @@ from typing import BinaryIO, NamedTuple
 from satchel.functions import magic
 
 SNIFF_BYTES = 4096
-MAX_DEPTH = 64
 MAX_CELL_BYTES = 2**31 - 2**20
 NESTED_HOLD_BYTES = 32 * 2**20
 DIRECTORY_BYTES = 2**20
@@ -38,6 +39,17 @@ class BudgetError(WalkError):
     """A breach of the size budget, which no sub-archive policy may swallow."""
 
 
+class StorageFault(Exception):
+    """Bytes that could not be fetched; says nothing about the archive, so the task fails and Spark tries it again."""
+
+
+# What the readers raise for bytes that are no proper archive.
+FORMAT_ERRORS = (
+    WalkError, zipfile.BadZipFile, tarfile.TarError, zlib.error, lzma.LZMAError, struct.error, EOFError, OSError, ValueError,
+    KeyError, IndexError, NotImplementedError, RuntimeError, OverflowError,
+)
+
+
 class Member(NamedTuple):
     name: str
     size: int
@@ -115,6 +127,7 @@ def open_tar_member(archive: tarfile.TarFile, info: tarfile.TarInfo) -> BinaryIO
 def tar_members(source: BinaryIO) -> Iterator[Member]:
     archive = tarfile.open(fileobj=source, mode="r:*", tarinfo=StrictTarInfo)
     for info in archive:
+        archive.members.clear()  # else every header seen stays in memory
         size = info.size if info.isreg() else 0
         reader = partial(open_tar_member, archive, info)
         yield Member(info.name, size, info.isdir(), info.mode, info.uname, info.gname, int(info.mtime), reader)
@@ -170,27 +183,21 @@ def read_entry(member: Member, options: WalkOptions) -> tuple[bytes | None, bool
         return data + stream.read(MAX_CELL_BYTES) if wanted else data, False
 
 
-def walk(source: BinaryIO, options: WalkOptions, depth: int = 0, container: str = "") -> Iterator[Entry]:
-    """The files of an archive: its own in archive order, then those of each nested archive by the same rule.
-
-    A nested archive is tested against the budget like any entry, yet is never an entry of its own.  What came out of
-    it before an error stays delivered.
-    """
+def own_files(
+    source: BinaryIO, options: WalkOptions, depth: int, container: str, nested: list[tuple[Member, bytes | None]]
+) -> Iterator[Entry]:
+    """The files of one archive in its order; the archives in it are put into ``nested``."""
     reader = member_reader(source.read(SNIFF_BYTES), source)
     source.seek(0)
     if reader is None:
         raise WalkError("NOT_AN_ARCHIVE", "not an archive or not a supported archive")
-    if depth > MAX_DEPTH:
-        raise WalkError("CORRUPT", f"archives nested deeper than {MAX_DEPTH} levels")
-
-    nested: list[tuple[Member, bytes | None]] = []
     held = 0
     for member in reader(source):
         if member.is_dir or not options.admit(member.size):
             continue
-        if member.size > MAX_CELL_BYTES:
-            raise BudgetError("SIZE_BUDGET", "an entry is larger than one row can hold")
         data, is_nested = read_entry(member, options)
+        if data is not None and len(data) >= MAX_CELL_BYTES:
+            raise BudgetError("SIZE_BUDGET", "an entry is larger than one row can hold")
         if is_nested:
             # few bytes are kept at hand, the rest is read again when its turn comes
             held += len(data)
@@ -198,16 +205,37 @@ def walk(source: BinaryIO, options: WalkOptions, depth: int = 0, container: str
         else:
             yield Entry(member.name, member.size, depth, container, *member[3:7], data)
 
-    for member, data in nested:
+
+def walk(source: BinaryIO, options: WalkOptions) -> Iterator[Entry]:
+    """The files of an archive: its own in archive order, then those of each nested archive by the same rule.
+
+    A nested archive is tested against the budget like any entry, yet is never an entry of its own.  What came out of
+    it before an error stays delivered.  Archives may lie in one another to any depth, but not in themselves.
+    """
+    nested: list[tuple[Member, bytes | None]] = []
+    yield from own_files(source, options, 0, "", nested)
+    levels = [(iter(nested), "", frozenset())]
+    while levels:
+        waiting, container, around = levels[-1]
+        member, data = next(waiting, (None, None))
+        if member is None:
+            levels.pop()
+            continue
+        inside, path = [], f"{container}{member.name}/"
         try:
             if data is None:
                 with member.open() as stream:
                     data = stream.read(MAX_CELL_BYTES)
-            yield from walk(io.BytesIO(data), options, depth + 1, f"{container}{member.name}/")
+            digest = hashlib.sha256(data).digest()
+            if digest in around:
+                raise WalkError("CORRUPT", "an archive lies inside itself")
+            yield from own_files(io.BytesIO(data), options, len(levels), path, inside)
         except BudgetError:
             raise
-        except Exception as exc:
+        except FORMAT_ERRORS as exc:
             options.sub_failed(as_walk_error(exc))
+            continue
+        levels.append((iter(inside), path, around | {digest}))
 
 
 def as_walk_error(exc: Exception) -> WalkError:

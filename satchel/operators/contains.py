@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from satchel import schema
 from satchel.functions import archive_tasks, columns, mime
+from satchel.sources import files
 
 
 def search_set(spark: SparkSession, body: str | None = None, path: str | None = None) -> list[str]:
@@ -22,13 +23,13 @@ def search_set(spark: SparkSession, body: str | None = None, path: str | None =
     if (body is None) == (path is None):
         raise ValueError("give exactly one of body and path")
     if body is None:
-        body = spark.read.text(path, wholetext=True).first()[0]
+        body = files.one_file(spark, path)
     try:
         items = json.loads(body)
     except ValueError as exc:
-        raise ValueError('not a JSON array of strings such as ["application/pdf","application/zip"]') from exc
+        raise ValueError('the search set is no JSON array of strings') from exc
     if not isinstance(items, list) or not all(item is None or isinstance(item, str) for item in items):
-        raise ValueError('not a JSON array of strings such as ["application/pdf","application/zip"]')
+        raise ValueError('the search set is no JSON array of strings')
     return list(dict.fromkeys(item for item in items if item is not None and item.strip(columns.TRIMMED)))
 
 

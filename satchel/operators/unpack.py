@@ -109,7 +109,7 @@ def _routed(
         F.when(mime.is_unreadable_archive_type(F.col("archive_mime_type")), schema.error(schema.UNSUPPORTED, "not a supported archive"))
         .when(not_archive, schema.error(schema.NOT_AN_ARCHIVE, "not an archive or not a supported archive"))
         .when(F.col("error_class").isNotNull(), schema.error(F.col("error_class"), F.col("error_message")))
-        .when(nothing & F.lit(fail_on_nothing), schema.error(schema.NOTHING_UNPACKED, "nothing unpacked from the archive"))
+        .when(nothing & F.lit(fail_on_nothing), schema.error(schema.NOTHING_UNPACKED, "no file came out"))
     )
     parent_route = (
         F.when(not_archive, schema.FAILURE if non_archive_to_failure else schema.ORIGINAL)
@@ -172,9 +172,11 @@ def lineage(child_rows: DataFrame, id_col: str = "file_id") -> DataFrame:
 
 def audit(outcome: DataFrame, operator: str, id_col: str = "file_id") -> DataFrame:
     """What an operator did to each record, read off its outcome: a fork, a change of content or of attributes."""
-    change = (
-        F.when(F.col("route") == schema.SUCCESS, "content modified" if operator == "extract" else "attributes modified")
-        .when((F.col("route") == schema.ORIGINAL) & F.col("error").isNull(), "fork" if operator == "unpack" else "attributes modified")
-        .otherwise("attributes modified")
-    )
+    if operator == "unpack":
+        forked = (F.col("route") == schema.ORIGINAL) & (F.col("fragment_count") > 0)
+        change = F.when(forked, "fork").otherwise("attributes modified")
+    elif operator == "extract":
+        change = F.when(F.col("route") == schema.SUCCESS, "content modified").otherwise("attributes modified")
+    else:
+        change = F.lit("attributes modified")
     return outcome.select(F.col(id_col), F.lit(operator).alias("op"), change.alias("change"), "route")

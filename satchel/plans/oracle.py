@@ -35,9 +35,10 @@ FLAT_FILES = "SELECT doc_id AS archive_id, i + 1 AS fragment_index, entry_name,
 HTML_TEXT = r"""
 trim(regexp_replace(
     replace(replace(replace(replace(replace(replace(replace(replace(replace(
-        regexp_replace(regexp_replace(regexp_replace(regexp_replace({html},
-            '(?is)<!--.*?-->', ' ', 'g'), '(?is)^.*?<body[^>]*>', '', 'g'),
-            '(?is)<(script|style|noscript)\b[^>]*>.*?</(script|style|noscript)>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'),
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({html},
+            '(?is)<!--.*?-->', ' ', 'g'), '(?is)^.*?<body[^>]*>', '', 'g'), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'),
+            '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '(?is)<noscript\b[^>]*>.*?</noscript>', ' ', 'g'),
+            '(?s)<[a-zA-Z/!?][^>]*>', ' ', 'g'),
         '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
         '&copy;', '©'), '&middot;', '·'), '&amp;', '&'),
     '[ \t\r\n]+', ' ', 'g'))"""
@@ -303,19 +304,18 @@ ORACLE: dict[str, str] = {
         WITH {ROUTED}, routed AS (
             SELECT request_id, key,
                    CASE WHEN key IS NULL OR trim(key) = '' THEN 'failure'
-                        WHEN nth = 1 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey::VARCHAR = key AND c_acctbal >= 0)
+                        WHEN nth = 1 AND EXISTS (SELECT 1 FROM customer WHERE c_custkey::VARCHAR = key)
                         THEN 'success' ELSE 'not-found' END AS route
             FROM ranked
         )
         SELECT request_id, key, route, route = 'failure' AS penalized, CASE WHEN route = 'failure' THEN 'BLANK_KEY' END AS error_class
         FROM routed""",
     "keyed_delete_survivors": """
-        SELECT c_custkey::VARCHAR AS key, c_name AS value FROM customer
-        WHERE c_acctbal >= 0
-          AND NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT')""",
+        SELECT o_orderkey::VARCHAR AS key, o_orderpriority AS value FROM orders
+        WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_orderkey)""",
     "keyed_delete_expr": """
         SELECT c_custkey, c_mktsegment || ':' || c_custkey AS key,
-               CASE WHEN c_acctbal >= 0 THEN 'success' ELSE 'not-found' END AS route
+               CASE WHEN c_custkey % 2 = 0 THEN 'success' ELSE 'not-found' END AS route
         FROM customer""",
     "keyed_delete_replay": """
         SELECT event_id, CASE WHEN before = 'signup' THEN 'success' ELSE 'not-found' END AS route

@@ -60,9 +60,7 @@ def file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def route_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = extract.extract_text(_encrypted_corpus(spark, sf_dir), max_chars=2000)
-    routes = files.split_routes(outcome, "success", "failure")
-    counted = [df.groupBy("route").agg(F.count("*").alias("n_files")) for df in routes.values()]
-    return counted[0].unionByName(counted[1])
+    return outcome.groupBy("route").agg(F.count("*").alias("n_files"))
 
 
 def error_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +350,7 @@ def extract_error_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = samples.table(spark, sf_dir, "customer").filter(F.col("c_acctbal") >= 0)
+    customers = samples.table(spark, sf_dir, "customer")
     return customers.select(
         F.col("c_custkey").cast("string").alias("key"), F.col("c_name").alias("value"), "c_custkey", "c_mktsegment"
     )
@@ -370,14 +368,17 @@ def keyed_delete_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyed_delete_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # only urgent orders ask for a removal, so that something survives
-    asking = samples.table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
-    requests = asking.select(F.col("o_custkey").cast("string").alias("key"))
-    return keyed.survivors(_store(spark, sf_dir), requests).select("key", "value")
+    # a customer asks for the removal of the order with its number; most orders have no such customer
+    orders = samples.table(spark, sf_dir, "orders")
+    store = orders.select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("value"))
+    requests = samples.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"))
+    return keyed.survivors(store, requests).select("key", "value")
 
 
 def keyed_delete_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = _store(spark, sf_dir).select(F.concat_ws(":", "c_mktsegment", F.col("c_custkey").cast("string")).alias("key"))
+    # every other key of the store is of another form
+    kept = F.when(F.col("c_custkey") % 2 == 0, F.concat_ws(":", "c_mktsegment", F.col("c_custkey").cast("string")))
+    store = _store(spark, sf_dir).select(F.coalesce(kept, "key").alias("key"))
     customers = samples.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
     requests = keyed.with_key(customers, "concat(c_mktsegment, ':', CAST(c_custkey AS STRING))")
     return keyed.route_deletes(requests, store, id_col="c_custkey").select("c_custkey", "key", "route")

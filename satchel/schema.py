@@ -18,6 +18,7 @@ UNSUPPORTED = "UNSUPPORTED"
 TEXT_LIMIT = "TEXT_LIMIT"
 BLANK_KEY = "BLANK_KEY"
 CORRUPT = "CORRUPT"
+UNREADABLE = "UNREADABLE"
 
 ERROR_TYPE = "struct<class:string,message:string>"
 

@@ -49,12 +49,20 @@ def _is_text(table: DataFrame, content: Column) -> bool:
     return isinstance(table.select(content).schema.fields[0].dataType, T.StringType)
 
 
+def one_file(spark: SparkSession, path: str) -> str:
+    """The text of the one file that ``path`` names."""
+    found = spark.read.text(path, wholetext=True).limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{path} names {'several files' if found else 'no file'}, one is needed")
+    return found[0][0]
+
+
 def load_rules(spark: SparkSession, body: str | None = None, path: str | None = None) -> list[Rule] | None:
     """A user's type rules, given inline or as a file; None, the built-in table, when neither is given."""
     if body is not None and path is not None:
         raise ValueError("give only one of body and path")
     if path is not None:
-        body = spark.read.text(path, wholetext=True).first()[0]
+        body = one_file(spark, path)
     return None if body is None else mime.parse_rules(body)
 
 

@@ -183,12 +183,12 @@ def test_links_are_empty_files(make_files):
     assert (child.entry_name, bytes(child.content)) == ("link", b"")
 
 
-def test_endless_nesting_is_stopped(make_files):
+def test_seventy_levels_are_walked(make_files):
     data = b"core"
     for i in range(70):
         data = zip_of([("n.zip" if i else "core.txt", data)])
     parents, children = run(make_files(("deep", data)), recursive=True)
-    assert children == [] and parents["deep"].error["class"] == "CORRUPT"
+    assert [bytes(c.content) for c in children] == [b"core"] and parents["deep"].error is None
 
 
 @pytest.mark.parametrize(
@@ -272,3 +272,34 @@ def test_narrow_plan(make_files):
     rows = unpack.unpack(make_files(("a", b"x")), recursive=True)
     for df in (unpack.parents(rows), unpack.children(rows).filter("mime_type = 'text/plain'")):
         assert "Exchange" not in plan_of(df) and plan_of(df).count("MapInArrow") == 1
+
+
+def test_archives_nest_to_any_depth_but_not_in_themselves(spark, make_files):
+    deep = zip_of([("a.txt", b"at the bottom")])
+    for level in range(300):
+        deep = zip_of([(f"{level}.zip", deep)])
+    rows = unpack.unpack(make_files(("deep", deep)), recursive=True)
+    (child,) = unpack.children(rows).collect()
+    assert (bytes(child.content), child.depth) == (b"at the bottom", 300)
+    (parent,) = unpack.parents(rows).collect()
+    assert (parent.route, parent.error) == ("original", None)
+
+
+def test_an_archive_is_forked_only_with_files(make_files):
+    rows = unpack.unpack(make_files(("full", zip_of([("a", b"1")])), ("empty", zip_of([]))), fail_on_nothing=False)
+    changes = {r.file_id: r.change for r in unpack.audit(unpack.parents(rows), "unpack").collect()}
+    assert changes == {"full": "fork", "empty": "attributes modified"}
+
+
+def test_a_storage_fault_is_no_verdict():
+    import io
+
+    from satchel.functions import archive_tasks, walker
+
+    class Failing(io.BytesIO):
+        def read(self, *size):
+            raise walker.StorageFault("gone for a moment")
+
+    tally = archive_tasks.Tally(archive_tasks.UnpackOptions(False, -1, True, True))
+    with pytest.raises(walker.StorageFault):
+        list(tally.entries(Failing(b"PK")))
