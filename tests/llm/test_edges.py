@@ -25,7 +25,7 @@ from tests.llm import plain
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, is_target boolean, toxic int"
 EXTRA = {"part": "part", "_part": "x", "key": "k", "node": "n", "rank": "r", "size": "s", "words": "w", "position": "p", "fp": "f"}
-LONG = " ".join(f"wort{i % 977} sätze{i % 13}." for i in range(60_000))
+LONG = " ".join(f"wort{i % 977} sätze{i % 13}." for i in range(6_000))
 ROWS = [
     (1, None, None, None, None, None, None), (2, "", "en", "a", 0, True, 0), (3, " \n\t ", "en", "a", 4, False, 0),
     (4, "the same text stands here twice for good", "en", "a", 1, True, 0),
