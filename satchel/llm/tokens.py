@@ -11,18 +11,24 @@ from __future__ import annotations
 import os
 import re
 
-# Letters, numbers and white space up to U+024F.
-LETTER, NUMBER, SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
-OTHER_SCRIPT = re.compile("[^\x00-ɏ]|İ")  # this one letter becomes two when lowered
-WORDS = {
-    "byte": re.compile(
-        rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{NUMBER}]+| ?[^{SPACE}{LETTER}{NUMBER}]+"
-        rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-    ),
-    "word": re.compile(
-        rf"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[{LETTER}]+|[{NUMBER}]|[^{SPACE}{LETTER}{NUMBER}]+"
-    ),
-}
+# Letters, numbers and white space of ASCII, and what is added to each up to U+024F.
+ASCII = ("A-Za-z", "0-9", "\t-\r ")
+LATIN = ("A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0")
+APART = "\0"  # parts new words when they are asked for together
+OTHER_SCRIPT = re.compile("[^\x01-ɏ]|İ")  # this one letter becomes two when lowered
+
+
+def _words(kind: str, letter: str, number: str, space: str) -> re.Pattern:
+    if kind == "byte":
+        return re.compile(
+            rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
+            rf"|[{space}]+(?![^{space}])|[{space}]+"
+        )
+    return re.compile(
+        rf"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[{letter}]+|[{number}]|[^{space}{letter}{number}]+"
+    )
+
+
 BLANK = re.compile(r"(?<=\S) (?=\S)")
 REMEMBERED = 1_000_000  # some 200 MB
 ASKED = 10_000
@@ -36,30 +42,51 @@ class Encoder:
 
     def __init__(self, file: str, kind: str, remembered: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole, self.bare = Tokenizer.from_file(file), Tokenizer.from_file(file)
         self.whole.encode_special_tokens = self.bare.encode_special_tokens = True
-        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.words = WORDS[kind]
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(APART, "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
+        ])
+        (self.apart,) = self.bare.encode(APART, add_special_tokens=False).ids
+        if kind == "word":
+            # Words of these letters are composed already and hold no white space; they are lowered before asking.
+            self.bare.normalizer = normalizers.Sequence([])
+        self.ascii, self.latin, self.lowers = _words(kind, *ASCII), _words(kind, *LATIN), kind == "word"
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if OTHER_SCRIPT.search(text):
+        plain = text.isascii() and APART not in text
+        if not plain and OTHER_SCRIPT.search(text):
             first, *rest = BLANK.split(text)
             return b"".join(self._ask(self.whole, [first, *(" " + x for x in rest)]))
-        words, known = self.words.findall(text), self.known
-        if new := [x for x in words if x not in known]:
-            new = list(dict.fromkeys(new))
-            if len(known) + len(new) > self.remembered:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            known.update(zip(new, self._ask(self.bare, new), strict=True))
+        words, known = (self.ascii if plain else self.latin).findall(text), self.known
+        try:
+            return b"".join(map(known.__getitem__, words))
+        except KeyError:
+            new = list(set(words).difference(known))
+        if len(known) + len(new) > self.remembered:
+            known.clear()
+            new = list(set(words))
+        for at in range(0, len(new), ASKED):
+            some = new[at : at + ASKED]
+            known.update(zip(some, self._bare(some), strict=True))
         return b"".join(map(known.__getitem__, words))
 
+    def _bare(self, words: list[str]) -> list[bytes]:
+        """Ids of each word.  No word holds the mark, so its id stands for nothing but the borders."""
+        import numpy as np
+
+        joined = APART.join(words)
+        (found,) = self.bare.encode_batch_fast([joined.lower() if self.lowers else joined], add_special_tokens=False)
+        ids = np.array(found.ids, dtype="<u4")
+        raw, ends = ids.tobytes(), [*(4 * np.flatnonzero(ids == self.apart)).tolist(), 4 * len(ids)]
+        return [raw[s:e] for s, e in zip([0, *(x + 4 for x in ends[:-1])], ends, strict=True)]
+
     @staticmethod
     def _ask(tokenizer, pieces: list[str]) -> list[bytes]:
         import numpy as np
