@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satchel.llm.ranks import numbered
+from satchel.llm.scratch import keep
 from satchel.llm.tokens import encoder
 
 WINDOW = 4096
@@ -127,7 +128,8 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     Sequences are numbered without gaps: first the full pieces, one each, then the windows in the order they are opened.
     Rows that are alike in length are ranked by ``doc_id`` and ``start``.  An empty table gives an empty one.
     """
-    ranked = numbered(cut, ["doc_id", "start"], "_rank", ["length"])
+    # Written first: sorting by range reads its input twice, which would cut and tokenize every text twice.
+    ranked = numbered(keep(cut, "cut"), ["doc_id", "start"], "_rank", ["length"])
     # At most one row per length.
     counts = {row["length"]: row["count"] for row in ranked.groupBy("length").count().collect()}
     full = counts.pop(window, 0)
