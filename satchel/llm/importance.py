@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from satchel.llm.ranks import numbered
-from satchel.llm.sampling import drawn
+from satchel.llm.sampling import drawn, with_labels
 from satchel.llm.scratch import keep
 
 BUCKETS = 1 << 14
@@ -25,6 +25,7 @@ SMOOTHING = 1.0
 PER = 100
 NO_WORDS = -1000.0  # the weight of a text without words
 CHUNK = 1 << 20
+TARGETS = 100_000  # labelled target texts that the model of target text is made of
 STEP, STEPS_TO = 0.5, 100.0  # bins of weights for the calibration
 ODD = 0x9E3779B97F4A7C15  # fixed value: the usual odd multiplier of multiplicative hashing
 
@@ -117,7 +118,7 @@ def fit(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -
 
 
 def weigh(docs: DataFrame, ratio: Ratio) -> DataFrame:
-    """``doc_id, is_target, log_weight, n_grams``; a text without words weighs ``NO_WORDS``."""
+    """``doc_id, log_weight, n_grams``; a text without words weighs ``NO_WORDS``."""
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -126,13 +127,12 @@ def weigh(docs: DataFrame, ratio: Ratio) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             found = [ratio.weigh(hasher, texts[i].as_py()) for i in range(len(batch))]
-            columns = [batch.column("doc_id"), batch.column("is_target"), pa.array([w for w, _ in found], pa.float64())]
+            columns = [batch.column("doc_id"), pa.array([w for w, _ in found], pa.float64())]
             columns.append(pa.array([n for _, n in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "is_target", "log_weight", "n_grams"])
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_weight", "n_grams"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, is_target boolean, log_weight double, n_grams long"
-    return docs.select("doc_id", "is_target", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, log_weight double, n_grams long")
 
 
 def expected_target(weighed: DataFrame) -> int:
@@ -159,21 +159,30 @@ def expected_target(weighed: DataFrame) -> int:
     return round(float((n / (1 + np.exp(-np.clip(slope * np.clip(x, -20, 20) + middle, -50, 50)))).sum())) if len(n) else 0
 
 
-def resample(docs: DataFrame, keep_rows: int | None = None, seed: int = 5, ratio: Ratio | None = None) -> DataFrame:
-    """``doc_id, log_weight, n_grams, draw, kept`` for each row of ``docs`` (``doc_id, text, is_target``).
+def resample(
+    docs: DataFrame,
+    labels: DataFrame,
+    keep_rows: int | None = None,
+    seed: int = 5,
+    ratio: Ratio | None = None,
+    targets: int = TARGETS,
+) -> DataFrame:
+    """``doc_id, log_weight, n_grams, draw, kept`` for each row of ``docs`` (``doc_id, text``).
 
-    ``is_target`` says of a row whether its text is target text, null if nobody said; both models are fitted on all rows
-    unless ``ratio`` is given.  ``draw`` is the weight plus Gumbel noise from a hash of ``doc_id`` and ``seed``; the
+    ``labels`` (``doc_id, is_target``, one row for each id) says whose text is target text.  Unless ``ratio`` is given the
+    model of raw text is made of all rows and that of target text of about ``targets`` labelled ones.  ``draw`` is the weight plus Gumbel noise from a hash of ``doc_id`` and ``seed``; the
     ``keep_rows`` largest are kept, by default as many as ``expected_target`` finds.
 
     Ties in ``draw`` go to the smaller ``doc_id``; repeated rows are drawn each.  A text without words (null, empty,
     only white space) has the weight ``NO_WORDS`` and comes last.  Without any target row all other weights are 0.  An
     empty table gives an empty one; extra columns are left out.
     """
-    ratio = ratio or fit(docs)
+    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "is_target")
+    ratio = ratio or fit(with_labels(docs, labels.where("is_target"), targets, "left"))
     weighed = keep(
         weigh(docs, ratio).withColumn("draw", F.col("log_weight") - F.log(-F.log(drawn("doc_id", seed=seed)))), "weighed"
     )
-    keep_rows = expected_target(weighed) if keep_rows is None else keep_rows
+    if keep_rows is None:
+        keep_rows = expected_target(weighed.join(labels, "doc_id", "left"))
     ranked = numbered(weighed.withColumn("_low", -F.col("draw")), ["_low", "doc_id"], "_rank")
     return ranked.select("doc_id", "log_weight", "n_grams", "draw", (F.col("_rank") < keep_rows).alias("kept"))

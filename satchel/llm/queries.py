@@ -31,11 +31,15 @@ def held_out(mod: int, rest: int) -> Column:
     return F.coalesce(crc_mod("doc_id", mod) == rest, F.lit(False))
 
 
-def with_labels(docs: DataFrame, labels: DataFrame, label: str, column: str) -> DataFrame:
-    """``docs`` (``doc_id, text``) with ``column``, null without a label; only labels that may be learned are seen."""
-    told = labels.where(F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).alias(column))
-    rows = docs.select("doc_id", "text").join(told, "doc_id", "left")
-    return rows.withColumn(column, F.when(~held_out(5, 0), F.col(column)))
+def learnable(labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id, label``: one row for each id, of the labels that may be learned only."""
+    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(5, 0))
+    return rows.groupBy("doc_id").agg(F.max(label).alias(label))
+
+
+def targets(labels: DataFrame) -> DataFrame:
+    """``doc_id, is_target``: whose text is good text."""
+    return learnable(labels, "quality").select("doc_id", (F.col("quality") == 1).alias("is_target"))
 
 
 def neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,8 +68,8 @@ def pack_documents(docs: DataFrame) -> DataFrame:
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = with_labels(docs, table(spark, sf_dir, "labels"), "toxic", "toxic")
-    found = toxicity.score(docs, toxicity.fit(labelled.where(~held_out(5, 0))))
+    labels = learnable(table(spark, sf_dir, "labels"), "toxic")
+    found = toxicity.score(docs, toxicity.fit(docs.where(~held_out(5, 0)), labels))
     return found.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
@@ -83,9 +87,7 @@ def copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = with_labels(docs, table(spark, sf_dir, "labels"), "quality", "quality")
-    return importance.resample(labelled.withColumn("is_target", F.col("quality") == 1))
+    return importance.resample(table(spark, sf_dir, "documents"), targets(table(spark, sf_dir, "labels")))
 
 
 def ruled(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,3 +22,11 @@ def about(rows: DataFrame, most: int, *keys: str, seed: int = 11) -> DataFrame:
     """About ``most`` rows chosen by a hash of ``keys``, all of them if there are fewer."""
     n = rows.count()
     return rows if n <= most else rows.where(drawn(*keys, seed=seed) < most / n)
+
+
+def with_labels(docs: DataFrame, labels: DataFrame, most: int, how: str = "inner") -> DataFrame:
+    """``docs`` beside about ``most`` rows of ``labels`` (one for each ``doc_id``).
+
+    The chosen labels are few whatever there is, so they go to the texts and no text is shuffled.
+    """
+    return docs.join(F.broadcast(about(labels, most, "doc_id")), "doc_id", how)

@@ -17,10 +17,12 @@ from dataclasses import dataclass, field
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from satchel.llm import label_model
 from satchel.llm.label_model import ABSTAIN, NO, YES
-from satchel.llm.sampling import about
+from satchel.llm.sampling import about, with_labels
+from satchel.llm.scratch import keep
 
 # Common English, German, French and Spanish insults.
 INSULTS = """idiot idiots stupid moron morons dumb loser losers scum trash pathetic worthless disgusting clown clowns
@@ -145,17 +147,20 @@ def _observed(docs: DataFrame, features: Features) -> DataFrame:
     return docs.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(run, schema)
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE) -> Classifier:
-    """A classifier from rows of ``doc_id, text, toxic``, where ``toxic`` is null for rows without a label.
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Classifier:
+    """A classifier from ``docs`` (``doc_id, text``) and ``labels`` (``doc_id, toxic``, one row for each id).
 
     Words are learned from about ``LABELLED`` labelled rows and the models are fitted on about ``sample`` rows, labelled or
-    not, chosen by a hash of ``doc_id``.  Without labelled rows of both kinds only the general lists vote.  With no rows at all
+    not, both chosen by a hash of ``doc_id``.  Without labelled rows of both kinds only the general lists vote.  With no rows at all
     every text scores by those lists alone.
     """
-    labelled = docs.where(F.col("toxic").isin(0, 1) & F.col("text").isNotNull())
-    features = Features(learned_words(about(labelled, LABELLED, "doc_id")))
+    docs = docs.select("doc_id", "text")
+    labels = labels.where(F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
+    labelled = keep(with_labels(docs.where("text IS NOT NULL"), labels, LABELLED), "labelled")
+    features = Features(learned_words(labelled))
     v = len(features.vocabulary)
-    rows = _observed(about(docs, sample, "doc_id"), features).collect()
+    seen = keep(about(docs, sample, "doc_id"), "seen")
+    rows = _observed(seen.join(labels, "doc_id", "left"), features).collect()
     patterns = np.array([row["patterns"] for row in rows]).reshape(len(rows), PATTERNS)
     if not len(rows):
         weights = np.zeros(v + PATTERNS)
@@ -190,8 +195,8 @@ def _linear(x: np.ndarray, target: np.ndarray, steps: int = STEPS, decay: float
     return w[:-1], float(w[-1])
 
 
-def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
-    """``doc_id, score, predicted`` for every row; only ``text`` is looked at.
+def score(docs: DataFrame, classifier: Classifier, carried: str | None = None) -> DataFrame:
+    """``doc_id, score, predicted`` for every row; only ``text`` is looked at.  ``carried`` names a column that rides along.
 
     Null and empty texts are scored like a text without any word.  Repeated rows come out each.
     """
@@ -202,8 +207,10 @@ def score(docs: DataFrame, classifier: Classifier) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             scores = pa.array([classifier.score(texts[i].as_py()) for i in range(len(batch))], pa.float64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), scores], ["doc_id", "score"])
+            columns = [batch.column(name) for name in kept]
+            yield pa.RecordBatch.from_arrays([*columns, scores], [*kept, "score"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    kept = ["doc_id"] if carried is None else ["doc_id", carried]
+    schema = StructType([docs.schema[name] for name in kept]).add("score", "double")
+    scored = docs.select(*kept, "text").mapInArrow(run, schema)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -42,14 +42,18 @@ def docs(spark):
     return spark.createDataFrame(ROWS, SCHEMA).withColumns({c: F.lit(v) for c, v in EXTRA.items()})
 
 
+def labels_in(d, label):
+    return d.where(f"doc_id is not null and {label} is not null").groupBy("doc_id").agg(F.max(label).alias(label))
+
+
 OPERATORS = {
     "language": lambda d: language.predict(d, language.fit(d)),
     "packing": q.pack_documents,
-    "toxicity": lambda d: toxicity.score(d, toxicity.fit(d)),
+    "toxicity": lambda d: toxicity.score(d, toxicity.fit(d, labels_in(d, "toxic"))),
     "mixing": mixing.mix,
     "files": lambda d: token_files.round_trip(d, q.public_tokenizers.path("byte_bpe_50k.json"), "byte", 0),
     "simhash": simhash.near_duplicates,
-    "importance": importance.resample,
+    "importance": lambda d: importance.resample(d, labels_in(d, "is_target")),
     "rules": quality_rules.judge,
     "shards": lambda d: kd_shards.shard(d, shards=5),
 }
