@@ -1,83 +1,70 @@
-"""Mixing sources to target weights by Pfair scheduling, with DataFrame functions only.
+"""Mixing sources to target weights by Pfair scheduling; rows are placed with DataFrame functions only.
 
 Each source's documents, in a hashed order, are cut into blocks of equal bytes.  In a schedule of one block a slot, block i
 of a source with weight w is released at floor(i / w) and due at ceil((i + 1) / w), and earliest deadline first then
-never is a whole block off the target.  Weights are whole numbers of slots in a cycle, and all sources are level where
-a cycle ends, so one cycle of slots is laid out and every block of the corpus finds its slot by its number alone.
+never is a whole block off the target.  Both bounds are those of the exact weights over running block numbers, so nothing
+adds up, however long the mix.  The schedule is a row for each block, not for each document; the driver makes it in
+one pass in memory that does not grow and writes it in chunks, and documents meet it by the number of their block.
 
-No document is dropped or repeated.  A source that runs out ends a phase, and the others share the slots from then on.
+No document is dropped or repeated.  A source that runs out ends a phase, and the others share the slots from then on;
+a phase counts its slots and its blocks from where it starts.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from fractions import Fraction
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from satchel.llm.ranks import numbered, running
-from satchel.llm.scratch import keep
+from satchel.llm.scratch import keep, new_path
 
-CYCLE = 256  # slots; more where there are many sources
 BLOCK_BYTES = 1 << 16
 EXPONENT = 0.5  # of the default weights: source bytes to this power
 NO_SOURCE = "(none)"
+CHUNK = 1 << 18  # blocks of the schedule on the driver at a time
+SCHEDULE = "_s long, block long, phase long, slot long, release long, deadline long"
 
 
-def slots_of(counts: list[int]) -> list[list[tuple[int, int, int]]]:
-    """For each source its blocks' ``(slot, release, deadline)`` in a cycle of ``sum(counts)`` slots."""
-    length = sum(counts)
-    waiting = sorted((i * length // c, -(-(i + 1) * length // c), s, i) for s, c in enumerate(counts) for i in range(c))
-    placed: list[list[tuple[int, int, int]]] = [[] for _ in counts]
-    ready: list[tuple[int, int, int, int]] = []
-    at = 0
-    for slot in range(length):
-        while at < length and waiting[at][0] <= slot:
-            release, deadline, source, i = waiting[at]
-            heapq.heappush(ready, (deadline, source, i, release))
-            at += 1
-        deadline, source, _, release = heapq.heappop(ready)
-        placed[source].append((slot, release, deadline))
-    return placed
-
-
-def shares(weights: list[Fraction], cycle: int) -> list[int]:
-    """Whole numbers that sum to ``cycle``, at least one each, nearest to the weights by largest remainder."""
-    total = sum(weights)
-    exact = [w / total * (cycle - len(weights)) for w in weights]
-    counts = [1 + math.floor(x) for x in exact]
-    for s in sorted(range(len(weights)), key=lambda s: (math.floor(exact[s]) - exact[s], s))[: cycle - sum(counts)]:
-        counts[s] += 1
-    return counts
-
-
-def phases(blocks: list[int], weights: list[Fraction], cycle: int) -> list[dict]:
-    """Phases, each with ``first_slot``, ``cycles`` and, for each source still there, ``first_block`` and ``count``."""
-    left, done, slot, out = list(blocks), [0] * len(blocks), 0, []
+def schedule(blocks: list[int], weights: list[Fraction]) -> Iterator[tuple[int, int, int, int, int, int]]:
+    """``(source, block, phase, slot, release, deadline)`` for every block, by slot."""
+    left, done, start, phase = list(blocks), [0] * len(blocks), 0, 0
     while active := [s for s, n in enumerate(left) if n]:
-        counts = dict(zip(active, shares([weights[s] for s in active], max(cycle, 4 * len(active))), strict=True))
-        cycles = min(left[s] // c for s, c in counts.items())
-        if not cycles:  # the last blocks of some source: one cycle with what is there
-            counts, cycles = {s: min(c, left[s]) for s, c in counts.items()}, 1
-        out.append({"first_slot": slot, "cycles": cycles, "counts": counts, "first_block": {s: done[s] for s in active}})
-        slot += cycles * sum(counts.values())
-        for s, c in counts.items():
-            left[s], done[s] = left[s] - cycles * c, done[s] + cycles * c
-    return out
-
-
-def _table(spark: SparkSession, names: str, rows: list[tuple[int, ...]]) -> DataFrame:
-    """Whole numbers as a table that Catalyst knows the size of."""
-    values = ", ".join("(" + ", ".join(f"{x}L" for x in row) + ")" for row in rows)
-    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
-
-
-def mix(
-    docs: DataFrame, weights: Mapping[str, float] | None = None, block_bytes: int = BLOCK_BYTES, cycle: int = CYCLE
-) -> DataFrame:
+        scale = math.lcm(*(weights[s].denominator for s in active))
+        share = {s: int(weights[s] * scale) for s in active}
+        total = sum(share.values())
+        # Of each source the next block waits for its release or is ready for its slot.
+        waiting, ready = [(0, s, 0) for s in active], []
+        slot, first = 0, {s: done[s] for s in active}
+        s = active[0]
+        while left[s]:  # the source served last; the first one to run out ends the phase
+            while waiting and waiting[0][0] <= slot:
+                release, s, i = heapq.heappop(waiting)
+                heapq.heappush(ready, (-(-(i + 1) * total // share[s]), s, i, release))
+            deadline, s, i, release = heapq.heappop(ready)
+            yield s, first[s] + i, phase, start + slot, start + release, start + deadline
+            left[s], done[s], slot = left[s] - 1, done[s] + 1, slot + 1
+            heapq.heappush(waiting, ((i + 1) * total // share[s], s, i + 1))
+        start, phase = start + slot, phase + 1
+
+
+def _written(spark: SparkSession, rows: Iterator[tuple[int, ...]]) -> DataFrame:
+    """The schedule as a table, chunk by chunk."""
+    import pyarrow as pa
+
+    path, names = new_path(spark, "schedule"), [x.split()[0] for x in SCHEDULE.split(", ")]
+    while some := list(islice(rows, CHUNK)):
+        columns = [pa.array(c, pa.int64()) for c in zip(*some, strict=True)]
+        spark.createDataFrame(pa.table(columns, names)).write.mode("append").parquet(path)
+    return spark.read.schema(SCHEDULE).parquet(path)
+
+
+def mix(docs: DataFrame, weights: Mapping[str, float] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row for each row of ``docs`` (``doc_id, text, source``) with its place in the mix.
 
     ``doc_id, source, size, block, phase, slot, release, deadline, position``: ``size`` in bytes, ``block`` the number of
@@ -87,7 +74,7 @@ def mix(
     ``weights`` of sources that are missing count as the smallest one given; by default a source weighs its bytes to the
     power ``EXPONENT``.  A null source is one called ``(none)``; null and empty texts have size 0 and stay with the
     document before them.  Repeated rows are placed each; extra columns are left out; an empty table gives an empty one.
-    A row for each source, of which there are few, comes to the driver.
+    A row for each source, of which there are few, comes to the driver, which makes the schedule.
     """
     spark = docs.sparkSession
     narrow = docs.select(
@@ -107,25 +94,8 @@ def mix(
         else:
             least = min((Fraction(w) for w in weights.values() if w > 0), default=Fraction(1))
             given = [Fraction(weights[row["source"]]) if weights.get(row["source"], 0) > 0 else least for row in rows]
-        plan = phases([row["n"] for row in rows], given, cycle)
-        spans, slots = [], []
-        for number, phase in enumerate(plan):
-            counts = phase["counts"]
-            length = sum(counts.values())
-            for (s, count), own in zip(counts.items(), slots_of(list(counts.values())), strict=True):
-                first = phase["first_block"][s]
-                spans.append((s, number, first, first + phase["cycles"] * count, count, phase["first_slot"], length))
-                slots += [(s, number, i, *x) for i, x in enumerate(own)]
-        of_span = _table(spark, "_s, phase, _from, _to, _count, _first, _length", spans)
-        of_slot = _table(spark, "_s, phase, _i, _slot, _release, _deadline", slots)
-        inside = (F.col("block") >= F.col("_from")) & (F.col("block") < F.col("_to"))
-        spanned = blocked.join(sources.select("source", "_s"), "source").join(of_span, "_s").where(inside)
-        turn = F.col("block") - F.col("_from")
-        found = spanned.withColumn("_i", turn % F.col("_count")).join(of_slot, ["_s", "phase", "_i"])
-        base = F.col("_first") + F.floor(turn / F.col("_count")) * F.col("_length")
-        placed = found.select(
-            *blocked.columns, "phase", *((base + F.col(f"_{c}")).alias(c) for c in ("slot", "release", "deadline"))
-        )
+        slots = _written(spark, schedule([row["n"] for row in rows], given))
+        placed = blocked.join(sources.select("source", "_s"), "source").join(slots, ["_s", "block"]).drop("_s")
     return numbered(placed, ["slot", "_start", "_h", "doc_id"], "position").select(
         "doc_id", "source", "size", "block", "phase", "slot", "release", "deadline", "position"
     )
