@@ -13,7 +13,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from satchel.llm.ranks import numbered
@@ -147,3 +147,40 @@ def pack(cut: DataFrame, window: int = WINDOW) -> DataFrame:
     columns = [*cut.columns, "sequence_id", "offset"]
     return whole.select(columns).unionByName(rest.select(columns))
 
+
+def _plan(counts, window: int):
+    """The counts of one run of the mix as its ``RUNS``, full windows first, with the number of its windows."""
+    import pyarrow as pa
+
+    run, of_length = counts["run"][0].as_py(), dict(zip(counts["length"].to_pylist(), counts["count"].to_pylist(), strict=True))
+    full = of_length.pop(window, 0)
+    rows = [(window, 0, full, 0, 1, 0)] if full else []
+    rows += [(*row[:3], full + row[3], *row[4:]) for row in best_fit(of_length, window)]
+    windows = max(first - (-(to - start) // each) for _, start, to, first, each, _ in rows)
+    names = ["run", *(x.split()[0] for x in RUNS.split(", ")), "windows"]
+    return pa.table([pa.array(c, pa.int64()) for c in zip(*((run, *row, windows) for row in rows), strict=True)], names)
+
+
+def pack_mixed(cut: DataFrame, window: int = WINDOW) -> DataFrame:
+    """As ``pack``, in the order of a mix: ``cut`` also has ``run`` and ``position``, whole numbers that are never null.
+
+    Each run is packed by itself and its sequences come before those of the next run, so the first sequences hold the
+    first rows of the mix.  Within a run, rows that are alike in length are ranked by ``position`` and ``start``.
+    """
+    ranked = numbered(keep(cut, "cut"), ["position", "start"], "_rank", ["run", "length"])
+    counts = ranked.groupBy("run", "length").count()
+    planned = keep(counts.groupBy("run").applyInArrow(lambda t: _plan(t, window), f"run long, {RUNS}, windows long"), "plan")
+    # One row for each run.
+    earlier = Window.orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    before = planned.groupBy("run").agg(F.first("windows").alias("windows"))
+    before = before.select("run", F.coalesce(F.sum("windows").over(earlier), F.lit(0)).alias("before"))
+    runs_of = planned.join(before, "run").withColumnsRenamed({"run": "_run", "length": "_length"})
+    fits = (
+        (F.col("run") == F.col("_run")) & (F.col("length") == F.col("_length"))
+        & (F.col("_rank") >= F.col("from_rank")) & (F.col("_rank") < F.col("to_rank"))
+    )
+    place = F.col("_rank") - F.col("from_rank")
+    return ranked.join(runs_of, fits).withColumns({
+        "sequence_id": F.col("before") + F.col("first") + F.floor(place / F.col("each")),
+        "offset": F.col("offset") + (place % F.col("each")) * F.col("length"),
+    }).select(*cut.columns, "sequence_id", "offset")

@@ -21,6 +21,7 @@ from satchel.llm import (
 from satchel.llm.sampling import crc_mod
 
 WORD_END, BYTE_END = 2, 0  # end ids that the queries append
+PACKED = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,11 +60,19 @@ def packed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
+def cut_documents(docs: DataFrame) -> DataFrame:
+    return packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), "word", WORD_END).drop("ids")
+
+
 def pack_documents(docs: DataFrame) -> DataFrame:
-    cut = packing.pieces(docs, public_tokenizers.path("word_bpe_49k.json"), "word", WORD_END)
-    return packing.pack(cut.drop("ids")).select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
-    )
+    return packing.pack(cut_documents(docs)).select(PACKED)
+
+
+def pack_in_mix(docs: DataFrame, places: DataFrame) -> DataFrame:
+    """``places``: ``doc_id``, each once, with its ``run`` and ``position``."""
+    cut, places = cut_documents(docs), places.withColumnRenamed("doc_id", "_of")
+    placed = cut.join(places, F.col("doc_id").eqNullSafe(F.col("_of"))).drop("_of")
+    return packing.pack_mixed(placed).select(PACKED)
 
 
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
