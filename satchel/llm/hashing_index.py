@@ -5,8 +5,9 @@ signs can, give a code of ``bits`` bits.  A code is split into substrings of 16
 If two codes differ in at most r bits, one of the m substrings differs in at most r / m, so probing every table within
 that radius finds every code within r; what is found is checked over the whole code and ranked by the vectors.
 
-The radius is a query's own.  The sample holds rows of the table, so the k-th best cosine in it bounds the k-th best of
-all from below, and a neighbour of that cosine or more has a Hamming distance whose mean and spread are known; the
+The radius is a query's own.  The sample holds rows of the table, so its k best by cosine are no nearer than the k best
+of all.  Codes are signs of vectors with the mean taken off, so of those k rows the widest angle counts that they make
+with the query once the mean is off; a row at that angle has a Hamming distance whose mean and spread are known, and the
 radius is that mean and ``SPREADS`` times the spread, and wider where that finds fewer than k rows in a shard.
 
 Rows are dealt into shards of bounded size, each with its own tables; queries stream past every shard in blocks, and
@@ -64,7 +65,7 @@ def learn(sample: np.ndarray, bits: int = BITS, turns: int = TURNS, seed: int =
 
 
 def radius(cosine: np.ndarray, bits: int, spreads: float = SPREADS) -> np.ndarray:
-    """Hamming distance within which neighbours of at least ``cosine`` are looked for."""
+    """Hamming distance within which neighbours of at least ``cosine``, with the mean off, are looked for."""
     share = np.arccos(np.clip(cosine, -1, 1)) / math.pi
     return np.minimum(np.ceil(bits * share + spreads * np.sqrt(bits * share * (1 - share)) + 1), bits).astype(int)
 
@@ -195,6 +196,8 @@ def search(rows: DataFrame, queries: DataFrame, k: int, bits: int = BITS, sample
     known, known_ids = _matrix(drawn.column("vector")), drawn.column("vec_id").to_numpy()
     codes = learn(known, bits)
     known_units = known / np.linalg.norm(known, axis=1, keepdims=True)
+    known_off = known_units - codes.mean
+    known_off /= np.maximum(np.linalg.norm(known_off, axis=1, keepdims=True), 1e-300)
     shards = max(1, -(-n // shard_rows))
 
     def with_radius(batches: Iterator) -> Iterator:
@@ -205,10 +208,14 @@ def search(rows: DataFrame, queries: DataFrame, k: int, bits: int = BITS, sample
             bound = np.full(len(ids), -1.0)
             for at in range(0, len(ids), 1024):
                 some = matrix[at : at + 1024]
-                cosines = (some / np.linalg.norm(some, axis=1, keepdims=True)) @ known_units.T
+                units = some / np.linalg.norm(some, axis=1, keepdims=True)
+                cosines = units @ known_units.T
                 cosines[ids[at : at + 1024, None] == known_ids[None, :]] = -1.0
                 if cosines.shape[1] >= k:
-                    bound[at : at + 1024] = np.partition(cosines, -k, axis=1)[:, -k]
+                    best = np.argpartition(cosines, -k, axis=1)[:, -k:]
+                    off = units - codes.mean
+                    off /= np.maximum(np.linalg.norm(off, axis=1, keepdims=True), 1e-300)
+                    bound[at : at + 1024] = np.einsum("qd,qkd->qk", off, known_off[best]).min(axis=1)
             columns = [batch.column("vec_id"), batch.column("vector"), pa.array(radius(bound, bits), pa.int32())]
             yield pa.RecordBatch.from_arrays(columns, ["vec_id", "vector", "radius"])
 
