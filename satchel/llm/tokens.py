@@ -38,14 +38,20 @@ class Encoder:
     """Ids of a text as little-endian unsigned 32-bit bytes, as ``encode(text, add_special_tokens=False)`` gives them.
 
     ``kind``: ``byte`` for the byte-level vocabulary, ``word`` for the one with word ends, which drops white space.
+    ``added``: whether the vocabulary's added tokens are found in texts, as the library does unless told otherwise; a text
+    that may hold one goes to the tokenizer as a whole.
     """
 
-    def __init__(self, file: str, kind: str, remembered: int = REMEMBERED):
+    def __init__(self, file: str, kind: str, remembered: int = REMEMBERED, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.whole, self.bare = Tokenizer.from_file(file), Tokenizer.from_file(file)
-        self.whole.encode_special_tokens = self.bare.encode_special_tokens = True
+        self.whole.encode_special_tokens, self.bare.encode_special_tokens = not added, True
+        tokens = self.whole.get_added_tokens_decoder().values() if added else ()
+        # Such a token can be matched in the text as it is or as normalized, that is lowered.
+        self.marks = re.compile("|".join(re.escape(x.content) for x in tokens), re.IGNORECASE) if tokens else None
+        self.first = os.path.commonprefix([x.content for x in tokens])
         self.bare.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.Split(APART, "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
         ])
@@ -60,6 +66,8 @@ class Encoder:
     def __call__(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if self.marks and (not self.first or self.first[0] in text) and self.marks.search(text):
+            return b"".join(self._ask(self.whole, [text]))
         plain = text.isascii() and APART not in text
         if not plain and OTHER_SCRIPT.search(text):
             first, *rest = BLANK.split(text)
@@ -104,5 +112,5 @@ _ENCODERS: dict[tuple[str, str], Encoder] = {}
 def encoder(file: str, kind: str) -> Encoder:
     """One per Python worker, so that its memory of words serves all tasks of the worker."""
     if (file, kind) not in _ENCODERS:
-        _ENCODERS[file, kind] = Encoder(file, kind)
+        _ENCODERS[file, kind] = Encoder(file, kind, added=True)
     return _ENCODERS[file, kind]
