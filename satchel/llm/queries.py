@@ -7,11 +7,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from satchel.llm import (
+    extendible,
+    hard_negatives,
     hashing_index,
     importance,
     kd_shards,
     language,
+    merkle,
     mixing,
+    oracle,
     packing,
     quality_rules,
     simhash,
@@ -114,6 +118,26 @@ def sharded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def hard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)").alias("label")
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", label, F.col("embedding").alias("vector"))
+    return hard_negatives.mine(rows, "vec_id % 100 = 0")
+
+
+def exact_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extendible.duplicates(table(spark, sf_dir, "documents"))
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def proven(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    lowered = {c: F.col(c) for c in LEAF} | {"text": extendible.lowered(F.col("text"))}
+    touched = F.when(crc_mod("doc_id", 5) == 0, merkle.digest(*(merkle.field(c) for c in lowered.values())))
+    return merkle.prove(docs, LEAF, "doc_id", "source", touched)
+
+
 QUERIES = {
     "op1_multi_index_hashing": neighbours,
     "op2_hyperdimensional_language": languages,
@@ -125,6 +149,13 @@ QUERIES = {
     "op8_importance_resampling": resampled,
     "op9_weak_quality_rules": ruled,
     "op10_kd_tree_shards": sharded,
+    "op11_threshold_hard_negatives": hard,
+    "op12_extendible_exact_copies": exact_copies,
+    "op13_merkle_manifest": proven,
+}
+# The others are learned models, searches over binary codes, schedules and token ids, which SQL does not express.
+ORACLE = {
+    "op11_threshold_hard_negatives": oracle.HARD,
+    "op12_extendible_exact_copies": oracle.COPIES,
+    "op13_merkle_manifest": oracle.MANIFEST,
 }
-# Learned models, searches over binary codes, schedules and token ids: SQL expresses none of them.
-ORACLE: dict[str, str] = {}
