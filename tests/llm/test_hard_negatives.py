@@ -1,0 +1,88 @@
+"""Hard negatives by the threshold algorithm, against a full scan."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from satchel.llm import hard_negatives
+
+SCHEMA = "vec_id long, label int, vector array<float>"
+
+
+def whole(vector):
+    return [math.floor(256 * float(np.float32(x))) for x in vector]
+
+
+def expected(rows, every, k=5):
+    good = [(i, n, whole(v)) for i, n, v in rows if i is not None and n is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for anchor, label, a in good:
+        if anchor % every:
+            continue
+        scores = sorted((-sum(x * y for x, y in zip(a, v, strict=True)), i, n) for i, n, v in good if i != anchor)
+        for p, positive, _ in [s for s in scores if s[2] == label][:k]:
+            hard = [(-s, i) for s, i, n in scores if n != label and -80 * p <= -100 * s <= -100 * p][:k]
+            out += [(anchor, positive, rank, i, -p, s) for rank, (s, i) in enumerate(hard, 1)]
+    return out
+
+
+def random_rows(n, d, seed, scale=1.0):
+    rng = np.random.default_rng(seed)
+    return [(i, int(rng.integers(3)), [float(np.float32(x)) for x in rng.normal(0, scale, d)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("shard_rows", [40, 4096])
+def test_against_a_full_scan(spark, monkeypatch, shard_rows):
+    monkeypatch.setattr(hard_negatives, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(hard_negatives, "SHARDS", 1 << 20)
+    # the coarse values give many ties
+    rows = random_rows(300, 6, 3) + [(1000 + i, n, v) for i, n, v in random_rows(200, 6, 4, 0.005)]
+    got = hard_negatives.mine(spark.createDataFrame(rows, SCHEMA).repartition(5), "vec_id % 10 = 0").collect()
+    assert sorted(map(tuple, got)) == sorted(expected(rows, 10))
+
+
+def test_nulls_zero_vectors_and_other_columns(spark):
+    rows = random_rows(60, 3, 5) + [
+        (None, 1, [1.0, 1.0, 1.0]), (100, None, [1.0, 1.0, 1.0]), (101, 1, None), (102, 1, [1.0, None, 1.0]),
+        (103, 1, [1.0, float("nan"), 1.0]), (104, 1, [float("inf"), 1.0, 1.0]), (110, 0, [0.0, 0.0, 0.0]), (111, 0, [0.0, 0.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA).withColumns({c: F.lit(1) for c in ("shard", "rank", "score", "ids", "windows")})
+    got = hard_negatives.mine(df, "vec_id % 10 = 0")
+    assert sorted(map(tuple, got.collect())) == sorted(expected(rows, 10))
+    assert any(r.anchor_id == 110 for r in got.collect())  # every score is 0, so ids decide
+    # another number of components, and rows that share an id
+    more = rows[:60] + [(200, 1, [1.0]), (201, 1, [])] + rows[:10]
+    assert sorted(map(tuple, hard_negatives.mine(spark.createDataFrame(more, SCHEMA), "vec_id % 10 = 0").collect())) == sorted(expected(rows[:60], 10))
+
+
+def test_empty_tables(spark):
+    empty = hard_negatives.mine(spark.createDataFrame([], SCHEMA), "true")
+    assert empty.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    assert empty.count() == 0
+    rows = spark.createDataFrame(random_rows(5, 3, 1), SCHEMA)
+    assert hard_negatives.mine(rows, "false").count() == 0
+
+
+def test_reading_stops_at_the_threshold():
+    rng = np.random.default_rng(2)
+    vectors = (rng.normal(0, 20, (5000, 3))).astype(np.int64)
+    lists = hard_negatives.Lists(np.arange(5000)[::-1].copy(), np.zeros(5000, dtype=np.int32), vectors)
+    anchor = np.array([40, -10, 3])
+    scores = lists.vectors @ anchor
+    best = np.lexsort((np.arange(5000), -scores))
+    whole_range = [(hard_negatives.LEAST, hard_negatives.MOST)]
+    ((rows, found),), depth = lists.best(anchor, np.ones(5000, dtype=bool), whole_range, 5)
+    assert rows.tolist() == best[:5].tolist() and found.tolist() == scores[best[:5]].tolist() and depth < 2500
+    # a window below the best, and one above all
+    high = int(scores[best[40]])
+    (inside, above), _ = lists.best(anchor, np.ones(5000, dtype=bool), [(high - 500, high), (10**9, 10**9)], 5)
+    assert scores[inside[0]].tolist() == sorted(scores[(scores <= high) & (scores >= high - 500)].tolist(), reverse=True)[:5]
+    assert not len(above[0])
+
+
+def test_large_numbers_stay_exact():
+    vectors = np.array([[1 << 40, 3], [1 << 40, 2], [0, 1]], dtype=np.int64)
+    lists = hard_negatives.Lists(np.arange(3), np.zeros(3, dtype=np.int32), vectors)
+    assert lists.scores(np.arange(3), np.array([1 << 20, 1])).tolist() == [(1 << 60) + 3, (1 << 60) + 2, 1]
