@@ -30,11 +30,17 @@ SEGMENT_IDS = 1 << 18
 SEGMENTS = "part int, segment long, doc_ids array<long>, lengths array<int>, blob binary"
 
 
+def _word(width: int) -> tuple[str, int]:
+    """The smallest word of ``width`` bits and its bytes; fewer bits are spread out for it."""
+    return ("<u2", 2) if width <= 16 else ("<u4", 4)
+
+
 def bits(values: np.ndarray, width: int) -> bytes:
     """The lowest ``width`` bits of each value, one after the other."""
     if not width or not len(values):
         return b""
-    planes = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+    kind, size = _word(width)
+    planes = np.unpackbits(values.astype(kind).view(np.uint8).reshape(-1, size), axis=1, bitorder="little")
     return np.packbits(planes[:, :width], bitorder="little").tobytes()
 
 
@@ -42,9 +48,10 @@ def values(packed: np.ndarray, count: int, width: int) -> np.ndarray:
     """The reverse of ``bits``."""
     if not width or not count:
         return np.zeros(count, dtype=np.uint32)
-    planes = np.zeros((count, 32), dtype=np.uint8)
+    kind, size = _word(width)
+    planes = np.zeros((count, 8 * size), dtype=np.uint8)
     planes[:, :width] = np.unpackbits(packed, count=count * width, bitorder="little").reshape(count, width)
-    return np.packbits(planes, axis=1, bitorder="little").view("<u4").ravel()
+    return np.packbits(planes, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
 
 
 def width_of(value: int) -> int:

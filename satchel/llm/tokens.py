@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 
 # Letters, numbers and white space of ASCII, and what is added to each up to U+024F.
 ASCII = ("A-Za-z", "0-9", "\t-\r ")
@@ -29,6 +30,13 @@ def _words(kind: str, letter: str, number: str, space: str) -> re.Pattern:
     )
 
 
+def byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write bytes: printable characters of Latin-1 as they are, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = sorted(set(range(256)).difference(plain))
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 BLANK = re.compile(r"(?<=\S) (?=\S)")
 REMEMBERED = 1_000_000  # some 200 MB
 ASKED = 10_000
@@ -44,21 +52,16 @@ class Encoder:
 
     def __init__(self, file: str, kind: str, remembered: int = REMEMBERED, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
-        self.whole, self.bare = Tokenizer.from_file(file), Tokenizer.from_file(file)
-        self.whole.encode_special_tokens, self.bare.encode_special_tokens = not added, True
+        self.whole = Tokenizer.from_file(file)
+        self.whole.encode_special_tokens, self.model = not added, self.whole.model
         tokens = self.whole.get_added_tokens_decoder().values() if added else ()
         # Such a token can be matched in the text as it is or as normalized, that is lowered.
         self.marks = re.compile("|".join(re.escape(x.content) for x in tokens), re.IGNORECASE) if tokens else None
         self.first = os.path.commonprefix([x.content for x in tokens])
-        self.bare.pre_tokenizer = pre_tokenizers.Sequence([
-            pre_tokenizers.Split(APART, "isolated"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
-        ])
-        (self.apart,) = self.bare.encode(APART, add_special_tokens=False).ids
-        if kind == "word":
-            # Words of these letters are composed already and hold no white space; they are lowered before asking.
-            self.bare.normalizer = normalizers.Sequence([])
+        self.bytes = byte_letters()
+        self.apart = self.bytes[ord(APART)]
         self.ascii, self.latin, self.lowers = _words(kind, *ASCII), _words(kind, *LATIN), kind == "word"
         self.remembered = remembered
         self.known: dict[str, bytes] = {}
@@ -86,14 +89,15 @@ class Encoder:
         return b"".join(map(known.__getitem__, words))
 
     def _bare(self, words: list[str]) -> list[bytes]:
-        """Ids of each word.  No word holds the mark, so its id stands for nothing but the borders."""
-        import numpy as np
+        """Ids of each word by the model alone, as words are already what it is given one by one.
 
+        Both vocabularies write a byte as a letter.  Words of these letters are composed already and hold no white space,
+        so lowering is all that is normalized.
+        """
         joined = APART.join(words)
-        (found,) = self.bare.encode_batch_fast([joined.lower() if self.lowers else joined], add_special_tokens=False)
-        ids = np.array(found.ids, dtype="<u4")
-        raw, ends = ids.tobytes(), [*(4 * np.flatnonzero(ids == self.apart)).tolist(), 4 * len(ids)]
-        return [raw[s:e] for s, e in zip([0, *(x + 4 for x in ends[:-1])], ends, strict=True)]
+        letters = (joined.lower() if self.lowers else joined).encode().decode("latin-1").translate(self.bytes)
+        tokenize, word = self.model.tokenize, struct.Struct("<I").pack
+        return [b"".join([word(x.id) for x in tokenize(w)]) for w in letters.split(self.apart)]
 
     @staticmethod
     def _ask(tokenizer, pieces: list[str]) -> list[bytes]:
