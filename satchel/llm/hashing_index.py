@@ -113,9 +113,9 @@ class Tables:
 
 
 def usable(rows: DataFrame, vector: str, dimension: int | None) -> DataFrame:
-    """Rows whose vector is not null or zero, has only finite components, and as many as the others."""
+    """Rows with an id whose vector is not null or zero, has only finite components, and as many as the others."""
     good = ~F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    rows = rows.where(F.col(vector).isNotNull() & good & F.exists(vector, lambda x: x != 0))
+    rows = rows.where(F.col("vec_id").isNotNull() & F.col(vector).isNotNull() & good & F.exists(vector, lambda x: x != 0))
     return rows if dimension is None else rows.where(F.size(vector) == dimension)
 
 
@@ -178,7 +178,7 @@ def search(rows: DataFrame, queries: DataFrame, k: int, bits: int = BITS, sample
 
     ``rows`` and ``queries`` have ``vec_id`` and ``vector``; a row with the query's own id is no candidate.  Vectors that are
     null or zero, hold a null or a component that is not finite, or have another number of components than most take no
-    part.  Ties go to the smaller ``vec_id``.  Of rows that share an id the one with the smallest vector counts.  The
+    part, nor do rows without an id.  Ties go to the smaller ``vec_id``.  Of rows that share an id the one with the smallest vector counts.  The
     codes are learned on about ``sample`` rows, but every row is indexed.  Empty tables give an empty one.
     """
     spark = rows.sparkSession

@@ -128,10 +128,10 @@ def test_large_groups_are_split_and_lose_no_link(spark):
 
 def test_search_leaves_out_what_has_no_direction(spark):
     vectors = [(i, [float(i % 7 + 1), float(i % 3), 1.0]) for i in range(60)]
-    odd = [(100, None), (101, [0.0, 0.0, 0.0]), (102, [1.0, None, 1.0]), (103, [1.0, float("nan"), 1.0]), (104, [1.0, 2.0]), (0, [1.0, 0.0, 1.0])]
+    odd = [(100, None), (101, [0.0, 0.0, 0.0]), (102, [1.0, None, 1.0]), (103, [1.0, float("nan"), 1.0]), (104, [1.0, 2.0]), (0, [1.0, 0.0, 1.0]), (None, [1.0, 1.0, 1.0])]
     schema = T.StructType([T.StructField("vec_id", T.LongType()), T.StructField("vector", T.ArrayType(T.DoubleType()))])
     rows = spark.createDataFrame(vectors + odd, schema).withColumn("shard", F.lit(1))
-    got = hashing_index.search(rows, rows.where("vec_id in (0, 3, 100)"), 4, bits=64, shard_rows=20).collect()
+    got = hashing_index.search(rows, rows.where("vec_id in (0, 3, 100) or vec_id is null"), 4, bits=64, shard_rows=20).collect()
     by_id = {i: np.array(v) for i, v in vectors}
     for query in (0, 3):
         mine = sorted((r["rank"], r.vec_id) for r in got if r.query_id == query)
