@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import sys
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
@@ -15,30 +17,37 @@ from satchel.functions import magic, walker
 FLUSH_BYTES = 32 * 2**20
 FLUSH_ROWS = 10_000
 HOLD_BYTES = 64 * 2**20
+ENTRY_BYTES = 256  # of a file besides its bytes, while held
 
-ENTRY_COLUMNS = {
+PLACE_COLUMNS = {
     "pos": pa.int64(), "name": pa.string(), "size": pa.int64(), "depth": pa.int32(), "container": pa.string(),
-    "mode": pa.int32(), "owner": pa.string(), "grp": pa.string(), "mtime_s": pa.int64(), "data": pa.binary(),
+    "mode": pa.int32(), "owner": pa.string(), "grp": pa.string(), "mtime_s": pa.int64(), "entry_kind": pa.string(),
 }
+DATA_COLUMNS = {"chunk_index": pa.int32(), "chunks_sha256": pa.string(), "data": pa.binary()}
+ENTRY_COLUMNS = PLACE_COLUMNS | DATA_COLUMNS
 TALLY_COLUMNS = {
     "n_unpacked": pa.int64(), "unpack_bytes": pa.int64(), "threshold_breached": pa.bool_(), "sub_errors": pa.int64(),
     "error_class": pa.string(), "error_message": pa.string(),
 }
-NO_ENTRY = (None,) * len(ENTRY_COLUMNS)
-DATA_AT = list(ENTRY_COLUMNS).index("data")
-SNIFF_LIMIT = 2**30
 READ_AHEAD_BYTES = 2**20
 
-# Types a file can have without any magic bytes; only markup begins with a tag.
-UNMARKED_TYPES = frozenset({"text/plain", "application/octet-stream"})
-MARKUP_TYPES = frozenset(mime for mime, _ in magic.TEXT_EXTENSIONS) - UNMARKED_TYPES
-
 
 class UnpackOptions(NamedTuple):
+    """``emit``: ``all`` rows, ``parents`` or ``children``; without ``with_data`` files come without their bytes."""
+
     recursive: bool
     budget: int
     fail_on_breach: bool
     fail_on_sub_error: bool
+    emit: str = "all"
+    with_data: bool = True
+    chunk: int = walker.MAX_CELL_BYTES
+
+    @property
+    def columns(self) -> dict[str, pa.DataType]:
+        if self.emit == "parents":
+            return {"pos": pa.int64()}
+        return ENTRY_COLUMNS if self.with_data else PLACE_COLUMNS
 
 
 class Tally:
@@ -65,17 +74,25 @@ class Tally:
             raise exc
         self.sub_errors += 1
 
-    def entries(self, source: BinaryIO, part: int = 0, parts: int = 1) -> Iterator[tuple[int, walker.Entry]]:
-        """Positions and files in order; with several parts only every ``parts``-th file comes with its bytes."""
+    def entries(
+        self, source: BinaryIO, part: int = 0, parts: int = 1, data: bool = True, types: bool = True, whole: bool = False
+    ) -> Iterator[tuple[int, walker.Entry]]:
+        """Positions and files in order; with several parts only every ``parts``-th file comes with its bytes.
+
+        With ``whole``, files without bytes are read to their end all the same, so that damage shows.
+        """
         def wants() -> bool:
             return self.files % parts == part
 
-        wanted = walker.WalkOptions(self.options.recursive, self.admit, self.sub_failed, wants)
+        options = walker.WalkOptions(
+            self.options.recursive, self.admit, self.sub_failed, wants if data else None, types and self.options.recursive,
+            whole, self.options.chunk,
+        )
         try:
-            for entry in walker.walk(source, wanted):
+            for entry in walker.walk(source, options):
                 delivered = wants()
                 self.files += 1
-                self.bytes += len(entry.data) if delivered else entry.size
+                self.bytes += entry.size
                 if delivered:
                     yield self.files, entry
         except walker.FORMAT_ERRORS as exc:
@@ -86,25 +103,51 @@ class Tally:
         return (self.files, self.bytes, self.breached, self.sub_errors, *error)
 
 
+def entry_rows(pos: int, entry: walker.Entry, with_data: bool) -> Iterator[tuple]:
+    """A row for each chunk of a file, the last one with a digest over all; mostly there is one, without a digest."""
+    place = (pos, *entry[:9])
+    if not with_data:
+        yield place
+        return
+    digest, last, index = None, entry.data, 0
+    for chunk in entry.rest:
+        digest = digest or hashlib.sha256()
+        digest.update(last)
+        yield (*place, index, None, last)
+        last, index = chunk, index + 1
+    if digest is not None:
+        digest.update(last)
+    yield (*place, index, digest and digest.hexdigest(), last)
+
+
 def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
     """The parent row, then the child rows if and only if the walk came to its end.
 
-    What was read is kept for the second half up to ``HOLD_BYTES``; an archive that expands further is read again, so
-    memory stays bounded without a budget too.
+    What was read is kept for the second half up to ``HOLD_BYTES``; an archive that expands further, or has a file of more
+    than one chunk, is read again, so memory stays bounded without a budget too.
     """
     tally = Tally(options)
-    held: list | None = []
-    for item in tally.entries(source):
+    children = options.emit != "parents"
+    held: list | None = [] if children else None
+    size = 0
+    for pos, entry in tally.entries(source, data=children and options.with_data, types=children, whole=True):
+        size += ENTRY_BYTES + len(entry.data or b"")
         if held is not None:
-            held.append(item)
-            held = held if tally.bytes <= HOLD_BYTES else None
+            rows = list(islice(entry_rows(pos, entry, options.with_data), 2))
+            held += rows
+            held = held if size <= HOLD_BYTES and len(rows) == 1 else None
     totals = tally.row()
-    yield NO_ENTRY + totals
-    if tally.error is None:
+    nothing = (None,) * len(options.columns)
+    if options.emit != "children":
+        yield nothing + totals
+    if tally.error is None and children:
+        if held is not None:
+            yield from (row + totals for row in held)
+            return
         source.seek(0)
         again = Tally(options)
-        for pos, entry in again.entries(source) if held is None else held:
-            yield (pos, *entry) + totals
+        for pos, entry in again.entries(source, data=options.with_data):
+            yield from (row + totals for row in entry_rows(pos, entry, options.with_data))
         if again.error is not None:
             # it was whole a moment ago: let Spark try the task again
             raise again.error
@@ -118,9 +161,11 @@ def unpack_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) ->
         def produce(i: int) -> Iterator[tuple]:
             if content[i].is_valid:
                 return archive_rows(io.BytesIO(content[i].as_py()), options)
-            return iter([NO_ENTRY + Tally(options).row()])
+            if options.emit == "children":
+                return iter(())
+            return iter([(None,) * len(options.columns) + Tally(options).row()])
 
-        yield from bounded_batches(batch.drop_columns(["_content"]), produce, ENTRY_COLUMNS | TALLY_COLUMNS)
+        yield from bounded_batches(batch.drop_columns(["_content"]), produce, options.columns | TALLY_COLUMNS)
 
 
 def bounded_batches(
@@ -130,11 +175,12 @@ def bounded_batches(
     picked: list[int] = []
     rows: list[tuple] = []
     pending = 0
+    data_at = list(kinds).index("data") if "data" in kinds else None
     # carried columns are copied into every row
     carried = kept.nbytes // max(kept.num_rows, 1)
     for i in range(kept.num_rows):
         for row in produce(i):
-            size = len(row[DATA_AT] or b"") + carried
+            size = carried + (len(row[data_at] or b"") if data_at is not None else 0)
             if rows and (pending + size > FLUSH_BYTES or len(rows) >= FLUSH_ROWS):
                 yield output_batch(kept, picked, rows, kinds)
                 picked, rows, pending = [], [], 0
@@ -156,69 +202,42 @@ def output_batch(
 class SearchOptions(NamedTuple):
     recursive: bool
     fail_on_sub_error: bool
-    stop_at: frozenset[str]
+    types: frozenset[str]
 
 
-def sniff_entries(content: bytes, options: SearchOptions) -> tuple[list[bytes], walker.WalkError | None]:
-    """The type-telling bytes of those files, in order, that can be the first match.
-
-    Left out is what cannot be: a type already seen, and a file without magic bytes when no such type is searched for.
-    The walk ends at a file whose magic bytes alone give a type searched for: the first match cannot lie behind it.
-    """
+def first_match(source: BinaryIO, options: SearchOptions) -> tuple[str | None, walker.WalkError | None]:
+    """The type of the first file of one of the types, without its parameters; nothing is read behind that file, and of
+    each file before it only what its type takes.  An error counts only where no match came first."""
     def sub_failed(exc: walker.WalkError) -> None:
         if options.fail_on_sub_error:
             raise exc
 
-    wanted = walker.WalkOptions(options.recursive, lambda size: True, sub_failed, lambda: False, sniff=True)
-    any_unmarked = bool(options.stop_at & UNMARKED_TYPES)
-    any_markup = bool(options.stop_at & MARKUP_TYPES)
-    sniffs: list[bytes] = []
-    seen: set[str] = set()
-    held = 0
+    walking = walker.WalkOptions(options.recursive, lambda size: True, sub_failed, None, types=bool(options.types))
     try:
-        for entry in walker.walk(io.BytesIO(content), wanted):
-            mime = magic.magic_type(entry.data)
-            if mime in seen:
-                continue
-            if mime is None:
-                tagged = entry.data.lstrip(b"\xef\xbb\xbf \t\r\n\x0b\x0c").startswith(b"<")
-                if not (any_unmarked or (any_markup and tagged)):
-                    continue
-            else:
-                seen.add(mime)
-            sniffs.append(magic.telling_bytes(entry.data))
-            held += len(sniffs[-1])
-            if mime is not None and mime.split(";")[0] in options.stop_at:
-                break
-            if held > SNIFF_LIMIT:
-                raise walker.BudgetError("SIZE_BUDGET", "the archive holds more files than one row can describe")
+        for entry in walker.walk(source, walking):
+            kind = (entry.kind or "").split(";")[0]
+            if kind in options.types:
+                return kind, None
     except walker.FORMAT_ERRORS as exc:
-        return sniffs, walker.as_walk_error(exc)
-    return sniffs, None
+        return None, walker.as_walk_error(exc)
+    return None, None
+
+
+SEARCH_COLUMNS = {"found_mime": pa.string(), "_error_class": pa.string(), "_error_message": pa.string()}
 
 
 def search_batches(batches: Iterable[pa.RecordBatch], options: SearchOptions) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         content = batch.column("_content")
-        kept = batch.drop_columns(["_content"])
-        start, pending = 0, 0
-        sniffs: list = []
-        errors: list = []
+        rows = []
         for i in range(batch.num_rows):
-            found, error = sniff_entries(content[i].as_py(), options) if content[i].is_valid else (None, None)
-            sniffs.append(found)
-            errors.append((None, None) if error is None else (error.code, str(error)))
-            pending += sum(map(len, found or ()))
-            if pending >= FLUSH_BYTES or i == batch.num_rows - 1:
-                classes, messages = zip(*errors)
-                added = [pa.array(sniffs, pa.list_(pa.binary())), pa.array(classes, pa.string()), pa.array(messages, pa.string())]
-                carried = kept.slice(start, len(sniffs))
-                names = kept.schema.names + ["_sniffs", "_error_class", "_error_message"]
-                yield pa.RecordBatch.from_arrays(carried.columns + added, names=names)
-                start, pending, sniffs, errors = i + 1, 0, [], []
+            found, error = first_match(io.BytesIO(content[i].as_py()), options) if content[i].is_valid else (None, None)
+            rows.append((found, None, None) if error is None else (None, error.code, str(error)))
+        if rows:
+            yield output_batch(batch.drop_columns(["_content"]), list(range(len(rows))), rows, SEARCH_COLUMNS)
 
 
-HEAD_COLUMNS = {"_head": pa.binary()}
+KIND_COLUMNS = {"_kind": pa.string()}
 
 
 class RemoteFile(io.RawIOBase):
@@ -240,13 +259,19 @@ class RemoteFile(io.RawIOBase):
             raise walker.StorageFault(str(exc)) from exc
 
     def tell(self) -> int:
-        return self._file.tell()
+        try:
+            return self._file.tell()
+        except OSError as exc:
+            raise walker.StorageFault(str(exc)) from exc
 
     def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
-        start = (0, self._file.tell(), self._file.size())[whence]
-        if start + offset < 0:
-            raise OSError("seek before the beginning of the file")
-        return self._file.seek(start + offset)
+        try:
+            start = (0, self._file.tell(), self._file.size())[whence]
+            if start + offset >= 0:
+                return self._file.seek(start + offset)
+        except OSError as exc:
+            raise walker.StorageFault(str(exc)) from exc
+        raise OSError("seek before the beginning of the file")
 
     def close(self) -> None:
         self._file.close()
@@ -269,23 +294,23 @@ def remote_source(path: str) -> BinaryIO:
 
 
 def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
-    """Walks the archives at ``_path`` to their end without keeping their files: totals, verdict and type-telling bytes."""
+    """Walks the archives at ``_path`` to their end without keeping their files: totals, verdict and type."""
     for batch in batches:
         rows = []
         for path in batch.column("_path").to_pylist():
-            tally, head = Tally(options), None
+            tally, kind = Tally(options), None
             try:
                 with remote_source(path) as source:
-                    head = magic.telling_bytes(walker.zip_sample(source))
+                    kind = magic.tell(walker.pieces(source))
                     source.seek(0)
-                    for _ in tally.entries(source):
+                    for _ in tally.entries(source, data=False, types=False, whole=True):
                         pass
             except FileNotFoundError as exc:
                 tally.error = walker.WalkError("UNREADABLE", str(exc))
             except walker.FORMAT_ERRORS as exc:
                 tally.error = walker.as_walk_error(exc)
-            rows.append(tally.row() + (head,))
-        yield output_batch(batch, list(range(batch.num_rows)), rows, TALLY_COLUMNS | HEAD_COLUMNS)
+            rows.append(tally.row() + (kind,))
+        yield output_batch(batch, list(range(batch.num_rows)), rows, TALLY_COLUMNS | KIND_COLUMNS)
 
 
 def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
@@ -294,18 +319,18 @@ def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> I
         path, part, parts, good = (batch.column(c).to_pylist() for c in ("_path", "_part", "_parts", "_good"))
 
         def produce(i: int) -> Iterator[tuple]:
-            if part[i] == 0:
-                yield NO_ENTRY
-            if good[i]:
+            if part[i] == 0 and options.emit != "children":
+                yield (None,) * len(options.columns)
+            if good[i] and options.emit != "parents":
                 with remote_source(path[i]) as source:
                     tally = Tally(options)
-                    for pos, entry in tally.entries(source, part[i], parts[i]):
-                        yield (pos, *entry)
+                    for pos, entry in tally.entries(source, part[i], parts[i], data=options.with_data):
+                        yield from entry_rows(pos, entry, options.with_data)
                     if tally.error is not None:
                         # it was whole a moment ago: let Spark try the task again
                         raise tally.error
 
-        yield from bounded_batches(batch.drop_columns(["_path", "_part", "_parts", "_good"]), produce, ENTRY_COLUMNS)
+        yield from bounded_batches(batch.drop_columns(["_path", "_part", "_parts", "_good"]), produce, options.columns)
 
 
 # the reading code travels with the tasks, so executors need no installed copy of this package

@@ -2,12 +2,14 @@
 
 A rule is ``(type, extension, parts, needle)``.  Every part ``(offset, hex)`` must be present and, where a needle is
 given, the file must also contain that text somewhere.  Rules are tried from top to bottom; the first that holds wins.
-The same table is compiled to one Catalyst ``CASE`` (``functions.mime``) and consulted by the archive walker when it has
-to decide whether an entry is itself an archive.
+The same table is a constant in Catalyst expressions (``functions.mime``), and ``Teller`` follows it piece by piece for the
+archive walker, which reads no more of a file than its type takes.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
 from typing import NamedTuple
 
 OCTET_STREAM = "application/octet-stream"
@@ -153,14 +155,11 @@ TEXT_EXTENSIONS = (
 # How many leading bytes decide a type, given the offsets above and the window of the text tests.
 TEXT_WINDOW = 512
 HEAD_BYTES = 512
-NEEDLES = tuple(sorted({rule.needle.encode() for rule in RULES if rule.needle is not None}))
 
 # What the archive walker opens, and what it only recognises.
 ZIP_TYPES = ("application/zip", "application/java-archive")
 TAR_TYPES = ("application/x-tar",)
 TAR_STREAM_TYPES = ("application/gzip", "application/x-bzip2", "application/x-xz")
-# heads of the containers whose kind shows only further in
-CONTAINER_HEADS = (b"PK", b"\x1f\x8b", b"BZh", b"\xfd7zXZ")
 ARCHIVE_TYPES = ZIP_TYPES + TAR_TYPES + TAR_STREAM_TYPES
 UNREADABLE_ARCHIVE_TYPES = (
     "application/x-7z-compressed",
@@ -171,19 +170,175 @@ UNREADABLE_ARCHIVE_TYPES = (
 )
 
 
-def magic_type(content: bytes) -> str | None:
-    """The type the rule table gives to ``content``, or None when only its text could tell."""
-    for rule, parts in _BY_FIRST_BYTE[content[0]] if content else ():
-        if all(content.startswith(magic, offset) for offset, magic in parts):
-            if rule.needle is None or rule.needle.encode() in content:
-                return rule.mime
-    return None
+class Teller:
+    """Tells the type of a file fed to it in pieces, in memory that does not grow; ``kind`` is None until it is certain.
 
+    The same rules as ``functions.mime.detect``.  Magic bytes and the text test need the head.  A rule with a needle goes on
+    looking for it, and a file that begins with a tag is read on until its prolog and comments, however long, are over.
+    """
 
-def telling_bytes(content: bytes) -> bytes:
-    """A short stand-in with the same type: the head, and for a zip also the texts its kind is told by."""
-    head = content[:HEAD_BYTES]
-    return b"\n".join((head, *(n for n in NEEDLES if n in content))) if content.startswith(b"PK") else head
+    def __init__(self):
+        self.kind: str | None = None
+        self._head: bytes | None = b""  # None once it has been looked at
+        self._needles: list[tuple[Rule, bytes]] = []
+        self._fallback = OCTET_STREAM
+        self._tail = b""
+        self._markup: Markup | None = None
+
+    def feed(self, piece: bytes) -> None:
+        if self.kind is not None or not piece:
+            return
+        if self._head is not None:
+            self._head += piece
+            if len(self._head) < HEAD_BYTES:
+                return
+            piece, self._head = self._head, None
+            self._begin(piece)
+        if self.kind is None:
+            self._go_on(piece)
+
+    def finish(self) -> str:
+        """The type of what was fed, if that was all."""
+        if self.kind is None and self._head:
+            piece, self._head = self._head, None
+            self._begin(piece)
+            if self.kind is None:
+                self._go_on(piece)
+        if self.kind is None:
+            end = self._markup.finish() if self._markup else None
+            self.kind = end or self._fallback
+        return self.kind
+
+    def _begin(self, head: bytes) -> None:
+        for rule, parts in _BY_FIRST_BYTE[head[0]]:
+            if all(head.startswith(magic, offset) for offset, magic in parts):
+                if rule.needle is None:
+                    self._fallback = rule.mime
+                    break
+                self._needles.append((rule, rule.needle.encode()))
+        else:
+            self._fallback = TEXT_PLAIN if is_text(head[:TEXT_WINDOW]) else OCTET_STREAM
+            if not self._needles and _MAY_BE_MARKUP.match(head):
+                self._markup = Markup()
+        if not self._needles and self._markup is None:
+            self.kind = self._fallback
+
+    def _go_on(self, piece: bytes) -> None:
+        if self._markup is not None:
+            told = self._markup.feed(piece)
+            if told is not None:
+                self.kind = told or self._fallback
+            return
+        piece = self._tail + piece
+        for at, (rule, needle) in enumerate(self._needles):
+            if needle in piece:
+                # those behind it no longer matter, those before it still win if they show up
+                self._needles, self._fallback = self._needles[:at], rule.mime
+                break
+        if not self._needles:
+            self.kind = self._fallback
+        else:
+            self._tail = piece[1 - max(len(needle) for _, needle in self._needles) :]
+
+
+class Markup:
+    """HTML and XML by how a text begins: white space and comments, a declaration, a document type, then the root.
+
+    ``feed`` gives a type, ``""`` when the text is none of them, and None while that is open.
+    """
+
+    def __init__(self):
+        self._text, self._at_start, self._until = b"", True, b""
+        self._declared = False  # begins with an XML declaration
+        self._first = True  # only white space and comments so far
+
+    def feed(self, piece: bytes) -> str | None:
+        self._text += piece
+        while True:
+            if self._at_start:
+                if len(self._text) < len(BOM) and BOM.startswith(self._text):
+                    return None
+                self._text, self._at_start = self._text.removeprefix(BOM), False
+            if self._until:
+                end = self._text.find(self._until)
+                if end < 0:
+                    self._text = self._text[1 - len(self._until) :] if len(self._until) > 1 else b""
+                    return None
+                self._text, self._until = self._text[end + len(self._until) :], b""
+            self._text = self._text.lstrip(SPACES)
+            low = self._text[:LONGEST_TAG].lower()
+            if low.startswith(b"<!--"):
+                self._text, self._until = self._text[4:], b"-->"
+            elif low.startswith(b"<?xml") and (len(low) > 5 or not self._first):
+                if self._first:
+                    self._declared = low[5:6] in SPACE_BYTES
+                self._first, self._text, self._until = False, self._text[5:], b"?>"
+            elif low.startswith(b"<!doctype"):
+                if self._first:
+                    name = self._text[9:]
+                    rest = name.lstrip(SPACES)
+                    if len(rest) < 5 and b">" not in rest:
+                        # white space before the name says no more than one blank
+                        self._text = self._text[:9] + name[:1] + rest if name != rest else self._text
+                        return None
+                    if name != rest and _HTML_NAME.match(rest):
+                        return HTML
+                self._first, self._text, self._until = False, self._text[9:], b">"
+            elif len(low) < LONGEST_TAG and not any(c in low[1:] for c in b"> \t\r\n\x0b\x0c"):
+                return None if not low or low.startswith(b"<") else self._none()
+            else:
+                return self._root(low)
+
+    def _root(self, low: bytes) -> str:
+        found = _TAG.match(low)
+        name = found.group(1) if found else b""
+        if self._declared and name == b"html":
+            return XHTML
+        if self._first and name in HTML_STARTS:
+            return HTML
+        return ROOTS.get(name) or self._none()
+
+    def _none(self) -> str:
+        return XML if self._declared else ""
+
+    def finish(self) -> str:
+        return self._none()
+
+
+# How markup begins.
+BOM = b"\xef\xbb\xbf"
+SPACES = b" \t\r\n\x0b\x0c"
+SPACE_BYTES = tuple(SPACES[i : i + 1] for i in range(len(SPACES)))
+LONGEST_TAG = 10
+HTML, XHTML, XML = "text/html", "application/xhtml+xml", "application/xml"
+HTML_STARTS = (b"html", b"head", b"body", b"title", b"h1")
+ROOTS = {b"svg": "image/svg+xml", b"rss": "application/rss+xml", b"feed": "application/atom+xml"}
+_HTML_NAME = re.compile(rb"html[\s>]", re.IGNORECASE)
+_TAG = re.compile(rb"<([a-z0-9]+)[\s>]")
+_MAY_BE_MARKUP = re.compile(rb"(?:\xef\xbb\xbf)?\s*(?:<|\Z)")
+_CONTROLS = re.compile(rb"[\x00-\x08\x0B\x0E-\x1A\x1C-\x1F]")
+_CUT_OFF = re.compile(rb"[\xC0-\xFF][\x80-\xBF]{0,2}\Z")
+
+
+def is_text(window: bytes) -> bool:
+    """No control bytes other than tab, line ends, form feed and escape, and the rest is UTF-8 or mostly ASCII."""
+    if _CONTROLS.search(window):
+        return False
+    try:
+        _CUT_OFF.sub(b"", window).decode()
+        return True
+    except UnicodeDecodeError:
+        return 10 * len(window.translate(None, bytes(range(128)))) < len(window)
+
+
+def tell(pieces: Iterable[bytes]) -> str:
+    """The full type of the bytes that come in ``pieces``, reading no further than it takes."""
+    teller = Teller()
+    for piece in pieces:
+        teller.feed(piece)
+        if teller.kind is not None:
+            break
+    return teller.finish()
 
 
 def may_start_with(rule: Rule, byte: int) -> bool:

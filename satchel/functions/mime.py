@@ -12,12 +12,15 @@ from pyspark.sql import functions as F
 from satchel.functions.magic import (
     ARCHIVE_TYPES,
     HEAD_BYTES,
+    HTML,
     OCTET_STREAM,
     RULES,
     TEXT_EXTENSIONS,
     TEXT_PLAIN,
     TEXT_WINDOW,
     UNREADABLE_ARCHIVE_TYPES,
+    XHTML,
+    XML,
     Rule,
 )
 
@@ -60,7 +63,7 @@ def _magic_sql(head: str, content: str, rules: Sequence[Rule]) -> str:
 
 def _text_case(latin: str) -> str:
     """No control bytes other than tab, line ends, form feed and escape, and the rest is UTF-8 or mostly ASCII."""
-    whole_chars = rf"regexp_replace({latin}, r'[\xC0-\xFF][\x80-\xBF]{{0,2}}$', '')"
+    whole_chars = rf"regexp_replace({latin}, r'[\xC0-\xFF][\x80-\xBF]{{0,2}}\z', '')"
     utf8 = f"is_valid_utf8(CAST(encode({whole_chars}, 'ISO-8859-1') AS STRING))"
     high = rf"length(regexp_replace({latin}, r'[\x00-\x7F]+', ''))"
     clean_bytes = rf"NOT {latin} RLIKE r'[\x00-\x08\x0B\x0E-\x1A\x1C-\x1F]'"
@@ -68,32 +71,40 @@ def _text_case(latin: str) -> str:
 
 
 def _markup_cases(latin: str) -> str:
-    """HTML and XML by how the text begins."""
-    start = r"(?is)^(?:\xEF\xBB\xBF)?\s*"
-    prolog = start + r"(?:<\?xml.*?\?>\s*)?(?:<!--.*?-->\s*|<!DOCTYPE[^>]*>\s*)*"
-    tagged = rf"{latin} RLIKE r'{start}<'"
-    xml = rf"{latin} RLIKE r'{start}<\?xml\s'"
+    """HTML and XML by how the text begins, behind white space, comments and prolog of any length.
+
+    What may stand before the root is taken off piece by piece, each found where the one before it ended; one pattern for
+    all of it would go a level deeper for every comment.
+    """
+    before = r"^\xEF\xBB\xBF|\s+|<!--.*?-->"
+    behind_comments = rf"regexp_replace({latin}, r'(?s)\G(?:{before})', '')"
+    behind_prolog = rf"regexp_replace({latin}, r'(?is)\G(?:{before}|<\?xml.*?\?>|<!DOCTYPE[^>]*>)', '')"
 
     def root(name: str) -> str:
-        return rf"{tagged} AND {latin} RLIKE r'{prolog}<{name}[\s>]'"
+        return rf"x.prolog RLIKE r'(?i)^<{name}[\s>]'"
 
-    html = rf"{tagged} AND {latin} RLIKE r'{start}(?:<!--.*?-->\s*)*<(?:!DOCTYPE\s+html|html|head|body|title|h1)[\s>]'"
-    return f"""
-        WHEN {xml} AND {root('html')} THEN 'application/xhtml+xml'
-        WHEN {html} THEN 'text/html'
+    xml = r"x.comments RLIKE r'(?i)^<\?xml\s'"
+    return f"""get(transform(array(struct({behind_comments} AS comments, {behind_prolog} AS prolog)), x -> CASE
+        WHEN {xml} AND {root('html')} THEN '{XHTML}'
+        WHEN x.comments RLIKE r'(?i)^<(?:!DOCTYPE\\s+html|html|head|body|title|h1)[\\s>]' THEN '{HTML}'
         WHEN {root('svg')} THEN 'image/svg+xml'
         WHEN {root('rss')} THEN 'application/rss+xml'
         WHEN {root('feed')} THEN 'application/atom+xml'
-        WHEN {xml} THEN 'application/xml'
-    """
+        WHEN {xml} THEN '{XML}' END), 0)"""
 
 
 def detect_sql(content: str, rules: Sequence[Rule] | None = None) -> str:
-    """The head is bound once: every mention of a binary column would copy the whole file out of its row."""
+    """The head is bound once: every mention of a binary column would copy the whole file out of its row.
+
+    Only a file that may begin with a tag is looked at beyond its head.
+    """
     table = RULES if rules is None else rules
     reach = max([HEAD_BYTES] + [offset + len(magic) // 2 for rule in table for offset, magic in rule.parts])
-    cases = (_markup_cases("latin") if rules is None else "") + _text_case("latin")
-    by_text = f"""get(transform(array(decode(substring(head, 1, {TEXT_WINDOW}), 'ISO-8859-1')), latin -> CASE {cases} END), 0)"""
+    by_text = f"""get(transform(array(decode(substring(head, 1, {TEXT_WINDOW}), 'ISO-8859-1')), latin -> CASE {_text_case("latin")} END), 0)"""
+    if rules is None:
+        markup = f"""get(transform(array(decode({content}, 'ISO-8859-1')), whole -> {_markup_cases("whole")}), 0)"""
+        tagged = r"decode(head, 'ISO-8859-1') RLIKE r'^(?:\xEF\xBB\xBF)?\s*(?:<|\z)'"
+        by_text = f"coalesce(CASE WHEN {tagged} THEN {markup} END, {by_text})"
     return f"""coalesce(get(transform(array(substring({content}, 1, {reach})), head ->
         CASE WHEN length(head) > 0 THEN coalesce({_magic_sql("head", content, table)}, {by_text}) END), 0), '{OCTET_STREAM}')"""
 
@@ -111,11 +122,6 @@ def detect(content: str, rules: Sequence[Rule] | None = None) -> Column:
     return F.expr(detect_sql(content, rules))
 
 
-def entry_types(sniffs: str) -> Column:
-    """The cleaned type of every element of an array of contents."""
-    return F.expr(f"transform({sniffs}, sniff -> substring_index({detect_sql('sniff')}, ';', 1))")
-
-
 def clean(mime: Column) -> Column:
     """Drop type parameters: ``a/b; version=5`` becomes ``a/b``."""
     return F.substring_index(mime, ";", 1)

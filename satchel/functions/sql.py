@@ -23,18 +23,20 @@ class UnpackArchive:
     def eval(self, content: bytes, recursive: bool) -> Iterator[tuple]:
         if content is None:
             return
+        source = io.BytesIO(bytes(content))
         errors: list[walker.WalkError] = []
-        options = walker.WalkOptions(bool(recursive), lambda size: True, errors.append, lambda: True)
+        checking = walker.WalkOptions(bool(recursive), lambda size: True, errors.append, None, whole=True)
         whole = True
         try:
-            for _ in walker.walk(io.BytesIO(bytes(content)), options):
+            for _ in walker.walk(source, checking):
                 pass
         except walker.FORMAT_ERRORS as exc:
             errors, whole = [walker.as_walk_error(exc)], False
         for error in list(errors):
             yield None, None, None, None, None, None, (error.code, str(error))
         if whole:
-            for pos, entry in enumerate(walker.walk(io.BytesIO(bytes(content)), options), start=1):
+            reading = checking._replace(wants=lambda: True, whole=False)
+            for pos, entry in enumerate(walker.walk(source, reading), start=1):
                 yield pos, entry.name, entry.size, entry.depth, entry.container, entry.data, None
 
 

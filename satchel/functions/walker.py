@@ -22,9 +22,10 @@ from typing import BinaryIO, NamedTuple
 from satchel.functions import magic
 
 SNIFF_BYTES = 4096
+PIECE_BYTES = 2**18
 MAX_CELL_BYTES = 2**31 - 2**20
 NESTED_HOLD_BYTES = 32 * 2**20
-DIRECTORY_BYTES = 2**20
+NESTED_MEMORY_BYTES = 2**29
 
 
 class WalkError(Exception):
@@ -62,6 +63,12 @@ class Member(NamedTuple):
 
 
 class Entry(NamedTuple):
+    """A file of an archive.
+
+    ``size`` is what the archive says; ``data`` are its first bytes, at most a chunk of them, and ``rest`` gives the chunks
+    behind it and must be used up before the walk goes on.  ``kind`` is its full type, where that was asked for.
+    """
+
     name: str
     size: int
     depth: int
@@ -70,22 +77,27 @@ class Entry(NamedTuple):
     owner: str | None
     grp: str | None
     mtime: int | None
+    kind: str | None
     data: bytes | None
+    rest: Iterator[bytes]
 
 
 class WalkOptions(NamedTuple):
     """``admit(size)`` says whether an entry may still be read and may raise ``BudgetError``.
 
-    ``wants()`` is asked once per file, in order: whether its bytes are needed.  A file that is not wanted comes with
-    the bytes that tell its type when ``sniff`` is set, and with none otherwise.  ``sub_failed(error)`` hears of an
-    error inside a nested archive and may raise it; otherwise the walk goes on.
+    ``wants()`` is asked once per file, in order: whether its bytes are needed; None: they never are.  Of a file that is
+    not wanted no more is read than its type takes, if ``types`` are needed; with ``whole`` it is read to its end all the
+    same, without being kept, so that damage shows.  ``sub_failed(error)`` hears of an error inside a nested archive and
+    may raise it; otherwise the walk goes on.
     """
 
     recursive: bool
     admit: Callable[[int], bool]
     sub_failed: Callable[[WalkError], None]
-    wants: Callable[[], bool]
-    sniff: bool = False
+    wants: Callable[[], bool] | None
+    types: bool = False
+    whole: bool = False
+    chunk: int = MAX_CELL_BYTES
 
 
 def open_zip_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> BinaryIO:
@@ -133,77 +145,125 @@ def tar_members(source: BinaryIO) -> Iterator[Member]:
         yield Member(info.name, size, info.isdir(), info.mode, info.uname, info.gname, int(info.mtime), reader)
 
 
+def pieces(stream: BinaryIO) -> Iterator[bytes]:
+    """What is left of a stream, a short piece first: mostly that tells the type."""
+    size = SNIFF_BYTES
+    while piece := stream.read(size):
+        yield piece
+        size = PIECE_BYTES
+
+
 def holds_tar(mime: str, source: BinaryIO) -> bool:
     """Whether a compressed stream decompresses to a tar; a lone compressed file is not an archive."""
     decoder = {"application/gzip": gzip.open, "application/x-bzip2": bz2.open, "application/x-xz": lzma.open}
-    source.seek(0)
     try:
-        return magic.magic_type(decoder[mime](source).read(512)) in magic.TAR_TYPES
+        return magic.tell([decoder[mime](source).read(magic.HEAD_BYTES)]) in magic.TAR_TYPES
     except (OSError, EOFError, zlib.error, lzma.LZMAError):
         return False
 
 
-def zip_sample(source: BinaryIO) -> bytes:
-    """Enough of a zip to tell a document from an archive: all of it in memory, both ends of a remote file."""
-    if isinstance(source, io.BytesIO):
-        return source.getvalue()
+def member_reader(source: BinaryIO) -> Callable[[BinaryIO], Iterator[Member]] | None:
+    """How to list the archive that ``source`` is, or None when it is no archive we open."""
+    source.seek(0)
+    mime = magic.tell(pieces(source))
     source.seek(0)
-    head = source.read(DIRECTORY_BYTES)
-    rest = source.seek(0, io.SEEK_END) - len(head)
-    source.seek(-min(rest, DIRECTORY_BYTES), io.SEEK_END)
-    return head + source.read(DIRECTORY_BYTES)
-
-
-def member_reader(head: bytes, source: BinaryIO) -> Callable[[BinaryIO], Iterator[Member]] | None:
-    """How to list the archive that begins with ``head``, or None when it is no archive we open."""
-    mime = magic.magic_type(zip_sample(source) if head.startswith(b"PK") else head)
     if mime in magic.ZIP_TYPES:
         return zip_members
-    if mime in magic.TAR_TYPES or (mime in magic.TAR_STREAM_TYPES and holds_tar(mime, source)):
-        source.seek(0)
-        return tar_members
-    return None
-
-
-def read_entry(member: Member, options: WalkOptions) -> tuple[bytes | None, bool]:
-    """The bytes to deliver for a member, and whether it is a nested archive to descend into."""
-    if not options.recursive:
-        wanted = options.wants()
-        if not wanted and not options.sniff:
-            return None, False
+    tar = mime in magic.TAR_TYPES or (mime in magic.TAR_STREAM_TYPES and holds_tar(mime, source))
+    source.seek(0)
+    return tar_members if tar else None
+
+
+def is_nested(kind: str, member: Member) -> bool:
+    if kind in magic.TAR_STREAM_TYPES:
+        with member.open() as stream:
+            return holds_tar(kind, stream)
+    return kind in magic.ZIP_TYPES + magic.TAR_TYPES
+
+
+def chunks(stream: BinaryIO, held: list[bytes], size: int) -> Iterator[bytes]:
+    """``held`` and what is left of ``stream`` in chunks of ``size``; nothing for an empty file."""
+    data = b"".join(held)
+    while True:
+        for at in range(0, len(data) - size + 1, size):
+            yield data[at : at + size]
+        data = data[len(data) // size * size :]
+        more = stream.read(size - len(data))
+        if not more:
+            if data:
+                yield data
+            return
+        data += more
+
+
+def read_member(member: Member, options: WalkOptions, place: tuple, room: int) -> Iterator[Entry | bytes | None]:
+    """One ``Entry``, or of an archive to descend into its bytes, None if they are more than ``room``."""
+    wanted = options.wants() if options.wants and not options.recursive else False
+    telling = options.recursive or options.types
+    if not (wanted or telling or options.whole):
+        yield Entry(*place, None, None, iter(()))
+        return
     with member.open() as stream:
-        data = stream.read(SNIFF_BYTES)
-        # zip containers and compressed tars are told apart by more than their head
-        if data.startswith(magic.CONTAINER_HEADS):
-            data += stream.read(MAX_CELL_BYTES)
+        teller, held, size = magic.Teller(), [], 0
+        for piece in pieces(stream) if telling else ():
+            teller.feed(piece)
+            # unless all bytes are needed anyway, only a short beginning is kept
+            if wanted or (options.recursive and (options.wants or not size)):
+                held.append(piece)
+            size += len(piece)
+            if teller.kind is not None:
+                break
+        kind = teller.finish() if telling else None
         if options.recursive:
-            if member_reader(data[:SNIFF_BYTES], io.BytesIO(data)) is not None:
-                return data + stream.read(MAX_CELL_BYTES), True
-            wanted = options.wants()
-        return data + stream.read(MAX_CELL_BYTES) if wanted else data, False
+            if is_nested(kind, member):
+                yield b"".join(held) + stream.read() if member.size <= room and sum(map(len, held)) == size else None
+                return
+            wanted = bool(options.wants and options.wants())
+        if wanted:
+            rest = chunks(stream, held, options.chunk)
+            yield Entry(*place, kind, next(rest, b""), rest)
+            for _ in rest:
+                pass
+        else:
+            held.clear()
+            while options.whole and stream.read(PIECE_BYTES):
+                pass
+            yield Entry(*place, kind, None, iter(()))
 
 
 def own_files(
     source: BinaryIO, options: WalkOptions, depth: int, container: str, nested: list[tuple[Member, bytes | None]]
 ) -> Iterator[Entry]:
     """The files of one archive in its order; the archives in it are put into ``nested``."""
-    reader = member_reader(source.read(SNIFF_BYTES), source)
-    source.seek(0)
+    reader = member_reader(source)
     if reader is None:
         raise WalkError("NOT_AN_ARCHIVE", "not an archive or not a supported archive")
-    held = 0
+    room = NESTED_HOLD_BYTES
     for member in reader(source):
         if member.is_dir or not options.admit(member.size):
             continue
-        data, is_nested = read_entry(member, options)
-        if data is not None and len(data) >= MAX_CELL_BYTES:
-            raise BudgetError("SIZE_BUDGET", "an entry is larger than one row can hold")
-        if is_nested:
-            # few bytes are kept at hand, the rest is read again when its turn comes
-            held += len(data)
-            nested.append((member, data if held <= NESTED_HOLD_BYTES else None))
-        else:
-            yield Entry(member.name, member.size, depth, container, *member[3:7], data)
+        place = (member.name, member.size, depth, container, *member[3:7])
+        for found in read_member(member, options, place, room):
+            if isinstance(found, Entry):
+                yield found
+            else:
+                # few bytes are kept at hand, the rest is read again when its turn comes
+                room -= len(found or b"")
+                nested.append((member, found))
+
+
+def opened(member: Member, data: bytes | None) -> tuple[BinaryIO, bytes]:
+    """A nested archive and its digest; one too large for memory is read where it lies."""
+    if data is None:
+        stream = member.open()
+        if member.size > NESTED_MEMORY_BYTES:
+            digest = hashlib.sha256()
+            for piece in pieces(stream):
+                digest.update(piece)
+            return stream, digest.digest()
+        with stream:
+            data = stream.read()
+    return io.BytesIO(data), hashlib.sha256(data).digest()
 
 
 def walk(source: BinaryIO, options: WalkOptions) -> Iterator[Entry]:
@@ -223,13 +283,10 @@ def walk(source: BinaryIO, options: WalkOptions) -> Iterator[Entry]:
             continue
         inside, path = [], f"{container}{member.name}/"
         try:
-            if data is None:
-                with member.open() as stream:
-                    data = stream.read(MAX_CELL_BYTES)
-            digest = hashlib.sha256(data).digest()
+            inner, digest = opened(member, data)
             if digest in around:
                 raise WalkError("CORRUPT", "an archive lies inside itself")
-            yield from own_files(io.BytesIO(data), options, len(levels), path, inside)
+            yield from own_files(inner, options, len(levels), path, inside)
         except BudgetError:
             raise
         except FORMAT_ERRORS as exc:

@@ -5,7 +5,7 @@ streams alike, needs no key, and gives its output in bounded batches however muc
 that describes, names or routes the rows is a column expression on top.
 
 Departures from the original semantics, on purpose: one fragment id per archive, derived from its id; permissions from
-the permission bits; real entry sizes count against the budget; times in the session time zone.
+the permission bits; real entry sizes count against the budget; times in UTC.
 """
 
 from __future__ import annotations
@@ -18,9 +18,27 @@ from pyspark.sql.pandas.types import from_arrow_type
 from satchel import schema
 from satchel.functions import archive_tasks, columns, magic, mime
 
-ENTRY_FIELDS = [T.StructField(name, from_arrow_type(kind)) for name, kind in archive_tasks.ENTRY_COLUMNS.items()]
+
+def _fields(kinds: dict) -> list[T.StructField]:
+    return [T.StructField(name, from_arrow_type(kind)) for name, kind in kinds.items()]
+
+
 _ADDED = archive_tasks.ENTRY_COLUMNS | archive_tasks.TALLY_COLUMNS
-TALLY_FIELDS = [T.StructField(name, from_arrow_type(kind)) for name, kind in archive_tasks.TALLY_COLUMNS.items()]
+TALLY_FIELDS = _fields(archive_tasks.TALLY_COLUMNS)
+
+
+def _options(
+    recursive: bool, budget: str | int, fail_on_breach: bool, fail_on_sub_error: bool, emit: str, with_data: bool,
+    chunk_bytes: str | int,
+) -> archive_tasks.UnpackOptions:
+    if emit not in ("all", "parents", "children"):
+        raise ValueError("emit is one of all, parents and children")
+    chunk = columns.size_option(chunk_bytes)
+    if not 0 < chunk <= archive_tasks.walker.MAX_CELL_BYTES:
+        raise ValueError("chunk_bytes must be at least one byte and fit a row")
+    return archive_tasks.UnpackOptions(
+        recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error, emit, with_data, chunk
+    )
 
 
 def unpack(
@@ -35,19 +53,29 @@ def unpack(
     fail_on_sub_error: bool = True,
     fail_on_nothing: bool = True,
     non_archive_to_failure: bool = False,
+    emit: str = "all",
+    with_data: bool = True,
+    chunk_bytes: str | int = archive_tasks.walker.MAX_CELL_BYTES,
 ) -> DataFrame:
     """Parents and children as rows of one frame; take them apart with ``parents`` and ``children``.
 
+    What is not needed is best not asked for: the optimizer cannot see into the stage that reads the archives.  ``emit`` is
+    ``all``, ``parents`` or ``children``; without ``with_data`` children have no ``content``.  Either way each archive is read
+    to its end, so routes and errors are the same, but nothing is held or handed on.
+
+    A file larger than ``chunk_bytes`` comes as several rows with one ``pos``, numbered by ``chunk_index`` from 0; the last
+    has the digest of them all in ``chunks_sha256``.
+
     The columns of the input ride along on every row, so children inherit them, except the content of the archive and
     columns of a name this adds; the result can itself be unpacked again.
     Only the bytes of files whose type can be opened reach the Python stage.
     """
-    options = archive_tasks.UnpackOptions(recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error)
+    options = _options(recursive, budget, fail_on_breach, fail_on_sub_error, emit, with_data, chunk_bytes)
     typed = archives.withColumn("archive_mime_type", mime.clean(mime.detect(content)))
     openable = mime.is_archive_type(F.col("archive_mime_type"))
     carried = [c for c in typed.columns if c != content and c not in _ADDED]
     staged = typed.select(*carried, F.when(openable, F.col(content)).alias("_content"))
-    out_schema = T.StructType(staged.drop("_content").schema.fields + ENTRY_FIELDS + TALLY_FIELDS)
+    out_schema = T.StructType(staged.drop("_content").schema.fields + _fields(options.columns) + TALLY_FIELDS)
 
     rows = staged.mapInArrow(lambda batches: archive_tasks.unpack_batches(batches, options), out_schema)
     return _routed(rows, id_col, filename_col, recursive, fail_on_nothing, non_archive_to_failure)
@@ -67,6 +95,9 @@ def unpack_large(
     non_archive_to_failure: bool = False,
     part_bytes: str | int = "256 MB",
     tasks: int | None = None,
+    emit: str = "all",
+    with_data: bool = True,
+    chunk_bytes: str | int = archive_tasks.walker.MAX_CELL_BYTES,
 ) -> DataFrame:
     """``unpack`` for archives of any size, read from where they lie instead of from a content column.
 
@@ -78,23 +109,22 @@ def unpack_large(
     Spark explicitly: the rows that name the parts are tiny, and runtime re-planning would merge them into one task.
     """
     tasks = tasks or int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    options = archive_tasks.UnpackOptions(recursive, columns.size_option(budget), fail_on_breach, fail_on_sub_error)
+    options = _options(recursive, budget, fail_on_breach, fail_on_sub_error, emit, with_data, chunk_bytes)
     carried = [c for c in archives.columns if c not in (path_col, "content") and c not in _ADDED]
     staged = archives.select(*carried, F.col(path_col).alias("_path"))
-    tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + [T.StructField("_head", T.BinaryType())])
+    tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + [T.StructField("_kind", T.StringType())])
     tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options), tallied_schema)
 
     good = F.col("error_class").isNull() & (F.col("n_unpacked") > 0)
     parts = F.greatest(F.lit(1), F.ceil(F.col("unpack_bytes") / columns.size_option(part_bytes))).cast("int")
-    head_type = mime.clean(mime.detect("_head"))
     split = (
-        schema.with_computed(tallied, archive_mime_type=head_type, _good=good, _parts=F.when(good, parts).otherwise(1))
-        .drop("_head")
+        schema.with_computed(tallied, archive_mime_type=mime.clean(F.col("_kind")), _good=good, _parts=F.when(good, parts).otherwise(1))
+        .drop("_kind")
         .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .repartition(tasks, "_path", "_part")
     )
     out_fields = [f for f in split.schema.fields if f.name not in ("_path", "_part", "_parts", "_good")]
-    rows = split.mapInArrow(lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + ENTRY_FIELDS))
+    rows = split.mapInArrow(lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + _fields(options.columns)))
     return _routed(rows, id_col, filename_col, recursive, fail_on_nothing, non_archive_to_failure)
 
 
@@ -117,7 +147,8 @@ def _routed(
         .otherwise(schema.ORIGINAL)
     )
     has_files = F.col("n_unpacked") > 0
-    child_mime = mime.clean(mime.detect("data")) if recursive else F.lit(magic.OCTET_STREAM)
+    typed = recursive and "entry_kind" in rows.columns
+    child_mime = mime.clean(F.col("entry_kind")) if typed else F.lit(magic.OCTET_STREAM)
     return (
         schema.with_computed(
             rows,
@@ -128,18 +159,18 @@ def _routed(
         .withColumn("fragment_id", F.when(has_files, F.sha2(F.col(id_col).cast("string"), 256)))
         .withColumn("fragment_count", F.when(has_files, F.col("n_unpacked")))
         .withColumn("segment_original_filename", F.when(is_child, F.col(filename_col)))
-        .drop("error_class", "error_message")
+        .drop("error_class", "error_message", "entry_kind")
     )
 
 
 def parents(unpacked: DataFrame) -> DataFrame:
     """One row per input with its totals, error and route (``original`` or ``failure``)."""
-    entry_only = [f.name for f in ENTRY_FIELDS] + ["segment_original_filename", "archive_mime_type", "n_unpacked"]
+    entry_only = [*archive_tasks.ENTRY_COLUMNS, "segment_original_filename", "archive_mime_type", "n_unpacked"]
     return unpacked.filter(F.col("pos").isNull()).drop(*entry_only)
 
 
 def children(unpacked: DataFrame, id_col: str = "file_id", filename_col: str = "filename") -> DataFrame:
-    """One row per unpacked file, named and described by its place in the archive."""
+    """One row per unpacked file, or chunk of one, named and described by its place in the archive."""
     name, archive_filename = F.col("name"), F.col("segment_original_filename")
     described = {
         "parent_id": F.col(id_col),
@@ -153,8 +184,9 @@ def children(unpacked: DataFrame, id_col: str = "file_id", filename_col: str = "
         "permissions": columns.permission_string(F.col("mode")),
         "last_modified_time": columns.time_string(F.col("mtime_s")),
         "creation_time": columns.time_string(F.col("mtime_s")),
-        "content": F.col("data"),
     }
+    if "data" in unpacked.columns:
+        described["content"] = F.col("data")
     kept = [c for c in unpacked.columns if c not in described and c not in _NOT_FOR_CHILDREN]
     return unpacked.filter(F.col("pos").isNotNull()).select(*kept, *[value.alias(c) for c, value in described.items()])
 

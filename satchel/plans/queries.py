@@ -46,6 +46,11 @@ def _children(unpacked: DataFrame) -> DataFrame:
     return unpack.children(unpacked, id_col="archive_id")
 
 
+def _described(archives: DataFrame, **options) -> DataFrame:
+    """Children without their bytes."""
+    return _children(_unpack(archives, emit="children", with_data=False, **options))
+
+
 # sources and routes
 
 
@@ -126,20 +131,20 @@ def unpack_budget_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpack_budget_fail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unpacked = _unpack(samples.archives(spark, sf_dir), budget=FAIL_BUDGET)
+    unpacked = _unpack(samples.archives(spark, sf_dir), budget=FAIL_BUDGET, emit="parents")
     return unpack.parents(unpacked).select(
         "archive_id", "route", _error_class(), "unpack_bytes", "threshold_breached", "fragment_count"
     )
 
 
 def unpack_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unpacked = _unpack(samples.archives(spark, sf_dir), budget=TINY_BUDGET, fail_on_breach=False)
+    unpacked = _unpack(samples.archives(spark, sf_dir), budget=TINY_BUDGET, fail_on_breach=False, emit="parents")
     return unpack.parents(unpacked).select("archive_id", "route", _error_class(), "threshold_breached")
 
 
 def unpack_nonarchive(spark: SparkSession, sf_dir: str) -> DataFrame:
     def with_policy(to_failure: bool) -> DataFrame:
-        unpacked = unpack.unpack(samples.corpus(spark, sf_dir), non_archive_to_failure=to_failure)
+        unpacked = unpack.unpack(samples.corpus(spark, sf_dir), non_archive_to_failure=to_failure, emit="parents")
         return unpack.parents(unpacked).select(F.lit(to_failure).alias("to_failure"), "file_id", "route", _error_class())
 
     return with_policy(False).unionByName(with_policy(True))
@@ -147,7 +152,7 @@ def unpack_nonarchive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unpack_sub_error(spark: SparkSession, sf_dir: str) -> DataFrame:
     def with_policy(fail: bool) -> DataFrame:
-        unpacked = _unpack(samples.archives(spark, sf_dir, "broken"), recursive=True, fail_on_sub_error=fail)
+        unpacked = _unpack(samples.archives(spark, sf_dir, "broken"), recursive=True, fail_on_sub_error=fail, emit="parents")
         return unpack.parents(unpacked).select(
             F.lit(fail).alias("fail_on_sub_error"), "archive_id", "route", _error_class(), "sub_errors", "fragment_count"
         )
@@ -156,58 +161,57 @@ def unpack_sub_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unpack_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _children(_unpack(samples.archives(spark, sf_dir))).select(
+    return _described(samples.archives(spark, sf_dir)).select(
         F.col("parent_id").alias("archive_id"), "fragment_index", "filename", "path", "absolute_path", "segment_path",
         "segment_original_filename",
     )
 
 
 def unpack_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _children(_unpack(samples.archives(spark, sf_dir))).select(
+    return _described(samples.archives(spark, sf_dir)).select(
         F.col("parent_id").alias("archive_id"), "fragment_id", "fragment_index", "fragment_count"
     )
 
 
 def unpack_tar_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _children(_unpack(samples.archives(spark, sf_dir))).select(
+    return _described(samples.archives(spark, sf_dir)).select(
         F.col("parent_id").alias("archive_id"), "fragment_index", "owner", "grp", "permissions", "last_modified_time",
         "creation_time",
     )
 
 
 def unpack_permissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unpacked = _unpack(samples.archives(spark, sf_dir)).filter(F.col("mode").isNotNull())
+    unpacked = _unpack(samples.archives(spark, sf_dir), emit="children", with_data=False).filter(F.col("mode").isNotNull())
     rendered = unpacked.select(F.col("mode").cast("long").alias("mode"), columns.permission_string(F.col("mode")).alias("permissions"))
     return rendered.groupBy("mode", "permissions").agg(F.count("*").alias("n_files"))
 
 
 def unpack_child_mime(spark: SparkSession, sf_dir: str) -> DataFrame:
     def typed(recursive: bool) -> DataFrame:
-        unpacked = _unpack(samples.archives(spark, sf_dir, planted=True), recursive=recursive)
-        return _children(unpacked).groupBy("mime_type").agg(F.count("*").alias("n_files")).withColumn("recursive", F.lit(recursive))
+        return _described(samples.archives(spark, sf_dir, planted=True), recursive=recursive).groupBy("mime_type").agg(F.count("*").alias("n_files")).withColumn("recursive", F.lit(recursive))
 
     return typed(False).unionByName(typed(True))
 
 
 def unpack_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unpacked = _unpack(samples.archives(spark, sf_dir, "nested"), recursive=True)
+    unpacked = _unpack(samples.archives(spark, sf_dir, "nested"), recursive=True, emit="parents")
     return unpack.parents(unpacked).select(
         "archive_id", "mime_type", "unpack_bytes", "threshold_breached", "fragment_id", "fragment_count", "route"
     )
 
 
 def unpack_inherit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unpacked = _unpack(samples.archives(spark, sf_dir, "nested"), recursive=True)
-    return _children(unpacked).select(F.col("parent_id").alias("archive_id"), "fragment_index", "lang", "filename")
+    child = _described(samples.archives(spark, sf_dir, "nested"), recursive=True)
+    return child.select(F.col("parent_id").alias("archive_id"), "fragment_index", "lang", "filename")
 
 
 def unpack_atomic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = _children(_unpack(samples.archives(spark, sf_dir), budget=FAIL_BUDGET))
+    kept = _described(samples.archives(spark, sf_dir), budget=FAIL_BUDGET)
     return kept.groupBy(F.col("parent_id").alias("archive_id")).agg(F.count("*").alias("n_files"), F.sum("size").alias("n_bytes"))
 
 
 def unpack_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = unpack.lineage(_children(_unpack(samples.archives(spark, sf_dir))), id_col="archive_id")
+    edges = unpack.lineage(_described(samples.archives(spark, sf_dir)), id_col="archive_id")
     return edges.select("parent_id", "child_id", "fragment_index")
 
 

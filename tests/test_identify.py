@@ -81,21 +81,54 @@ def sample_of(rule):
     return bytes(data) + (rule.needle or "").encode()
 
 
+def markup_samples():
+    comment = b"<!-- " + b"note " * 300 + b"-->"
+    starts = [b"", b"\xef\xbb\xbf", b" " * 700, comment, b"<!-- a -->\n" * 40, b"<!-- open ", b"<!-->x-->", b"\xef\xbb"]
+    prologs = [
+        b"", b"<?xml version='1.0'?>", b"<?XML\tversion='1.0'?> " + comment, b"<?xml-stylesheet x?>", b"<?xml ", b"<?xml",
+        b"<!DOCTYPE html>", b"<!doctype \n\t HTML SYSTEM 'x'>", b"<!DOCTYPE svg " + b"x" * 900 + b">", b"<!DOCTYPEhtml>", b"<!DOCTYPE x>",
+        b"<!DOCTYPE  html", b"<!DOCTYPE htmlx>", b"<!DOCTYPE",
+    ]
+    roots = [b"<html>", b"<HTML lang='x'>", b"<svg >", b"<rss\n>", b"<feed>", b"<data/>", b"<htmlish>", b"<h1>", b"text", b"", b"<", b"<title", b"\x00"]
+    return [s + p + r for s in starts for p in prologs for r in roots]
+
+
 def test_every_rule_in_both_engines(make_files):
     contents = [sample_of(rule) for rule in magic.RULES]
     rng = random.Random(7)
     contents += [bytes(rng.choices(range(256), k=300)) for _ in range(200)]
+    contents += [c + b"\n" for c in ("größe €".encode() * 200, b"caf\xc3", "x".encode() * 510 + "€".encode(), b"\xc3\xc3", b" " * 600)]
+    first = b"PK\x03\x04" + bytes(26) + b"[Content_Types].xml"
+    contents += [first + b"x" * n + needle for n in (0, 500, 9000) for needle in (b"", b"xl/workbook.bin", b"ppt/presentation.xml word/document.xml")]
+    contents += markup_samples()
     df = make_files(*[(str(i), c) for i, c in enumerate(contents)])
     found = {int(r.file_id): r.m for r in df.select("file_id", mime.detect("content").alias("m")).collect()}
-    for i, content in enumerate(contents):
-        expected = magic.magic_type(content)
-        assert found[i] == expected if expected else found[i] in ("text/plain", "application/octet-stream")
-        stand_in = magic.magic_type(magic.telling_bytes(content))
-        assert stand_in == expected
+    for size in (1, 7, 4096):
+        for i, content in enumerate(contents):
+            told = magic.tell(content[at : at + size] for at in range(0, len(content), size))
+            assert told == found[i], (content[:80], size)
     matched = {found[i] for i in range(len(magic.RULES))}
     assert matched == {rule.mime for rule in magic.RULES}
 
 
+@pytest.mark.parametrize("before", [b"<!-- " + b"long " * 1000 + b"-->", b"<!-- a -->" * 20_000, b"\n" * 5000])
+def test_markup_behind_a_long_beginning(make_files, before):
+    found = types_of(make_files(("h", before + b"<html>x"), ("s", b"<?xml version='1.0'?>" + before + b"<svg >"), ("t", before + b"x")))
+    assert {k: v[0] for k, v in found.items()} == {"h": "text/html", "s": "image/svg+xml", "t": "text/plain"}
+
+
+def test_no_more_is_read_than_the_type_takes():
+    def pieces(content):
+        for at in range(0, len(content), 64):
+            read.append(at)
+            yield content[at : at + 64]
+
+    for content, most in ((b"%PDF-1.4" + b"x" * 10_000, 512), (b"plain " * 5000, 512), (b"<!--" + b"c" * 2000 + b"--><html>" + b"x" * 9000, 2112)):
+        read = []
+        magic.tell(pieces(content))
+        assert read[-1] < most
+
+
 def test_rules_replace_the_table(make_files, spark, tmp_path):
     body = json.dumps([
         {"type": "x/second", "text": "He", "priority": 20},
