@@ -75,21 +75,22 @@ class Tally:
         self.sub_errors += 1
 
     def entries(
-        self, source: BinaryIO, part: int = 0, parts: int = 1, data: bool = True, types: bool = True, whole: bool = False
+        self, source: BinaryIO, first: int = 0, start: int = 0, data: bool = True, types: bool = True, whole: bool = False
     ) -> Iterator[tuple[int, walker.Entry]]:
-        """Positions and files in order; with several parts only every ``parts``-th file comes with its bytes.
+        """Positions and files in order, without the ``first`` ones, of which no byte is read that can be passed over.
 
-        With ``whole``, files without bytes are read to their end all the same, so that damage shows.
+        ``start`` is where the walk may begin.  With ``whole``, files whose bytes are not needed are read to their end all
+        the same, so that damage shows.
         """
         def wants() -> bool:
-            return self.files % parts == part
+            return self.files >= first
 
         options = walker.WalkOptions(
             self.options.recursive, self.admit, self.sub_failed, wants if data else None, types and self.options.recursive,
             whole, self.options.chunk,
         )
         try:
-            for entry in walker.walk(source, options):
+            for entry in walker.walk(source, options, start):
                 delivered = wants()
                 self.files += 1
                 self.bytes += entry.size
@@ -237,7 +238,9 @@ def search_batches(batches: Iterable[pa.RecordBatch], options: SearchOptions) ->
             yield output_batch(batch.drop_columns(["_content"]), list(range(len(rows))), rows, SEARCH_COLUMNS)
 
 
-KIND_COLUMNS = {"_kind": pa.string()}
+# what lies before a part, and where a walk that meets its first file begins
+CUT_FIELDS = {"files": pa.int64(), "bytes": pa.int64(), "start": pa.int64()}
+KIND_COLUMNS = {"_kind": pa.string(), "_cuts": pa.list_(pa.struct(list(CUT_FIELDS.items())))}
 
 
 class RemoteFile(io.RawIOBase):
@@ -293,45 +296,58 @@ def remote_source(path: str) -> BinaryIO:
     return io.BufferedReader(RemoteFile(file), READ_AHEAD_BYTES)
 
 
-def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
-    """Walks the archives at ``_path`` to their end without keeping their files: totals, verdict and type."""
+def tally_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions, part_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Walks the archives at ``_path`` to their end without keeping their files: totals, verdict, type and parts."""
     for batch in batches:
         rows = []
         for path in batch.column("_path").to_pylist():
-            tally, kind = Tally(options), None
+            tally, kind, cuts = Tally(options), None, [(0, 0, 0)]
             try:
                 with remote_source(path) as source:
                     kind = magic.tell(walker.pieces(source))
                     source.seek(0)
-                    for _ in tally.entries(source, data=False, types=False, whole=True):
-                        pass
+                    for pos, entry in tally.entries(source, data=False, types=False, whole=True):
+                        before = tally.bytes - entry.size
+                        if before >= cuts[-1][1] + part_bytes:
+                            cuts.append((pos - 1, before, 0 if options.recursive else entry.at or 0))
             except FileNotFoundError as exc:
                 tally.error = walker.WalkError("UNREADABLE", str(exc))
             except walker.FORMAT_ERRORS as exc:
                 tally.error = walker.as_walk_error(exc)
-            rows.append(tally.row() + (kind,))
+            rows.append((*tally.row(), kind, [dict(zip(CUT_FIELDS, cut, strict=True)) for cut in cuts]))
         yield output_batch(batch, list(range(batch.num_rows)), rows, TALLY_COLUMNS | KIND_COLUMNS)
 
 
+def part_rows(source: BinaryIO, options: UnpackOptions, first: int, counted: int, start: int, to: int) -> Iterator[tuple]:
+    """The rows of the files behind the ``first`` ones, which take ``counted`` bytes, up to the ``to``-th."""
+    tally = Tally(options)
+    if start:
+        tally.files, tally.bytes = first, counted
+    for pos, entry in tally.entries(source, first, start, data=options.with_data):
+        yield from entry_rows(pos, entry, options.with_data)
+        if pos >= to:
+            return
+    if tally.error is not None:
+        # it was whole a moment ago: let Spark try the task again
+        raise tally.error
+
+
 def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
-    """Every ``_parts``-th file of the archive at ``_path``, beginning with ``_part``; part 0 also gives the parent row."""
+    """The files of one part of the archive at ``_path``; the first part also gives the parent row."""
     for batch in batches:
-        path, part, parts, good = (batch.column(c).to_pylist() for c in ("_path", "_part", "_parts", "_good"))
+        path, part, cut, to, good = (batch.column(c).to_pylist() for c in PART_COLUMNS)
 
         def produce(i: int) -> Iterator[tuple]:
             if part[i] == 0 and options.emit != "children":
                 yield (None,) * len(options.columns)
             if good[i] and options.emit != "parents":
                 with remote_source(path[i]) as source:
-                    tally = Tally(options)
-                    for pos, entry in tally.entries(source, part[i], parts[i], data=options.with_data):
-                        yield from entry_rows(pos, entry, options.with_data)
-                    if tally.error is not None:
-                        # it was whole a moment ago: let Spark try the task again
-                        raise tally.error
+                    yield from part_rows(source, options, *cut[i].values(), to[i])
+
+        yield from bounded_batches(batch.drop_columns(PART_COLUMNS), produce, options.columns)
 
-        yield from bounded_batches(batch.drop_columns(["_path", "_part", "_parts", "_good"]), produce, options.columns)
 
+PART_COLUMNS = ["_path", "_part", "_cut", "_to", "_good"]
 
 # the reading code travels with the tasks, so executors need no installed copy of this package
 for _module in ("satchel.functions.magic", "satchel.functions.walker", __name__):

@@ -59,6 +59,7 @@ class Member(NamedTuple):
     owner: str | None
     grp: str | None
     mtime: int | None
+    at: int | None
     open: Callable[[], BinaryIO]
 
 
@@ -66,7 +67,8 @@ class Entry(NamedTuple):
     """A file of an archive.
 
     ``size`` is what the archive says; ``data`` are its first bytes, at most a chunk of them, and ``rest`` gives the chunks
-    behind it and must be used up before the walk goes on.  ``kind`` is its full type, where that was asked for.
+    behind it and must be used up before the walk goes on.  ``kind`` is its full type, where that was asked for; ``at`` is
+    where a walk of the same archive can begin to meet this file first, None where it has to begin at the start.
     """
 
     name: str
@@ -80,6 +82,7 @@ class Entry(NamedTuple):
     kind: str | None
     data: bytes | None
     rest: Iterator[bytes]
+    at: int | None = None
 
 
 class WalkOptions(NamedTuple):
@@ -106,11 +109,12 @@ def open_zip_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo) -> BinaryIO
     return archive.open(info)
 
 
-def zip_members(source: BinaryIO) -> Iterator[Member]:
+def zip_members(source: BinaryIO, start: int = 0) -> Iterator[Member]:
+    """``start`` counts entries of the directory, which names them all and where they lie."""
     archive = zipfile.ZipFile(source)
-    for info in archive.infolist():
+    for at, info in enumerate(archive.infolist()[start:], start):
         reader = partial(open_zip_member, archive, info)
-        yield Member(info.filename, info.file_size, info.is_dir(), None, None, None, None, reader)
+        yield Member(info.filename, info.file_size, info.is_dir(), None, None, None, None, at, reader)
 
 
 class StrictTarInfo(tarfile.TarInfo):
@@ -136,13 +140,17 @@ def open_tar_member(archive: tarfile.TarFile, info: tarfile.TarInfo) -> BinaryIO
     return archive.extractfile(info)
 
 
-def tar_members(source: BinaryIO) -> Iterator[Member]:
-    archive = tarfile.open(fileobj=source, mode="r:*", tarinfo=StrictTarInfo)
+def tar_members(source: BinaryIO, start: int = 0) -> Iterator[Member]:
+    """``start`` is the offset of a header, in a tar that is not compressed."""
+    source.seek(start)
+    archive = tarfile.open(fileobj=source, mode="r:" if start else "r:*", tarinfo=StrictTarInfo)
     for info in archive:
         archive.members.clear()  # else every header seen stays in memory
         size = info.size if info.isreg() else 0
+        # a compressed tar has no such offset, and a header for all files behind it must not be missed
+        at = info.offset if archive.fileobj is source and not archive.pax_headers else None
         reader = partial(open_tar_member, archive, info)
-        yield Member(info.name, size, info.isdir(), info.mode, info.uname, info.gname, int(info.mtime), reader)
+        yield Member(info.name, size, info.isdir(), info.mode, info.uname, info.gname, int(info.mtime), at, reader)
 
 
 def pieces(stream: BinaryIO) -> Iterator[bytes]:
@@ -162,7 +170,7 @@ def holds_tar(mime: str, source: BinaryIO) -> bool:
         return False
 
 
-def member_reader(source: BinaryIO) -> Callable[[BinaryIO], Iterator[Member]] | None:
+def member_reader(source: BinaryIO) -> Callable[[BinaryIO, int], Iterator[Member]] | None:
     """How to list the archive that ``source`` is, or None when it is no archive we open."""
     source.seek(0)
     mime = magic.tell(pieces(source))
@@ -201,7 +209,7 @@ def read_member(member: Member, options: WalkOptions, place: tuple, room: int) -
     wanted = options.wants() if options.wants and not options.recursive else False
     telling = options.recursive or options.types
     if not (wanted or telling or options.whole):
-        yield Entry(*place, None, None, iter(()))
+        yield Entry(*place, None, None, iter(()), member.at)
         return
     with member.open() as stream:
         teller, held, size = magic.Teller(), [], 0
@@ -221,25 +229,25 @@ def read_member(member: Member, options: WalkOptions, place: tuple, room: int) -
             wanted = bool(options.wants and options.wants())
         if wanted:
             rest = chunks(stream, held, options.chunk)
-            yield Entry(*place, kind, next(rest, b""), rest)
+            yield Entry(*place, kind, next(rest, b""), rest, member.at)
             for _ in rest:
                 pass
         else:
             held.clear()
             while options.whole and stream.read(PIECE_BYTES):
                 pass
-            yield Entry(*place, kind, None, iter(()))
+            yield Entry(*place, kind, None, iter(()), member.at)
 
 
 def own_files(
-    source: BinaryIO, options: WalkOptions, depth: int, container: str, nested: list[tuple[Member, bytes | None]]
+    source: BinaryIO, options: WalkOptions, depth: int, container: str, nested: list[tuple[Member, bytes | None]], start: int = 0
 ) -> Iterator[Entry]:
     """The files of one archive in its order; the archives in it are put into ``nested``."""
     reader = member_reader(source)
     if reader is None:
         raise WalkError("NOT_AN_ARCHIVE", "not an archive or not a supported archive")
     room = NESTED_HOLD_BYTES
-    for member in reader(source):
+    for member in reader(source, start):
         if member.is_dir or not options.admit(member.size):
             continue
         place = (member.name, member.size, depth, container, *member[3:7])
@@ -266,14 +274,16 @@ def opened(member: Member, data: bytes | None) -> tuple[BinaryIO, bytes]:
     return io.BytesIO(data), hashlib.sha256(data).digest()
 
 
-def walk(source: BinaryIO, options: WalkOptions) -> Iterator[Entry]:
+def walk(source: BinaryIO, options: WalkOptions, start: int = 0) -> Iterator[Entry]:
     """The files of an archive: its own in archive order, then those of each nested archive by the same rule.
 
+    With ``start``, the ``at`` of one of its own files, the walk begins there; only where nothing is recursive.
+
     A nested archive is tested against the budget like any entry, yet is never an entry of its own.  What came out of
     it before an error stays delivered.  Archives may lie in one another to any depth, but not in themselves.
     """
     nested: list[tuple[Member, bytes | None]] = []
-    yield from own_files(source, options, 0, "", nested)
+    yield from own_files(source, options, 0, "", nested, start)
     levels = [(iter(nested), "", frozenset())]
     while levels:
         waiting, container, around = levels[-1]

@@ -101,9 +101,11 @@ def unpack_large(
 ) -> DataFrame:
     """``unpack`` for archives of any size, read from where they lie instead of from a content column.
 
-    A first pass walks each archive to its verdict and keeps nothing.  An archive is then as many rows as it has parts
-    of ``part_bytes``, spread over the cluster, and each part reads only its own files: one archive that makes up a
-    third of the data is many tasks.  The executors must reach the paths.
+    A first pass walks each archive to its verdict and keeps nothing but where its parts begin: a place in the directory
+    of a zip, the offset of a header in a tar.  An archive is then as many rows as it has parts of ``part_bytes``, spread
+    over the cluster, and each part reads only its own files: one archive that makes up a third of the data is many tasks,
+    which together read it once.  Inside a compressed tar, and with ``recursive``, there is no place to begin at: a part
+    passes over the files before its own and ends with its last one.  The executors must reach the paths.
 
     The parts are dealt out to ``tasks`` tasks, by default as many as the session shuffles into.  The number is given to
     Spark explicitly: the rows that name the parts are tiny, and runtime re-planning would merge them into one task.
@@ -112,19 +114,23 @@ def unpack_large(
     options = _options(recursive, budget, fail_on_breach, fail_on_sub_error, emit, with_data, chunk_bytes)
     carried = [c for c in archives.columns if c not in (path_col, "content") and c not in _ADDED]
     staged = archives.select(*carried, F.col(path_col).alias("_path"))
-    tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + [T.StructField("_kind", T.StringType())])
-    tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options), tallied_schema)
+    part_size = columns.size_option(part_bytes)
+    tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + _fields(archive_tasks.KIND_COLUMNS))
+    tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options, part_size), tallied_schema)
 
     good = F.col("error_class").isNull() & (F.col("n_unpacked") > 0)
-    parts = F.greatest(F.lit(1), F.ceil(F.col("unpack_bytes") / columns.size_option(part_bytes))).cast("int")
+    computed = schema.with_computed(tallied, archive_mime_type=mime.clean(F.col("_kind")), _good=good).drop("_kind")
+    cuts = F.when(F.col("_good"), F.col("_cuts")).otherwise(F.slice("_cuts", 1, 1))
     split = (
-        schema.with_computed(tallied, archive_mime_type=mime.clean(F.col("_kind")), _good=good, _parts=F.when(good, parts).otherwise(1))
-        .drop("_kind")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+        computed.select("*", F.posexplode(cuts).alias("_part", "_cut"))
+        .withColumn("_to", F.coalesce(F.get("_cuts", F.col("_part") + 1)["files"], "n_unpacked"))
+        .drop("_cuts")
         .repartition(tasks, "_path", "_part")
     )
-    out_fields = [f for f in split.schema.fields if f.name not in ("_path", "_part", "_parts", "_good")]
-    rows = split.mapInArrow(lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + _fields(options.columns)))
+    out_fields = [f for f in split.schema.fields if f.name not in archive_tasks.PART_COLUMNS]
+    rows = split.mapInArrow(
+        lambda batches: archive_tasks.part_batches(batches, options), T.StructType(out_fields + _fields(options.columns))
+    )
     return _routed(rows, id_col, filename_col, recursive, fail_on_nothing, non_archive_to_failure)
 
 

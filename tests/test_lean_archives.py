@@ -145,3 +145,46 @@ def test_lean_forms_by_path(spark, tmp_path):
     assert sorted(unpack.children(lean).select(key).collect()) == sorted(unpack.children(full).select(key).collect())
     chunked = unpack.children(unpack.unpack_large(df, recursive=True, chunk_bytes=2, emit="children"))
     assert chunked.agg(F.sum(F.length("content"))).first() == unpack.children(full).agg(F.sum(F.length("content"))).first()
+
+
+@pytest.mark.parametrize("kind", ["zip", "tar", "tar with long names"])
+def test_parts_together_read_an_archive_once(monkeypatch, kind):
+    name = "n" * 150 if kind == "tar with long names" else "f"
+    members = [(f"{name}{i}", bytes([i]) * 20_000) for i in range(60)]
+    data = zip_of(members, stored=True) if kind == "zip" else tar_of([("d/", b""), *members])
+    read = [0]
+
+    class Metered(io.BytesIO):
+        def readinto(self, buffer):
+            n = super().readinto(buffer)
+            read[0] += n
+            return n
+
+    sources = lambda path: io.BufferedReader(Metered(data), 4096)
+    monkeypatch.setattr(archive_tasks, "remote_source", sources)
+    options = archive_tasks.UnpackOptions(False, -1, True, True)
+    import pyarrow as pa
+
+    (tallied,) = archive_tasks.tally_batches([pa.RecordBatch.from_pydict({"_path": ["x"]})], options, 100_000)
+    cuts = [tuple(c.values()) for c in tallied.column("_cuts").to_pylist()[0]]
+    assert len(cuts) == 12 and [c[:2] for c in cuts] == [(5 * i, 100_000 * i) for i in range(12)]
+    assert read[0] < 1.3 * len(data)
+    read[0] = 0
+    found = []
+    for at, cut in enumerate(cuts):
+        to = cuts[at + 1][0] if at + 1 < len(cuts) else 60
+        found += archive_tasks.part_rows(sources("x"), options, *cut, to)
+    assert [(r[0], r[1], r[-1]) for r in found] == [(i + 1, n, d) for i, (n, d) in enumerate(members)]
+    assert read[0] < 1.3 * len(data)
+
+
+def test_parts_under_a_budget_pass_over_the_same_files(spark, tmp_path):
+    sizes = [30, 90, 30, 5, 90, 20, 40, 1]
+    (tmp_path / "a.tar").write_bytes(tar_of([(f"f{i}", b"x" * n) for i, n in enumerate(sizes)]))
+    (tmp_path / "b.zip").write_bytes(zip_of([(f"f{i}", b"x" * n) for i, n in enumerate(sizes)]))
+    (tmp_path / "c.tgz").write_bytes(tar_of([(f"f{i}", b"x" * n) for i, n in enumerate(sizes)], "w:gz"))
+    df = files.read_files(spark, str(tmp_path))
+    options = {"budget": 100, "fail_on_breach": False}
+    whole = unpack.children(unpack.unpack(df, **options)).select("parent_id", "fragment_index", "entry_name", "content")
+    parts = unpack.children(unpack.unpack_large(df, part_bytes=25, **options)).select(whole.columns)
+    assert sorted(map(str, parts.collect())) == sorted(map(str, whole.collect())) and whole.count() == 15
