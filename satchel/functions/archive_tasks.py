@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import io
 import sys
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 from typing import BinaryIO, NamedTuple
@@ -121,8 +122,10 @@ def entry_rows(pos: int, entry: walker.Entry, with_data: bool) -> Iterator[tuple
     yield (*place, index, digest and digest.hexdigest(), last)
 
 
-def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
-    """The parent row, then the child rows if and only if the walk came to its end.
+def archive_rows(
+    source: BinaryIO, options: UnpackOptions, chosen: Callable[[walker.Entry], bool] | None = None
+) -> Iterator[tuple]:
+    """The parent row, then the child rows if and only if the walk came to its end; of these only the ``chosen``.
 
     What was read is kept for the second half up to ``HOLD_BYTES``; an archive that expands further, or has a file of more
     than one chunk, is read again, so memory stays bounded without a budget too.
@@ -132,6 +135,8 @@ def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
     held: list | None = [] if children else None
     size = 0
     for pos, entry in tally.entries(source, data=children and options.with_data, types=children, whole=True):
+        if chosen and not chosen(entry):
+            continue
         size += ENTRY_BYTES + len(entry.data or b"")
         if held is not None:
             rows = list(islice(entry_rows(pos, entry, options.with_data), 2))
@@ -148,6 +153,8 @@ def archive_rows(source: BinaryIO, options: UnpackOptions) -> Iterator[tuple]:
         source.seek(0)
         again = Tally(options)
         for pos, entry in again.entries(source, data=options.with_data):
+            if chosen and not chosen(entry):
+                continue
             yield from (row + totals for row in entry_rows(pos, entry, options.with_data))
         if again.error is not None:
             # it was whole a moment ago: let Spark try the task again
@@ -281,12 +288,16 @@ class RemoteFile(io.RawIOBase):
         super().close()
 
 
+def as_uri(path: str) -> str:
+    """A path as Spark writes it, as Arrow takes it."""
+    return "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
+
+
 def remote_source(path: str) -> BinaryIO:
     """A seekable file on whatever filesystem the path names, so an archive may be larger than a row can hold."""
     from pyarrow import fs
 
-    uri = "file://" + path.removeprefix("file:") if path.startswith("file:/") and not path.startswith("file://") else path
-    filesystem, inner = fs.FileSystem.from_uri(uri)
+    filesystem, inner = fs.FileSystem.from_uri(as_uri(path))
     try:
         file = filesystem.open_input_file(inner)
     except FileNotFoundError:
@@ -347,6 +358,21 @@ def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> I
         yield from bounded_batches(batch.drop_columns(PART_COLUMNS), produce, options.columns)
 
 
+def write_batches(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Writes ``content`` to ``filename`` in the folder; a task that runs again puts the same file in the same place."""
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(as_uri(folder))
+    for batch in batches:
+        names, content = batch.column("filename").to_pylist(), batch.column("content")
+        for name, data in zip(names, content, strict=True):
+            unfinished = f"{inner}/.{uuid.uuid4().hex}"
+            with filesystem.open_output_stream(unfinished) as out:
+                out.write(data.as_buffer() if data.is_valid else b"")
+            filesystem.move(unfinished, f"{inner}/{name}")
+        yield pa.RecordBatch.from_pydict({"filename": pa.array(names, pa.string())})
+
+
 PART_COLUMNS = ["_path", "_part", "_cut", "_to", "_good"]
 
 # the reading code travels with the tasks, so executors need no installed copy of this package

@@ -208,6 +208,18 @@ ORACLE: dict[str, str] = {
     "unpack_lineage": f"""
         WITH {LINES}
         SELECT doc_id AS parent_id, sha256(doc_id || '/' || (i + 1)) AS child_id, i + 1 AS fragment_index FROM lines""",
+    "unpack_large": f"""
+        WITH {LINES}
+        SELECT doc_id AS archive_id, i + 1 AS fragment_index, entry_name, size, md5(line) AS md5 FROM lines""",
+    "archive_table": f"""
+        WITH {LINES}
+        SELECT doc_id AS archive_id, i + 1 AS pos, entry_name AS name, size, md5(line) AS md5,
+               count(*) OVER (PARTITION BY doc_id) AS n_unpacked
+        FROM lines QUALIFY size < 200 AND entry_name LIKE 'line-%'""",
+    "archive_parents": f"""
+        WITH {LINES}
+        SELECT doc_id AS archive_id, count(*) AS n_unpacked, sum(size)::BIGINT AS unpack_bytes, NULL::VARCHAR AS error_class
+        FROM lines GROUP BY doc_id""",
     "contains_search_set": f"""
         WITH {CORPUS}
         SELECT full_type AS mime_type, count(*) AS n_files FROM corpus

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from satchel.functions import columns, mime
 from satchel.operators import contains, extract, identify, keyed, unpack
-from satchel.sources import files, samples
+from satchel.session import shared_folder
+from satchel.sources import archive_source, files, samples
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -215,6 +216,39 @@ def unpack_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edges.select("parent_id", "child_id", "fragment_index")
 
 
+def _archive_files(spark: SparkSession, sf_dir: str) -> str:
+    """The archives as files in the shared folder."""
+    folder = shared_folder(spark, "archives")
+    files.write_files(samples.archives(spark, sf_dir), folder)
+    return folder
+
+
+def _id_of(path: Column) -> Column:
+    return F.regexp_extract(path, r"doc-(\d+)\.\w+$", 1).cast("long").alias("archive_id")
+
+
+def unpack_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives read by path, each in parts of 1 KB."""
+    inbox = files.read_files(spark, _archive_files(spark, sf_dir)).drop("content")
+    inbox = inbox.withColumn("archive_id", _id_of(F.col("filename")))
+    return _files_of(unpack.unpack_large(inbox, id_col="archive_id", part_bytes="1 KB"))
+
+
+def archive_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives as a table, its small text files of the first directory level."""
+    archive_source.register(spark)
+    options = {"partBytes": "1 MB", "emit": "children", "name": "line-*", "maxSize": "199 B"}
+    small = spark.read.format("archive").options(**options).load(_archive_files(spark, sf_dir))
+    return small.select(_id_of(F.col("archive")), "pos", "name", "size", F.md5("data").alias("md5"), "n_unpacked")
+
+
+def archive_parents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives as a table, only the archives themselves."""
+    archive_source.register(spark)
+    parents = spark.read.format("archive").option("emit", "parents").load(_archive_files(spark, sf_dir))
+    return parents.select(_id_of(F.col("archive")), "n_unpacked", "unpack_bytes", "error_class")
+
+
 def change_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcome = extract.extract_text(_encrypted_corpus(spark, sf_dir), max_chars=2000)
     return unpack.audit(outcome, "extract").groupBy("op", "change", "route").agg(F.count("*").alias("n_files"))
@@ -420,7 +454,7 @@ QUERIES: dict[str, Query] = {
         file_scan, route_split, error_summary, mime_identify, mime_clean, mime_extension, mime_custom_rules, archive_recognise,
         unpack_flat, unpack_recursive, unpack_budget_skip, unpack_budget_fail, unpack_nothing, unpack_nonarchive,
         unpack_sub_error, unpack_paths, unpack_fragments, unpack_tar_metadata, unpack_permissions, unpack_child_mime,
-        unpack_parents, unpack_inherit, unpack_atomic, unpack_lineage, change_audit, contains_search_set, contains_type,
+        unpack_parents, unpack_inherit, unpack_atomic, unpack_lineage, unpack_large, archive_table, archive_parents, change_audit, contains_search_set, contains_type,
         contains_recursive, contains_sub_error, contains_nonarchive, extract_html, extract_xml, extract_plain,
         extract_char_limit, extract_byte_limit, extract_byte_estimate, extract_both_limits, extract_limit_policy, extract_trim,
         extract_empty,

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+from functools import cache
+
 from pyspark.sql import SparkSession
 
 # Settings that bound what one task holds, and leave partition counts and skew to runtime re-planning.
@@ -18,6 +22,21 @@ SETTINGS = {
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="satchel-files-")
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder below the one that driver and executors share, ``spark.checkpoint.dir``; on one machine an own one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = _own_folder()
+    return f"{folder.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A session on one machine, for tests and benchmarks."""
     builder = SparkSession.builder.master(f"local[{cores}]").appName("satchel")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from satchel.functions import mime
+from satchel.functions import archive_tasks, mime
 from satchel.functions.magic import Rule
 
 BINARY_FILE_SCHEMA = T.StructType([
@@ -49,6 +49,20 @@ def _is_text(table: DataFrame, content: Column) -> bool:
     return isinstance(table.select(content).schema.fields[0].dataType, T.StringType)
 
 
+def write_files(rows: DataFrame, folder: str) -> None:
+    """Every row's ``content`` as a file of its ``filename`` in ``folder``, which the executors must reach; null is empty.
+
+    Names say no more than their last part; of several rows with one name the last one written stays.
+    """
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(archive_tasks.as_uri(folder))
+    filesystem.create_dir(inner)
+    named = rows.select(F.substring_index("filename", "/", -1).alias("filename"), "content")
+    written = named.mapInArrow(lambda batches: archive_tasks.write_batches(batches, folder), "filename string")
+    written.write.format("noop").mode("overwrite").save()
+
+
 def one_file(spark: SparkSession, path: str) -> str:
     """The text of the one file that ``path`` names."""
     found = spark.read.text(path, wholetext=True).limit(2).collect()
