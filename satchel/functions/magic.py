@@ -131,6 +131,9 @@ RULES: tuple[Rule, ...] = (
     Rule("font/woff2", ".woff2", ((0, _ascii("wOF2")),)),
     Rule("font/otf", ".otf", ((0, _ascii("OTTO")),)),
     Rule("font/ttf", ".ttf", ((0, "0001000000"),)),
+    # text that says its width by a byte order mark
+    Rule(TEXT_PLAIN, ".txt", ((0, "FEFF"),)),
+    Rule(TEXT_PLAIN, ".txt", ((0, "FFFE"),)),
     # structured text with a fixed beginning
     Rule("application/x-x509-cert; format=pem", "", ((0, _ascii("-----BEGIN CERTIFICATE")),)),
     Rule("application/pgp-encrypted", ".pgp", ((0, _ascii("-----BEGIN PGP MESSAGE-")),)),

@@ -27,7 +27,7 @@ def is_encrypted(content: str, mime_type: Column) -> Column:
 
 def document_text(content: str, mime_type: Column) -> Column:
     """Text before limits and trimming; NULL for a type without an extractor."""
-    decoded = text.decode_utf8(F.col(content))
+    decoded = text.decode(F.col(content), mime_type.isin(*HTML_TYPES, *XML_TYPES))
     return (
         F.when(F.length(content) == 0, "")
         .when(mime_type.isin(*HTML_TYPES), text.html_text(decoded))

@@ -35,8 +35,8 @@ FLAT_FILES = "SELECT doc_id AS archive_id, i + 1 AS fragment_index, entry_name,
 HTML_TEXT = r"""
 trim(regexp_replace(
     replace(replace(replace(replace(replace(replace(replace(replace(replace(
-        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({html},
-            '(?is)<!--.*?-->', ' ', 'g'), '(?is)^.*?<body[^>]*>', '', 'g'), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'),
+        regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({html},
+            '(?is)</?[ab]( [^>]*)?>', '', 'g'), '(?is)<!--.*?-->', '', 'g'), '(?is)^.*?<body[^>]*>', '', 'g'), '(?is)<script\b[^>]*>.*?</script>', ' ', 'g'),
             '(?is)<style\b[^>]*>.*?</style>', ' ', 'g'), '(?is)<noscript\b[^>]*>.*?</noscript>', ' ', 'g'),
             '(?s)<[a-zA-Z/!?][^>]*>', ' ', 'g'),
         '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&apos;', ''''),
@@ -271,6 +271,9 @@ ORACLE: dict[str, str] = {
         FROM corpus, (VALUES (true), (false)) AS policy(to_failure)""",
     "extract_html": f"""
         SELECT page_id, {HTML_TEXT.format(html='html')} AS text, 'text/plain' AS mime_type, 'success' AS route FROM pages""",
+    "extract_planted": r"""
+        SELECT doc_id, CASE WHEN doc_id % 6 = 4 THEN regexp_replace(t, '[^\x20-\x7E\x{A0}-\x{FF}]', '', 'g') ELSE t END AS text
+        FROM (SELECT doc_id, trim(left(trim(regexp_replace(text, '[\x00-\x20\x{A0}]+', ' ', 'g')), 400)) AS t FROM documents)""",
     "extract_xml": r"""
         SELECT doc_id, trim(regexp_replace(text, '[ \t\r\n]+', ' ', 'g')) AS text, 'text/plain' AS mime_type, 'success' AS route
         FROM documents""",

@@ -311,6 +311,37 @@ def extract_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", _text(), "mime_type", "route")
 
 
+def extract_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known texts, written in six ways of markup and character sets, and read back."""
+    docs = samples.text_table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"[\x00-\x20\xA0]+", " ").alias("text"))
+    t = F.trim(F.substring(F.trim("text"), 1, 400))
+
+    def escaped(text: Column) -> Column:
+        for char, reference in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            text = F.replace(text, F.lit(char), F.lit(reference))
+        return text
+
+    def around(before: str, text: Column, after: str) -> Column:
+        return F.concat(F.lit(before), text, F.lit(after))
+
+    word = F.concat(escaped(F.substring(t, 1, 3)), F.lit("<!-- </p> --><b class='>'>"), escaped(F.substring(t, 4, 400)), F.lit("</b>"))
+    coded = F.replace(F.replace(escaped(t), F.lit("e"), F.lit("&#101;")), F.lit("n"), F.lit("&#x6e;"))
+    coded = F.replace(F.replace(coded, F.lit("é"), F.lit("&eacute;")), F.lit("ü"), F.lit("&uuml;"))
+    western = F.regexp_replace(t, r"[^\x20-\x7E\xA0-\xFF]", "")
+    head = "<html><head><title>gone</title><style>p > a {}</style>"
+    kind = F.col("doc_id") % 6
+    content = (
+        F.when(kind == 0, F.encode(around(f'<!DOCTYPE html>{head}</head><body><p title="x > y">', word, "</p><script>'</p>'</script></body></html>"), "UTF-8"))
+        .when(kind == 1, F.encode(around(head + "<div data-a='a > b' data-b=it's>", escaped(t), "</div>"), "UTF-8"))
+        .when(kind == 2, F.encode(around("<html><body>", coded, "</body></html>"), "UTF-8"))
+        .when(kind == 3, F.concat(F.unhex(F.lit("FFFE")), F.encode(t, "UTF-16LE")))
+        .when(kind == 4, F.encode(around(head + '<meta http-equiv=x content="text/html; charset=ISO-8859-1"></head><body>', escaped(western), ""), "ISO-8859-1"))
+        .otherwise(F.encode(around("<?xml version='1.0'?><!DOCTYPE a [<!ENTITY b 'c'>]><a><![CDATA[", t, "]]></a>"), "UTF-8"))
+    )
+    done = extract.extract_text(docs.select("doc_id", content.alias("content")), max_chars=-1)
+    return done.select("doc_id", _text())
+
+
 def extract_xml(spark: SparkSession, sf_dir: str) -> DataFrame:
     escaped = F.col("text")
     for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
@@ -455,7 +486,7 @@ QUERIES: dict[str, Query] = {
         unpack_flat, unpack_recursive, unpack_budget_skip, unpack_budget_fail, unpack_nothing, unpack_nonarchive,
         unpack_sub_error, unpack_paths, unpack_fragments, unpack_tar_metadata, unpack_permissions, unpack_child_mime,
         unpack_parents, unpack_inherit, unpack_atomic, unpack_lineage, unpack_large, archive_table, archive_parents, change_audit, contains_search_set, contains_type,
-        contains_recursive, contains_sub_error, contains_nonarchive, extract_html, extract_xml, extract_plain,
+        contains_recursive, contains_sub_error, contains_nonarchive, extract_html, extract_planted, extract_xml, extract_plain,
         extract_char_limit, extract_byte_limit, extract_byte_estimate, extract_both_limits, extract_limit_policy, extract_trim,
         extract_empty,
         extract_error_routes, keyed_delete_route, keyed_delete_survivors, keyed_delete_expr, keyed_delete_replay,
