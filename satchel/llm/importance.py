@@ -9,6 +9,7 @@ A document weighs as much as ``PER`` of its n-grams, so that its length does not
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,7 @@ NO_WORDS = -1000.0  # the weight of a text without words
 CHUNK = 1 << 20
 TARGETS = 100_000  # labelled target texts that the model of target text is made of
 STEP, STEPS_TO = 0.5, 100.0  # bins of weights for the calibration
+NOT_BLANK = re.compile(rb"[^\x09-\x0D\x20]")
 ODD = 0x9E3779B97F4A7C15  # fixed value: the usual odd multiplier of multiplicative hashing
 
 
@@ -45,28 +47,41 @@ class Hasher:
         )
         self.pair = mixed(np.array([1, 2], dtype=np.uint64) << np.uint64(40), buckets)
 
-    def words(self, part: np.ndarray) -> np.ndarray:
-        """A hash for each word of at most ``CHUNK`` bytes, from differences of one running sum."""
+    def words(self, part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """A hash for each word of at most ``CHUNK`` bytes, from differences of one running sum, its start and its end."""
         inside = np.zeros(len(part) + 2, dtype=np.int8)
         inside[1:-1] = (part != 32) & ((part < 9) | (part > 13))
         turns = np.diff(inside)
         starts, ends = np.flatnonzero(turns == 1), np.flatnonzero(turns == -1)
         sums = np.zeros(len(part) + 1, dtype=np.uint64)
         np.cumsum((part.astype(np.uint64) + np.uint64(1)) * self.powers[: len(part)], out=sums[1:])
-        return (sums[ends] - sums[starts]) * self.back[starts]
+        return (sums[ends] - sums[starts]) * self.back[starts], starts, ends
 
     def __call__(self, text: str | None) -> Iterator[np.ndarray]:
+        """The last word of a chunk, as far as it goes, and the last two bytes are carried over to the next."""
         data = (text or "").encode("utf-8", "replace")
-        while data:
-            at = len(data)
-            if at > CHUNK:  # between two words, if it has any
-                at = max(data.rfind(b" ", 0, CHUNK), data.rfind(b"\n", 0, CHUNK)) + 1 or CHUNK
-            part, data = np.frombuffer(data[:at], dtype=np.uint8), data[at:]
-            words = self.words(part)
-            if len(words):
-                wide = np.pad(part, 1, constant_values=32).astype(np.uint64)
-                grams = wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]
-                yield np.concatenate([mixed(grams, self.buckets), self.pair[(words[1:] == words[:-1]).astype(int)]])
+        if not NOT_BLANK.search(data):
+            return
+        tail, before, begun, length = np.array([32], dtype=np.uint8), [], 0, 0
+        for at in range(0, len(data), CHUNK):
+            part = np.frombuffer(data, dtype=np.uint8, count=min(CHUNK, len(data) - at), offset=at)
+            last = at + CHUNK >= len(data)
+            hashes, starts, ends = self.words(part)
+            whole, sizes = hashes.tolist(), (ends - starts).tolist()
+            if length and len(starts) and starts[0] == 0:
+                whole[0] = (begun + pow(ODD, length, 1 << 64) * whole[0]) % (1 << 64)
+                sizes[0] += length
+            elif length:
+                whole, sizes = [begun, *whole], [length, *sizes]
+            begun = length = 0
+            if not last and len(ends) and ends[-1] == len(part):
+                begun, length = whole.pop(), sizes.pop()
+            words = np.array(before + whole, dtype=np.uint64)
+            before = words[-1:].tolist()
+            wide = np.concatenate([tail, part, [32] if last else []]).astype(np.uint64)
+            tail = wide[-2:]
+            grams = wide[:-2] << np.uint64(16) | wide[1:-1] << np.uint64(8) | wide[2:]
+            yield np.concatenate([mixed(grams, self.buckets), self.pair[(words[1:] == words[:-1]).astype(int)]])
 
 
 def bucket_counts(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:

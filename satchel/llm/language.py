@@ -53,13 +53,17 @@ class Space:
         """Distinct n-grams, 21 bits a letter, and how often each occurs."""
         if not text:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
-        found, counts = [], []
+        text, carry, found, counts = f" {text} ".lower(), np.empty(0, np.uint64), [], []
         for at in range(0, len(text), CHUNK):
-            # Chunks overlap by the letters an n-gram needs; a blank run at the border only shortens the overlap.
-            codes = self.codes(" " + text[max(at - self.gram + 1, 0) : at + CHUNK] + " ")
-            if len(codes) < self.gram or not (codes != 32).any():
-                continue
+            codes = self.codes(text[at : at + CHUNK])
+            if len(carry) and carry[-1] == 32 == codes[0]:
+                codes = codes[1:]
+            # what an n-gram over the border needs of the chunk before
+            codes = np.concatenate([carry, codes])
+            carry = codes[max(len(codes) - self.gram + 1, 0) :]
             n = len(codes) - self.gram + 1
+            if n < 1:
+                continue
             packed = np.zeros(n, dtype=np.uint64)
             for place in range(self.gram):
                 packed = packed << np.uint64(21) | codes[place : place + n]
