@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from satchel import schema
 from satchel.functions import columns
+from satchel.session import shared_folder
 
 
 def with_key(requests: DataFrame, key: str | Column) -> DataFrame:
@@ -44,30 +45,45 @@ def survivors(store: DataFrame, requests: DataFrame) -> DataFrame:
     return store.join(requests.select("key").filter(~columns.is_blank(F.col("key"))).distinct(), "key", "left_anti")
 
 
-def replay(log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, remove: str, span: str = "1 hour") -> DataFrame:
+def replay(
+    log: DataFrame, key: str, ts: str, id_col: str, op: str, put: str, remove: str, store: DataFrame | None = None
+) -> DataFrame:
     """The outcome of every remove in a log of puts and removes: ``id_col`` and ``route``.
 
-    A remove succeeds when the operation before it on the same key was a put.  The log of one key is cut into time
-    spans, so that a hot key is many groups: the operation before is looked up inside the span, and only the first
-    operation of a span needs the last one of the key's span before, carried over from one summary row per span.
+    A remove succeeds when the operation before it on the same key was a put; keys of ``store`` (``key``) are there before
+    the log begins.  The log is dealt out by ranges of key, time and id, so a key with a third of all operations lies in as
+    many partitions as its share; the operation before is looked up inside a partition, and only a key's first one in it
+    needs the last one of the key's partition before, carried over from one summary row per key and partition.  The
+    dealt log is written to the shared folder first: ranges that were drawn anew could differ.
+
     Removes without a key fail and take no part in that.
     """
-    blank = columns.is_blank(F.col(key).cast("string"))
+    spark, blank = log.sparkSession, columns.is_blank(F.col(key).cast("string"))
     failed = log.filter(blank & (F.col(op) == remove)).select(id_col, F.lit(schema.FAILURE).alias("route"))
     ops = log.filter(~blank & F.col(op).isin(put, remove)).select(
-        F.col(key).alias("_key"), F.col(ts).alias("_ts"), F.col(id_col), F.col(op).alias("_op"),
-        F.window(F.col(ts), span)["start"].alias("_span"),
+        F.col(key).alias("_key"), F.lit(False).alias("_begun"), F.col(ts).alias("_ts"), F.col(id_col), (F.col(op) == put).alias("_put")
     )
-    by_span = Window.partitionBy("_key", "_span").orderBy("_ts", id_col)
+    if store is not None:
+        kinds = {f.name: f.dataType for f in ops.schema.fields}
+        kept = store.filter(~columns.is_blank(F.col("key").cast("string"))).select(F.col("key").cast(kinds["_key"]).alias("_key")).distinct()
+        ops = ops.withColumn("_begun", F.lit(True)).unionByName(kept.select(
+            "_key", F.lit(False).alias("_begun"), F.lit(None).cast(kinds["_ts"]).alias("_ts"),
+            F.lit(None).cast(kinds[id_col]).alias(id_col), F.lit(True).alias("_put"),
+        ))
+    order = ["_key", "_begun", "_ts", id_col]
+    folder = shared_folder(spark, "replay")
+    ops.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).write.parquet(folder)
+    dealt = spark.read.parquet(folder)
+    by_part = Window.partitionBy("_key", "_part").orderBy(*order[1:])
     # both users of this shuffle the log alike, so it is exchanged once
-    placed = ops.withColumn("_before", F.lag("_op").over(by_span)).withColumn("_after", F.lead("_op").over(by_span))
+    placed = dealt.withColumn("_before", F.lag("_put").over(by_part)).withColumn("_after", F.lead("_put").over(by_part))
     carried = placed.filter(F.col("_after").isNull()).select(
-        "_key", "_span", F.lag("_op").over(Window.partitionBy("_key").orderBy("_span")).alias("_carried")
+        "_key", "_part", F.lag("_put").over(Window.partitionBy("_key").orderBy("_part")).alias("_carried")
     )
-    before = F.coalesce(F.col("_before"), F.col("_carried"))
+    before = F.coalesce(F.col("_before"), F.col("_carried"), F.lit(False))
     answered = (
-        placed.join(carried, ["_key", "_span"], "left")
-        .filter(F.col("_op") == remove)
-        .select(id_col, F.when(before == put, schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
+        placed.join(carried, ["_key", "_part"], "left")
+        .filter(~F.col("_put"))
+        .select(id_col, F.when(before, schema.SUCCESS).otherwise(schema.NOT_FOUND).alias("route"))
     )
     return answered.unionByName(failed)

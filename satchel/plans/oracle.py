@@ -337,6 +337,13 @@ ORACLE: dict[str, str] = {
         FROM (SELECT event_id, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before
               FROM events WHERE event_type IN ('signup', 'error'))
         WHERE event_type = 'error'""",
+    "keyed_delete_replay_store": """
+        SELECT event_id, CASE WHEN before = 'signup' OR (before IS NULL AND who IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0))
+                              THEN 'success' ELSE 'not-found' END AS route
+        FROM (SELECT event_id, who, event_type, lag(event_type) OVER (PARTITION BY who ORDER BY ts, event_id) AS before
+              FROM (SELECT *, CASE WHEN event_id % 3 = 0 THEN 0 ELSE user_id END AS who FROM events)
+              WHERE event_type IN ('signup', 'error'))
+        WHERE event_type = 'error'""",
     "parse_data_size": """
         SELECT doc_id, CASE WHEN doc_id % 11 = 0 THEN -1::BIGINT WHEN doc_id % 7 < 5
                             THEN (n_chars * pow(1024, doc_id % 7))::BIGINT END AS n_bytes

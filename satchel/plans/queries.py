@@ -455,7 +455,14 @@ def keyed_delete_expr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keyed_delete_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = samples.table(spark, sf_dir, "events")
-    return keyed.replay(events, "user_id", "ts", "event_id", "event_type", "signup", "error", span="1 day")
+    return keyed.replay(events, "user_id", "ts", "event_id", "event_type", "signup", "error")
+
+
+def keyed_delete_replay_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same log on a store that already holds every other customer; one customer makes a third of the operations."""
+    events = samples.table(spark, sf_dir, "events").withColumn("who", F.expr("if(event_id % 3 = 0, 0, user_id)"))
+    store = samples.table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("key"))
+    return keyed.replay(events, "who", "ts", "event_id", "event_type", "signup", "error", store=store)
 
 
 # options and the whole way
@@ -489,7 +496,7 @@ QUERIES: dict[str, Query] = {
         contains_recursive, contains_sub_error, contains_nonarchive, extract_html, extract_planted, extract_xml, extract_plain,
         extract_char_limit, extract_byte_limit, extract_byte_estimate, extract_both_limits, extract_limit_policy, extract_trim,
         extract_empty,
-        extract_error_routes, keyed_delete_route, keyed_delete_survivors, keyed_delete_expr, keyed_delete_replay,
+        extract_error_routes, keyed_delete_route, keyed_delete_survivors, keyed_delete_expr, keyed_delete_replay, keyed_delete_replay_store,
         parse_data_size, archive_text_report,
     )
 }

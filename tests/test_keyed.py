@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from satchel.operators import keyed
@@ -78,11 +79,36 @@ def random_log(n, hot=0.4, seed=5):
     ]
 
 
-def test_replay_with_a_hot_key(spark):
-    rows = random_log(2000)
-    for span in ("10 minutes", "1 hour", "30 days"):
-        got = keyed.replay(log_of(spark, rows), "k", "ts", "event_id", "op", "put", "del", span=span)
-        assert {r.event_id: r.route for r in got.collect()} == brute_force(rows)
+@pytest.mark.parametrize("hot", [0.4, 1.0])
+def test_replay_with_a_hot_key(spark, hot):
+    rows = random_log(2000, hot)
+    log = log_of(spark, rows).repartition(5)
+    got = keyed.replay(log, "k", "ts", "event_id", "op", "put", "del")
+    assert {r.event_id: r.route for r in got.collect()} == brute_force(rows)
+
+
+def test_replay_on_a_store(spark):
+    rows = random_log(500) + [(9000, None, "k1", "del"), (9001, None, "k2", "put"), (9002, None, "k2", "del")]
+    store = spark.createDataFrame([("hot",), ("k1",), ("k1",), (None,), (" ",), ("gone",)], "key string")
+    got = keyed.replay(log_of(spark, rows), "k", "ts", "event_id", "op", "put", "del", store=store)
+    early = dt.datetime(1, 1, 1)
+    known = [(i, ts or early, k, op) for i, ts, k, op in rows] + [(-1, dt.datetime.min, k, "put") for k in ("hot", "k1", "gone")]
+    assert {r.event_id: r.route for r in got.collect()} == brute_force(known)
+
+
+def test_a_hot_key_is_many_groups(spark, tmp_path, monkeypatch):
+    rows = random_log(3000, 0.6)
+    seen = []
+    monkeypatch.setattr(keyed, "shared_folder", lambda spark, label: seen.append(str(tmp_path / "log")) or seen[0])
+    # else so few rows are put together
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = keyed.replay(log_of(spark, rows).repartition(8), "k", "ts", "event_id", "op", "put", "del")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert {r.event_id: r.route for r in got.collect()} == brute_force(rows)
+    parts = spark.read.parquet(seen[0]).groupBy("_key", "_part").count().where("_key = 'hot'").collect()
+    assert len(parts) >= 2 and max(r["count"] for r in parts) < 1000
 
 
 def test_no_window_over_whole_keys_and_no_cross_join(spark):
