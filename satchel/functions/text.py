@@ -75,19 +75,24 @@ def decode(content: Column, markup: Column | None = None) -> Column:
     def by_validity(text: Column) -> Column:
         broken = F.length(F.regexp_replace(text, "[^\ufffd]+", ""))
         high = F.length(F.regexp_replace(text, "[\\x00-\\x7F]+", ""))
-        return F.when(F.is_valid_utf8(content.cast("string")) | (2 * broken <= high), text).otherwise(_western(content))
+        return F.when(2 * broken <= high, text).otherwise(_western(content))
+
+    def told(text: Column) -> Column:
+        western = F.lit(False)
+        if markup is not None:  # what is all ASCII is the same in either set
+            head = F.decode(F.substring(content, 1, 1024), "ISO-8859-1")
+            declared = F.lower(F.regexp_extract(head, _DECLARED, 1)).isin(*WESTERN)
+            western = markup & (F.octet_length(text) != F.char_length(text)) & ~text.startswith("\ufeff") & declared
+        return (
+            F.when(F.is_valid_utf8(text) & ~western, F.when(text.startswith("\ufeff"), F.substring(text, F.lit(2), F.length(text))).otherwise(text))
+            .when(mark == F.unhex(F.lit("FEFF")), _utf16(behind, True))
+            .when(mark == F.unhex(F.lit("FFFE")), _utf16(behind, False))
+            .when(F.substring(content, 1, 3) == F.unhex(F.lit("EFBBBF")), F.substring(F.make_valid_utf8(text), F.lit(2), F.length(text)))
+            .when(western, _western(content))
+            .otherwise(_with(F.make_valid_utf8(text), by_validity))
+        )
 
-    unmarked = _with(F.make_valid_utf8(content.cast("string")), by_validity)
-    if markup is not None:
-        head = F.decode(F.substring(content, 1, 1024), "ISO-8859-1")
-        declared = F.lower(F.regexp_extract(head, _DECLARED, 1)).isin(*WESTERN)
-        unmarked = F.when(markup & declared, _western(content)).otherwise(unmarked)
-    return (
-        F.when(mark == F.unhex(F.lit("FEFF")), _utf16(behind, True))
-        .when(mark == F.unhex(F.lit("FFFE")), _utf16(behind, False))
-        .when(F.substring(content, 1, 3) == F.unhex(F.lit("EFBBBF")), F.make_valid_utf8(F.substring(content, F.lit(4), F.length(content)).cast("string")))
-        .otherwise(unmarked)
-    )
+    return _with(content.cast("string"), told)
 
 
 def _character(code: Column) -> Column:
@@ -112,13 +117,24 @@ def _references(text: Column, names: dict[str, str]) -> Column:
             .otherwise(F.coalesce(name, piece))
         )
 
+    usual = [name for name in USUAL if name in names]
+    unusual = rf"&(?!(?:{'|'.join(usual)}|amp);)[#a-zA-Z]"
+
+    def replaced(t: Column) -> Column:
+        for name in usual:
+            t = F.replace(t, F.lit(f"&{name};"), F.lit(names[name]))
+        return F.replace(t, F.lit("&amp;"), F.lit("&"))  # the last, so that nothing is resolved twice
+
     def whole(t: Column) -> Column:
         pieces = F.regexp_extract_all(t, F.lit(_REFERENCE), F.lit(0))
-        return F.when(t.contains("&"), F.concat_ws("", F.transform(pieces, resolved))).otherwise(t)
+        each = F.concat_ws("", F.transform(pieces, resolved))
+        return F.when(~t.contains("&"), t).when(t.rlike(unusual), each).otherwise(replaced(t))
 
     return _with(text, whole)
 
 
+# names that whole texts are searched for at once; any other reference is looked up by itself
+USUAL = ("lt", "gt", "quot", "apos", "nbsp", "copy", "middot")
 XML_NAMES = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&"}
 # the published names, of which the blank that does not break is a blank here
 HTML_NAMES = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'", "nbsp": " "}
