@@ -70,6 +70,9 @@ def _text_case(latin: str) -> str:
     return f"WHEN {clean_bytes} AND ({utf8} OR {high} * 10 < length({latin})) THEN '{TEXT_PLAIN}'"
 
 
+HTML_START = r"<(?:!DOCTYPE\s+html|html|head|body|title|h1)[\s>]"
+
+
 def _markup_cases(latin: str) -> str:
     """HTML and XML by how the text begins, behind white space, comments and prolog of any length.
 
@@ -86,7 +89,7 @@ def _markup_cases(latin: str) -> str:
     xml = r"x.comments RLIKE r'(?i)^<\?xml\s'"
     return f"""get(transform(array(struct({behind_comments} AS comments, {behind_prolog} AS prolog)), x -> CASE
         WHEN {xml} AND {root('html')} THEN '{XHTML}'
-        WHEN x.comments RLIKE r'(?i)^<(?:!DOCTYPE\\s+html|html|head|body|title|h1)[\\s>]' THEN '{HTML}'
+        WHEN x.comments RLIKE r'(?i)^{HTML_START}' THEN '{HTML}'
         WHEN {root('svg')} THEN 'image/svg+xml'
         WHEN {root('rss')} THEN 'application/rss+xml'
         WHEN {root('feed')} THEN 'application/atom+xml'
@@ -104,7 +107,9 @@ def detect_sql(content: str, rules: Sequence[Rule] | None = None) -> str:
     if rules is None:
         markup = f"""get(transform(array(decode({content}, 'ISO-8859-1')), whole -> {_markup_cases("whole")}), 0)"""
         tagged = r"decode(head, 'ISO-8859-1') RLIKE r'^(?:\xEF\xBB\xBF)?\s*(?:<|\z)'"
-        by_text = f"coalesce(CASE WHEN {tagged} THEN {markup} END, {by_text})"
+        # most pages say it in their head, and need not be looked at whole
+        plainly = rf"decode(head, 'ISO-8859-1') RLIKE r'(?i)^(?:\xEF\xBB\xBF)?\s*{HTML_START}'"
+        by_text = f"coalesce(CASE WHEN {plainly} THEN '{HTML}' WHEN {tagged} THEN {markup} END, {by_text})"
     return f"""coalesce(get(transform(array(substring({content}, 1, {reach})), head ->
         CASE WHEN length(head) > 0 THEN coalesce({_magic_sql("head", content, table)}, {by_text}) END), 0), '{OCTET_STREAM}')"""
 
