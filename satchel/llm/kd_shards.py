@@ -1,20 +1,27 @@
 """Shards by a k-d tree over metadata.
 
 A node is split along the metadata dimension that is widest in it, at the weighted median of the rows' bytes, until each
-leaf holds the target bytes.  All nodes of a level are split together: rows are counted into bins of their node's range,
-the bin that the median falls into is cut into bins again, and so on until a single value is left.  Only narrow rows
-take part, and only sums over bins leave the tasks.
+leaf holds the target bytes.  The dimensions are the text's bytes and its characters, both on a logarithmic scale from
+the table's least to its largest, and source and language, each value at the share of all bytes that lies in smaller
+values.  So all have one scale, on which widths compare.  Where the median falls among rows of one value, checksums
+of the text and then of the id part them.
+
+All nodes of a level are split together: rows are counted into bins of their node's range, the bin that the median falls
+into is cut into bins again, and so on until a single value is left.  Only narrow rows take part, and only sums over
+bins leave the tasks.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from satchel.llm.ranks import numbered
+from satchel.llm.ranks import numbered, running
 from satchel.llm.scratch import keep
 
-DIMENSIONS = ("size", "text", "source", "lang")
+DIMENSIONS = ("size", "length", "source", "lang")
 CODE_BITS, TIE_BITS = 20, 42  # a key is a dimension's code, then the tie of equal codes
 BINS = 1024
 OVERHEAD = 8  # bytes of a row besides its text
@@ -24,26 +31,58 @@ def _hash_bits(bits: int, *columns: str | Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*columns), 64 - bits)
 
 
+def _on_scale(name: str, least: int, largest: int) -> Column:
+    """Where a number lies between the table's least and largest, by logarithms."""
+    low, span = math.log2(least + 1), math.log2(largest + 1) - math.log2(least + 1)
+    if not span:
+        return F.lit(0).cast("long")
+    at = F.floor((F.log2(F.col(name) + 1) - low) / span * ((1 << CODE_BITS) - 1))
+    return F.greatest(F.lit(0), F.least(F.lit((1 << CODE_BITS) - 1), at)).cast("long")
+
+
+def _value(docs: DataFrame, name: str) -> Column:
+    """A value as text; null comes before all values, and a column that is not there is null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(name).cast("string")), F.lit("")) if name in docs.columns else F.lit("")
+
+
+def positions(rows: DataFrame, names: tuple[str, ...], total: int) -> dict[str, DataFrame]:
+    """For each column: ``<name>, c_<name>``, its values with the share of the bytes in smaller ones."""
+    named = [F.struct(F.lit(n).alias("_dimension"), F.col(n).alias("_value")) for n in names]
+    values = rows.select("size", F.inline(F.array(*named))).groupBy("_dimension", "_value").agg(F.sum("size").alias("_bytes"))
+    placed = keep(running(values, ["_value"], ["_dimension"], F.col("_bytes"), "_before"), "positions")
+    code = F.floor(F.col("_before") / F.lit(float(max(total, 1))) * (1 << CODE_BITS)).cast("long")
+    return {
+        n: placed.where(F.col("_dimension") == n).select(F.col("_value").alias(n), code.alias(f"c_{n}")) for n in names
+    }
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id, size, text_crc32`` and a key for each dimension; equal texts are neighbours in each."""
-    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    has = set(docs.columns)
-    other = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) if c in has else F.lit("") for c in ("source", "lang")}
-    rows = docs.select(
-        "doc_id", (F.octet_length(text) + OVERHEAD).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
-        *(c.alias(name) for name, c in other.items()),
+    text = F.coalesce("text", F.lit(""))
+    octets = F.encode(text, "UTF-8")
+    rows = keep(
+        docs.select(
+            "doc_id", (F.octet_length(octets) + OVERHEAD).cast("long").alias("size"), F.length(text).alias("length"),
+            F.crc32(octets).alias("text_crc32"), *(_value(docs, n).alias(n) for n in ("source", "lang")),
+        ),
+        "metadata",
     )
+    ends = rows.agg(F.sum("size"), *(f(n) for n in ("size", "length") for f in (F.min, F.max))).first()
+    total, *spans = (x or 0 for x in ends)
+    placed = rows
+    for name, places in positions(rows, ("source", "lang"), total).items():
+        placed = placed.join(places, name)
     tie = F.shiftleft(_hash_bits(TIE_BITS // 2, "text_crc32", "size"), TIE_BITS // 2).bitwiseOR(
         _hash_bits(TIE_BITS // 2, "doc_id")
     )
     codes = {
-        "size": F.floor(F.log2("size") * (1 << 14)).cast("long"),
-        "text": F.shiftright("text_crc32", 32 - CODE_BITS),
-        "source": _hash_bits(CODE_BITS, "source"),
-        "lang": _hash_bits(CODE_BITS, "lang"),
+        "size": _on_scale("size", *spans[:2]),
+        "length": _on_scale("length", *spans[2:]),
+        "source": F.col("c_source"),
+        "lang": F.col("c_lang"),
     }
     keys = [F.shiftleft(codes[d], TIE_BITS).bitwiseOR(tie).alias(f"k_{d}") for d in DIMENSIONS]
-    return rows.select("doc_id", "size", "text_crc32", *keys)
+    return placed.select("doc_id", "size", "text_crc32", *keys)
 
 
 def _widest(rows: DataFrame) -> dict[int, tuple[int, int, int, int]]:
