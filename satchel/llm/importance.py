@@ -10,12 +10,13 @@ A document weighs as much as ``PER`` of its n-grams, so that its length does not
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from satchel.llm.ranks import numbered
 from satchel.llm.sampling import drawn, with_labels
@@ -132,8 +133,9 @@ def fit(docs: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -
     return Ratio(np.log(shares[1] / shares[0]))
 
 
-def weigh(docs: DataFrame, ratio: Ratio) -> DataFrame:
-    """``doc_id, log_weight, n_grams``; a text without words weighs ``NO_WORDS``."""
+def weigh(docs: DataFrame, ratio: Ratio, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id, log_weight, n_grams`` and the columns ``carry``; a text without words weighs ``NO_WORDS``."""
+    names = ["doc_id", *carry]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -142,12 +144,13 @@ def weigh(docs: DataFrame, ratio: Ratio) -> DataFrame:
         for batch in batches:
             texts = batch.column("text")
             found = [ratio.weigh(hasher, texts[i].as_py()) for i in range(len(batch))]
-            columns = [batch.column("doc_id"), pa.array([w for w, _ in found], pa.float64())]
+            columns = [*map(batch.column, names), pa.array([w for w, _ in found], pa.float64())]
             columns.append(pa.array([n for _, n in found], pa.int64()))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "log_weight", "n_grams"])
+            yield pa.RecordBatch.from_arrays(columns, [*names, "log_weight", "n_grams"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, log_weight double, n_grams long")
+    kinds = [docs.schema[n] for n in names]
+    out = T.StructType([*kinds, T.StructField("log_weight", T.DoubleType()), T.StructField("n_grams", T.LongType())])
+    return docs.select(*names, "text").mapInArrow(run, out)
 
 
 def expected_target(weighed: DataFrame) -> int:
@@ -181,8 +184,9 @@ def resample(
     seed: int = 5,
     ratio: Ratio | None = None,
     targets: int = TARGETS,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """``doc_id, log_weight, n_grams, draw, kept`` for each row of ``docs`` (``doc_id, text``).
+    """``doc_id, log_weight, n_grams, draw, kept`` for each row of ``docs`` (``doc_id, text``) and its columns ``carry``.
 
     ``labels`` (``doc_id, is_target``, one row for each id) says whose text is target text.  Unless ``ratio`` is given the
     model of raw text is made of all rows and that of target text of about ``targets`` labelled ones.  ``draw`` is the weight plus Gumbel noise from a hash of ``doc_id`` and ``seed``; the
@@ -190,14 +194,15 @@ def resample(
 
     Ties in ``draw`` go to the smaller ``doc_id``; repeated rows are drawn each.  A text without words (null, empty,
     only white space) has the weight ``NO_WORDS`` and comes last.  Without any target row all other weights are 0.  An
-    empty table gives an empty one; extra columns are left out.
+    empty table gives an empty one; other columns are left out.
     """
-    docs, labels = docs.select("doc_id", "text"), labels.select("doc_id", "is_target")
-    ratio = ratio or fit(with_labels(docs, labels.where("is_target"), targets, "left"))
+    labels = labels.select("doc_id", "is_target")
+    ratio = ratio or fit(with_labels(docs.select("doc_id", "text"), labels.where("is_target"), targets, "left"))
     weighed = keep(
-        weigh(docs, ratio).withColumn("draw", F.col("log_weight") - F.log(-F.log(drawn("doc_id", seed=seed)))), "weighed"
+        weigh(docs, ratio, carry).withColumn("draw", F.col("log_weight") - F.log(-F.log(drawn("doc_id", seed=seed)))), "weighed"
     )
     if keep_rows is None:
         keep_rows = expected_target(weighed.join(labels, "doc_id", "left"))
     ranked = numbered(weighed.withColumn("_low", -F.col("draw")), ["_low", "doc_id"], "_rank")
-    return ranked.select("doc_id", "log_weight", "n_grams", "draw", (F.col("_rank") < keep_rows).alias("kept"))
+    kept = (F.col("_rank") < keep_rows).alias("kept")
+    return ranked.select("doc_id", *carry, "log_weight", "n_grams", "draw", kept)
