@@ -1,7 +1,7 @@
 """Archives as a table: ``spark.read.format("archive").load(folder)``, one row per archive and one per file inside.
 
 The rows are those of ``operators.unpack`` before they are named and routed.  Archives are put together into partitions of
-about ``partBytes`` by their sizes, before any is opened.  Options:
+about ``partBytes`` by their sizes, or of less where that gives few partitions, before any is opened.  Options:
 
 * ``glob``: which archives, by their file names; ``recursive``, ``budget``, as for ``unpack``
 * ``emit``: ``all`` rows, ``parents`` or ``children``; with ``parents`` no file is held
@@ -29,6 +29,9 @@ from pyspark.sql.pandas.types import from_arrow_type
 from satchel.functions import archive_tasks, walker
 from satchel.functions.columns import size_option
 
+PARTS = 64
+LEAST_BYTES = 4 * 2**20
+
 
 class Chosen(NamedTuple):
     name: str
@@ -55,16 +58,16 @@ class ArchiveReader(DataSourceReader):
         filesystem, inner = fs.FileSystem.from_uri(archive_tasks.as_uri(self.folder))
         prefix = self.folder.rstrip("/").removesuffix(inner.rstrip("/"))
         listed = filesystem.get_file_info(fs.FileSelector(inner, recursive=True))
+        named = [x for x in listed if x.type == fs.FileType.File and not x.base_name.startswith(("_", "."))]
+        named = sorted((x for x in named if fnmatch.fnmatchcase(x.base_name, self.glob)), key=lambda x: x.path)
+        # what one partition of the wanted size could hold may still be work for many cores
+        room = min(self.part_bytes, max(sum(x.size for x in named) // PARTS, LEAST_BYTES))
         groups, held, size = [], [], 0
-        for info in sorted((x for x in listed if x.type == fs.FileType.File), key=lambda x: x.path):
-            path = prefix + info.path
-            hidden = info.base_name.startswith(("_", "."))
-            if hidden or not fnmatch.fnmatchcase(info.base_name, self.glob):
-                continue
-            if held and size + info.size > self.part_bytes:
+        for info in named:
+            if held and size + info.size > room:
                 groups.append(Archives(held))
                 held, size = [], 0
-            held.append(path)
+            held.append(prefix + info.path)
             size += info.size
         return [*groups, Archives(held)]
 
