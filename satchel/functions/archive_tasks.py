@@ -294,12 +294,18 @@ def as_uri(path: str) -> str:
 
 
 def remote_source(path: str) -> BinaryIO:
-    """A seekable file on whatever filesystem the path names, so an archive may be larger than a row can hold."""
+    """A seekable file on whatever filesystem the path names, so an archive may be larger than a row can hold.
+
+    One no larger than what is read ahead anyway is read at once.
+    """
     from pyarrow import fs
 
     filesystem, inner = fs.FileSystem.from_uri(as_uri(path))
     try:
         file = filesystem.open_input_file(inner)
+        if file.size() <= READ_AHEAD_BYTES:
+            with file:
+                return io.BytesIO(file.read())
     except FileNotFoundError:
         raise
     except OSError as exc:
@@ -344,18 +350,30 @@ def part_rows(source: BinaryIO, options: UnpackOptions, first: int, counted: int
 
 
 def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> Iterator[pa.RecordBatch]:
-    """The files of one part of the archive at ``_path``; the first part also gives the parent row."""
+    """The files of one part of the archive at ``_path``; the first part also gives the parent row.
+
+    Rows of parts that lie side by side are read in one walk, so many small parts do not open their archive each.
+    """
     for batch in batches:
         path, part, cut, to, good = (batch.column(c).to_pylist() for c in PART_COLUMNS)
+        kept = batch.drop_columns(PART_COLUMNS)
+
+        def goes_on(i: int) -> bool:
+            """Whether a part is the one behind the part in the row before, of the same row of the input."""
+            same = 0 < i < len(part) and part[i] == part[i - 1] + 1 and path[i] == path[i - 1]
+            return same and kept.slice(i, 1).equals(kept.slice(i - 1, 1))
 
         def produce(i: int) -> Iterator[tuple]:
             if part[i] == 0 and options.emit != "children":
                 yield (None,) * len(options.columns)
-            if good[i] and options.emit != "parents":
+            if good[i] and options.emit != "parents" and not goes_on(i):
+                last = i
+                while goes_on(last + 1):
+                    last += 1
                 with remote_source(path[i]) as source:
-                    yield from part_rows(source, options, *cut[i].values(), to[i])
+                    yield from part_rows(source, options, *cut[i].values(), to[last])
 
-        yield from bounded_batches(batch.drop_columns(PART_COLUMNS), produce, options.columns)
+        yield from bounded_batches(kept, produce, options.columns)
 
 
 def write_batches(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:

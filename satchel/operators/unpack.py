@@ -25,6 +25,8 @@ def _fields(kinds: dict) -> list[T.StructField]:
 
 _ADDED = archive_tasks.ENTRY_COLUMNS | archive_tasks.TALLY_COLUMNS
 TALLY_FIELDS = _fields(archive_tasks.TALLY_COLUMNS)
+TASKS_A_CORE = 16
+TOGETHER_BYTES = 2**24  # of an archive, whose parts go to one task
 
 
 def _options(
@@ -107,13 +109,16 @@ def unpack_large(
     which together read it once.  Inside a compressed tar, and with ``recursive``, there is no place to begin at: a part
     passes over the files before its own and ends with its last one.  The executors must reach the paths.
 
-    The parts are dealt out to ``tasks`` tasks, by default as many as the session shuffles into.  The number is given to
+    The parts are dealt out to ``tasks`` tasks, by default as many as the session shuffles into; parts of fewer than 16 MB
+    that lie side by side go to the same task, which reads them in one walk.  The number is given to
     Spark explicitly: the rows that name the parts are tiny, and runtime re-planning would merge them into one task.
     """
     tasks = tasks or int(archives.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     options = _options(recursive, budget, fail_on_breach, fail_on_sub_error, emit, with_data, chunk_bytes)
     carried = [c for c in archives.columns if c not in (path_col, "content") and c not in _ADDED]
-    staged = archives.select(*carried, F.col(path_col).alias("_path"))
+    # a folder of many small files comes as a task for every few of them
+    fewer = TASKS_A_CORE * archives.sparkSession.sparkContext.defaultParallelism
+    staged = archives.select(*carried, F.col(path_col).alias("_path")).coalesce(fewer)
     part_size = columns.size_option(part_bytes)
     tallied_schema = T.StructType(staged.schema.fields + TALLY_FIELDS + _fields(archive_tasks.KIND_COLUMNS))
     tallied = staged.mapInArrow(lambda batches: archive_tasks.tally_batches(batches, options, part_size), tallied_schema)
@@ -125,7 +130,8 @@ def unpack_large(
         computed.select("*", F.posexplode(cuts).alias("_part", "_cut"))
         .withColumn("_to", F.coalesce(F.get("_cuts", F.col("_part") + 1)["files"], "n_unpacked"))
         .drop("_cuts")
-        .repartition(tasks, "_path", "_part")
+        .repartition(tasks, "_path", F.expr(f"_cut.bytes div {max(part_size, TOGETHER_BYTES)}L"))
+        .sortWithinPartitions("_path", "_part")
     )
     out_fields = [f for f in split.schema.fields if f.name not in archive_tasks.PART_COLUMNS]
     rows = split.mapInArrow(
