@@ -1,13 +1,15 @@
 """Near copies: texts whose shingles of five words have a Jaccard similarity of at least 0.8.
 
-MinHash keys only propose: a text has ``BANDS`` keys of ``ROWS`` minima each, and two texts of a similarity of s share one
-with probability 1 - (1 - s^ROWS)^BANDS, 0.9999 at 0.8.  What keys connect is brought into one task, and there texts that
-share a key are linked if the exact similarity of their shingles is 0.8 or more; links that connect leave the task, never
+Keys only propose.  Golay keys of SimHash fingerprints, as in ``simhash``, connect all texts whose fingerprints differ in
+at most four bits.  At a similarity of 0.8 fingerprints differ in some ten bits, so MinHash keys propose what lies farther
+apart: a text has ``BANDS`` keys of ``ROWS`` minima each, and two texts of a similarity of s share one with probability
+1 - (1 - s^ROWS)^BANDS, 0.9999 at 0.8.  What keys connect is brought into one task, and there texts that share a key of
+either kind are linked if the exact similarity of their shingles is 0.8 or more; links that connect leave the task, never
 all pairs.  Texts with the same shingles, known by a hash of 64 bits over them, are one node, so copies cost nothing.
 
 A connected set of more than ``GROUP`` nodes is dealt out in chunks, each with the set's first node in it, which connects
-what is alike to that node or lies in one chunk.  What this leaves apart meets again by key: each key with nodes of
-more than one group is compared as a whole, so no link between groups is lost.
+what is alike to that node or lies in one chunk.  What this leaves apart meets again by key: each MinHash key with nodes
+of more than one group is compared as a whole, and so are the two nodes of each Golay link between groups.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from satchel.llm import simhash
 from satchel.llm.components import components
 from satchel.llm.scratch import keep
 from satchel.llm.simhash import LOWERED
@@ -82,8 +85,11 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def links_of(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """A spanning forest, by position, of the links between sets that share a key."""
+    """A spanning forest, by position, of the links between sets that share a MinHash or a Golay key."""
     own = [keys(x).tolist() for x in sets]
+    prints = np.array([simhash.majority(x) for x in sets], dtype=np.uint64)
+    for i, key in zip(*(x.tolist() for x in simhash.golay_keys(prints)), strict=True):
+        own[i].append(key)
     by_key: dict[int, list[int]] = {}
     for i, found in enumerate(own):
         for key in found:
@@ -111,13 +117,15 @@ def _sketch(batches: Iterator) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        texts, nodes, found = batch.column("text"), [], []
+        texts, nodes, prints, found = batch.column("text"), [], [], []
         for i in range(len(batch)):
             hashes = shingles(texts[i].as_py())
             nodes.append(node(hashes))
+            prints.append(simhash.majority(hashes) if len(hashes) else None)
             found.append(keys(hashes) if len(hashes) else [])
-        columns = [batch.column("doc_id"), batch.column("_row"), pa.array(nodes, pa.int64()), pa.array(found, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_row", "node", "keys"])
+        signed = pa.array(prints, pa.uint64()).view(pa.int64())
+        columns = [batch.column("doc_id"), batch.column("_row"), pa.array(nodes, pa.int64()), signed, pa.array(found, pa.list_(pa.int64()))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "_row", "node", "fp", "keys"])
 
 
 def _verify(batches: Iterator) -> Iterator:
@@ -170,15 +178,32 @@ def _chunked(members: DataFrame, large: DataFrame) -> DataFrame:
     return dealt.unionByName(first).select("node", number.alias("proposal"))
 
 
-def _apart(members: DataFrame, nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, proposal`` for every key that nodes of more than one group share; of keys with the same nodes one."""
+def _near(nodes: DataFrame) -> DataFrame:
+    """Links ``node, other`` that connect the ``nodes`` (``node, fp``) whose fingerprints differ in at most four bits.
+
+    They are found by Golay keys; of nodes with the same fingerprint the smallest stands for all.
+    """
+    prints = keep(nodes.where("fp IS NOT NULL").groupBy("fp").agg(F.min("node").alias("other")), "prints")
+    same = nodes.select("node", "fp").join(prints, "fp").where("node <> other").select("node", "other")
+    ends = [prints.select(F.col("fp").alias(end), F.col("other").alias(name)) for end, name in (("a", "node"), ("b", "other"))]
+    apart = simhash.near_links(prints.select("fp")).join(ends[0], "a").join(ends[1], "b").select("node", "other")
+    return keep(same.unionByName(apart), "golay")
+
+
+def _apart(members: DataFrame, nodes: DataFrame, links: DataFrame, near: DataFrame) -> DataFrame:
+    """``node, proposal`` for every key that nodes of more than one group share, of keys with the same nodes one, and for
+    every link of ``near`` between groups."""
     label = F.coalesce("component", "node").alias("label")
-    labelled = members.join(components(links), "node", "left").select("node", label)
+    labelled = keep(members.join(components(links), "node", "left").select("node", label), "labelled")
     keyed = keep(labelled.join(nodes, "node").select("node", "label", F.explode("keys").alias("key")), "keyed")
     told = [F.sum(h.cast("decimal(38,0)")) for h in (F.xxhash64("node"), F.xxhash64(F.lit(1), "node"))]
     by_key = keyed.groupBy("key").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.struct(F.count("*"), *told).alias("who"))
     mixed = by_key.where("a <> b").groupBy("who").agg(F.min("key").alias("key")).select("key")
-    return keyed.join(mixed, "key").select("node", F.col("key").alias("proposal"))
+    by_key = keyed.join(mixed, "key").select("node", F.col("key").alias("proposal"))
+    others = labelled.select(F.col("node").alias("other"), F.col("label").alias("other_label"))
+    between = near.join(labelled, "node").join(others, "other").where("label <> other_label")
+    ends = between.select(F.explode(F.array("node", "other")).alias("end"), F.xxhash64("node", "other").alias("proposal"))
+    return by_key.unionByName(ends.select(F.col("end").alias("node"), "proposal"))
 
 
 def without_near_copies(docs: DataFrame, group: int = GROUP) -> DataFrame:
@@ -192,12 +217,13 @@ def without_near_copies(docs: DataFrame, group: int = GROUP) -> DataFrame:
     rows = docs.select(_row().alias("_row"), F.struct(*docs.columns).alias("_document"))
     texts = docs.select(_row().alias("_row"), "text")
     drawn = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _row().alias("_row"), "text")
-    sketches = keep(drawn.mapInArrow(_sketch, "doc_id long, _row string, node long, keys array<long>"), "sketches")
+    sketches = keep(drawn.mapInArrow(_sketch, "doc_id long, _row string, node long, fp long, keys array<long>"), "sketches")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "_row")).alias("least")
-    nodes = keep(sketches.groupBy("node").agg(first, F.min("keys").alias("keys")), "nodes")
+    nodes = keep(sketches.groupBy("node").agg(first, F.min("keys").alias("keys"), F.min("fp").alias("fp")), "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.min("node").alias("other"), F.count("*").alias("n")).where("n > 1")
-    proposed = components(keyed.join(shared, "key").where("node <> other").select("node", "other"))
+    near = _near(nodes)
+    proposed = components(near.unionByName(keyed.join(shared, "key").where("node <> other").select("node", "other")))
     roots = proposed.select(F.col("component").alias("node"), "component").distinct()
     members = keep(proposed.unionByName(roots).withColumnRenamed("component", "proposal"), "members")
     sizes = members.groupBy("proposal").count().where(F.col("count") > group)
@@ -209,7 +235,7 @@ def without_near_copies(docs: DataFrame, group: int = GROUP) -> DataFrame:
     links = _verified(named(_chunked(members, large)), texts)
     if not large.isEmpty():
         of_large = members.join(large, F.col("proposal") == F.col("of"), "left_semi")
-        links = links.unionByName(_verified(named(_apart(of_large, nodes, links)), texts))
+        links = links.unionByName(_verified(named(_apart(of_large, nodes, links, near)), texts))
     groups = components(links)
     name = F.coalesce(F.col("component"), F.col("node")).alias("group")
     least = nodes.join(groups, "node", "left").groupBy(name).agg(F.min("least").alias("least"))

@@ -55,6 +55,15 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The fingerprint of distinct shingles, given by their XXH64."""
+    counts = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        some = hashes[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(some, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id, fp``: the fingerprint as a signed long.
 
