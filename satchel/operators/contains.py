@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from satchel import schema
 from satchel.functions import archive_tasks, columns, mime
+from satchel.session import bound_batches
 from satchel.sources import files
 
 
@@ -47,6 +48,7 @@ def contains_type(
     ``found`` is NULL, not false, where no search took place.
     """
     options = archive_tasks.SearchOptions(recursive, fail_on_sub_error, frozenset(types))
+    bound_batches(archives.sparkSession)
     typed = archives.withColumn("archive_mime", mime.clean(mime.detect(content)))
     openable = mime.is_archive_type(F.col("archive_mime"))
     carried = [c for c in typed.columns if c not in (content, "found_mime")]

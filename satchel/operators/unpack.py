@@ -17,6 +17,7 @@ from pyspark.sql.pandas.types import from_arrow_type
 
 from satchel import schema
 from satchel.functions import archive_tasks, columns, magic, mime
+from satchel.session import bound_batches
 
 
 def _fields(kinds: dict) -> list[T.StructField]:
@@ -70,9 +71,11 @@ def unpack(
 
     The columns of the input ride along on every row, so children inherit them, except the content of the archive and
     columns of a name this adds; the result can itself be unpacked again.
-    Only the bytes of files whose type can be opened reach the Python stage.
+    Only the bytes of files whose type can be opened reach the Python stage, and in a session without a limit for them no
+    more than 4 MB, or one row, at once.
     """
     options = _options(recursive, budget, fail_on_breach, fail_on_sub_error, emit, with_data, chunk_bytes)
+    bound_batches(archives.sparkSession)
     typed = archives.withColumn("archive_mime_type", mime.clean(mime.detect(content)))
     openable = mime.is_archive_type(F.col("archive_mime_type"))
     carried = [c for c in typed.columns if c != content and c not in _ADDED]

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from satchel.functions import archive_tasks, mime
 from satchel.functions.magic import Rule
+from satchel.session import bound_batches
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()),
@@ -58,6 +59,7 @@ def write_files(rows: DataFrame, folder: str) -> None:
 
     filesystem, inner = fs.FileSystem.from_uri(archive_tasks.as_uri(folder))
     filesystem.create_dir(inner)
+    bound_batches(rows.sparkSession)
     named = rows.select(F.substring_index("filename", "/", -1).alias("filename"), "content")
     written = named.mapInArrow(lambda batches: archive_tasks.write_batches(batches, folder), "filename string")
     written.write.format("noop").mode("overwrite").save()
