@@ -215,7 +215,7 @@ class SearchOptions(NamedTuple):
 
 def first_match(source: BinaryIO, options: SearchOptions) -> tuple[str | None, walker.WalkError | None]:
     """The type of the first file of one of the types, without its parameters; nothing is read behind that file, and of
-    each file before it only what its type takes.  An error counts only where no match came first."""
+    each file before it only what its type takes, or all of a small one in a zip.  An error counts only where no match came first."""
     def sub_failed(exc: walker.WalkError) -> None:
         if options.fail_on_sub_error:
             raise exc

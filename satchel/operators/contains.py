@@ -1,7 +1,8 @@
 """Does an archive hold a file of one of these types, and which type comes first?
 
 Narrow: the stage that reads the archives tells types as it reads, stops at the first match and hands over that type, so
-there is no join and no shuffle, and of each file before the match no more is read than its type takes.
+there is no join and no shuffle, and of each file before the match no more is read than its type takes, or all of a small
+one in a zip.
 """
 
 from __future__ import annotations
