@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from satchel.llm.ranks import PART, before
 from satchel.llm.scratch import new_path
 from satchel.llm.tokens import encoder
+from satchel.session import bound_batches
 
 BLOCK = 1024
 SHARE = 0.98  # of a block's ids must fit the packed width; the rest are outliers
@@ -40,6 +41,8 @@ def bits(values: np.ndarray, width: int) -> bytes:
     if not width or not len(values):
         return b""
     kind, size = _word(width)
+    if width == 8 * size:
+        return values.astype(kind).tobytes()
     planes = np.unpackbits(values.astype(kind).view(np.uint8).reshape(-1, size), axis=1, bitorder="little")
     return np.packbits(planes[:, :width], bitorder="little").tobytes()
 
@@ -49,6 +52,8 @@ def values(packed: np.ndarray, count: int, width: int) -> np.ndarray:
     if not width or not count:
         return np.zeros(count, dtype=np.uint32)
     kind, size = _word(width)
+    if width == 8 * size:
+        return packed[: count * size].view(kind).astype(np.uint32)
     planes = np.zeros((count, 8 * size), dtype=np.uint8)
     planes[:, :width] = np.unpackbits(packed, count=count * width, bitorder="little").reshape(count, width)
     return np.packbits(planes, axis=1, bitorder="little").view(kind).ravel().astype(np.uint32)
@@ -158,6 +163,7 @@ def write_tokens(
     A null text is an empty one: its only id is the end.  Rows with one ``doc_id`` are kept each, ordered by text, and a
     null ``doc_id`` comes first.  Extra columns are left out.  An empty table gives an empty folder of files.
     """
+    bound_batches(docs.sparkSession)
     settings = Settings(tokenizer, kind, end_id, block, share)
     rows = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(lambda batches: _segments(batches, settings), SEGMENTS).write.parquet(path)
@@ -167,7 +173,8 @@ def _documents(batches: Iterator, block: int, with_ids: bool) -> Iterator:
     import pyarrow as pa
 
     for batch in batches:
-        for row in batch.to_pylist():
+        for at in range(batch.num_rows):
+            row = batch.slice(at, 1).to_pylist()[0]  # a session with no or a high limit hands over many segments at once
             ids = decode(row["blob"], block=block)
             ends = np.cumsum(row["lengths"], dtype=np.int64)
             starts = ends - row["lengths"]
@@ -186,6 +193,7 @@ def read_tokens(spark: SparkSession, path: str, block: int = BLOCK, with_ids: bo
 
     ``ids`` are little-endian unsigned 32-bit integers, null without ``with_ids``.
     """
+    bound_batches(spark)
     files = spark.read.schema(SEGMENTS).parquet(path)
     length = F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x)
     sizes = files.select(F.col("part").alias(PART), "segment", length.alias("n"))
