@@ -6,11 +6,13 @@ import hashlib
 import io
 import sys
 import uuid
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 from itertools import islice
 from typing import BinaryIO, NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 
 from satchel.functions import magic, walker
@@ -376,21 +378,78 @@ def part_batches(batches: Iterable[pa.RecordBatch], options: UnpackOptions) -> I
         yield from bounded_batches(kept, produce, options.columns)
 
 
-def write_batches(batches: Iterable[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def subfolders(count: int) -> list[str]:
+    """Names of subfolders that files are dealt out to; with an equals sign, as readers of folders go into no others."""
+    return [f"hash={i:03x}" for i in range(count)]
+
+
+def write_batches(batches: Iterable[pa.RecordBatch], folder: str, folders: int = 0) -> Iterator[pa.RecordBatch]:
     """Writes ``content`` to ``filename`` in the folder; a task that runs again puts the same file in the same place."""
     from pyarrow import fs
 
     filesystem, inner = fs.FileSystem.from_uri(as_uri(folder))
+    places = [f"{inner}/{name}" for name in subfolders(folders)] or [inner]
     for batch in batches:
         names, content = batch.column("filename").to_pylist(), batch.column("content")
         for name, data in zip(names, content, strict=True):
-            unfinished = f"{inner}/.{uuid.uuid4().hex}"
+            place = places[zlib.crc32(str(name).encode()) % len(places)]
+            unfinished = f"{place}/.{uuid.uuid4().hex}"
             with filesystem.open_output_stream(unfinished) as out:
                 out.write(data.as_buffer() if data.is_valid else b"")
-            filesystem.move(unfinished, f"{inner}/{name}")
+            filesystem.move(unfinished, f"{place}/{name}")
         yield pa.RecordBatch.from_pydict({"filename": pa.array(names, pa.string())})
 
 
+def passed_over(name: str) -> bool:
+    """Whether Spark's readers take a file or folder of this name for none of the data."""
+    return name.startswith(".") or name.startswith("_") and "=" not in name or name.endswith("._COPYING_")
+
+
+def listing(filesystem, folder: str, whole: bool) -> Iterator[tuple]:
+    """Files and folders in a folder; with ``whole`` the files at any depth that lie in one named ``key=value``.
+
+    As for Spark's readers, files without a byte are none.
+    """
+    from pyarrow import fs
+
+    own = folder.rstrip("/")
+    for info in filesystem.get_file_info(fs.FileSelector(folder, recursive=whole)):
+        *between, name = info.path.removeprefix(f"{own}/").split("/")
+        if any(map(passed_over, (*between, name))):
+            continue
+        modified = info.mtime_ns and info.mtime_ns // 10**6
+        if info.type == fs.FileType.Directory:
+            if not whole:
+                yield info.path, modified, None
+        elif info.type == fs.FileType.File and info.size > 0:
+            if not whole or any("=" in x for x in (own.rpartition("/")[2], *between)):
+                yield info.path, modified, info.size
+
+
+def place_of(root: str) -> tuple:
+    """The filesystem of a folder, the folder's path there, and what paths there lack of those that Spark writes."""
+    from pyarrow import fs
+
+    filesystem, inner = fs.FileSystem.from_uri(as_uri(root))
+    return filesystem, inner, root.rstrip("/").removesuffix(inner.rstrip("/"))
+
+
+def list_batches(batches: Iterable[pa.RecordBatch], root: str, whole: bool) -> Iterator[pa.RecordBatch]:
+    """Rows of ``path, mtime_ms, length``, at ``root`` or below it: files as they are, and for each folder, which has no
+    length, its ``listing``."""
+    filesystem, _, prefix = place_of(root)
+    for batch in batches:
+        is_file = batch.column("length").is_valid()
+        yield batch.filter(is_file)
+        for path in batch.filter(pc.invert(is_file)).column("path").to_pylist():
+            found = listing(filesystem, path.removeprefix(prefix), whole)
+            while rows := list(islice(found, FLUSH_ROWS)):
+                paths, *rest = zip(*rows)
+                columns = [[prefix + x for x in paths], *rest]
+                arrays = [pa.array(values, kind) for values, kind in zip(columns, batch.schema.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+
+
 PART_COLUMNS = ["_path", "_part", "_cut", "_to", "_good"]
 
 # the reading code travels with the tasks, so executors need no installed copy of this package

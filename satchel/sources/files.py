@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,15 +26,50 @@ def _as_files(raw: DataFrame) -> DataFrame:
         F.substring_index("path", "/", -1).alias("filename"),
         F.col("path").alias("source_path"),
         F.col("modificationTime").alias("mtime"),
-        "length",
-        "content",
+        *[c for c in ("length", "content") if c in raw.columns],
     )
 
 
-def read_files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """Whole files as rows.  Filters on ``length`` and ``mtime`` reach the scan, and bytes are read only if used."""
+def read_files(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = True) -> DataFrame:
+    """Whole files as rows.  Filters on ``length`` and ``mtime`` reach the scan, and bytes are read only if used.
+
+    Spark's reader has the driver hold some 1 KB for each file.  Without ``with_content`` the rows are the same but for that
+    column, and tasks list the folder when the query runs, each subfolder by one, so the driver holds nothing of it.  What
+    Arrow cannot list, and a path with a pattern, is left to the driver all the same.
+    """
+    if not with_content and (root := _folder(spark, path)):
+        return _as_files(_listed(spark, root, glob))
     reader = spark.read.format("binaryFile")
-    return _as_files((reader.option("pathGlobFilter", glob) if glob else reader).load(path))
+    read = _as_files((reader.option("pathGlobFilter", glob) if glob else reader).load(path))
+    return read if with_content else read.drop("content")
+
+
+def _folder(spark: SparkSession, path: str) -> str | None:
+    """The path as Spark writes it, if it is a folder that Arrow reads too."""
+    from pyarrow import fs
+
+    if any(x in path for x in "{}[]*?\\"):
+        return None
+    named = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = named.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(named).toString()
+    try:
+        filesystem, inner, prefix = archive_tasks.place_of(root)
+        is_folder = filesystem.get_file_info(inner).type == fs.FileType.Directory
+    except (OSError, ValueError, NotImplementedError):
+        return None
+    return root if is_folder and prefix + inner == root else None
+
+
+def _listed(spark: SparkSession, root: str, glob: str | None) -> DataFrame:
+    """Two passes, dealt out anew behind each: one over the folder itself, one over its subfolders."""
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(0, 1, 1, 1).select(F.lit(root).alias("path"), *[F.lit(None).cast("long").alias(c) for c in ("mtime_ms", "length")])
+    for whole in (False, True):
+        rows = rows.mapInArrow(partial(archive_tasks.list_batches, root=root, whole=whole), rows.schema).repartition(tasks, "path")
+    if glob:
+        pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern()
+        rows = rows.filter(F.substring_index("path", "/", -1).rlike(rf"^(?s:{pattern})\z"))
+    return rows.select("path", F.timestamp_millis("mtime_ms").alias("modificationTime"), "length")
 
 
 def stream_files(spark: SparkSession, path: str, glob: str | None = None, files_per_trigger: int = 1000) -> DataFrame:
@@ -50,18 +87,19 @@ def _is_text(table: DataFrame, content: Column) -> bool:
     return isinstance(table.select(content).schema.fields[0].dataType, T.StringType)
 
 
-def write_files(rows: DataFrame, folder: str) -> None:
+def write_files(rows: DataFrame, folder: str, folders: int = 0) -> None:
     """Every row's ``content`` as a file of its ``filename`` in ``folder``, which the executors must reach; null is empty.
 
-    Names say no more than their last part; of several rows with one name the last one written stays.
+    Names say no more than their last part; of several rows with one name the last one written stays.  With ``folders``
+    files lie in that many subfolders by a hash of their names, so no folder grows long and many tasks can list them.
     """
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(archive_tasks.as_uri(folder))
+    filesystem, inner, _ = archive_tasks.place_of(folder)
     filesystem.create_dir(inner)
+    for name in archive_tasks.subfolders(folders):
+        filesystem.create_dir(f"{inner}/{name}")
     bound_batches(rows.sparkSession)
     named = rows.select(F.substring_index("filename", "/", -1).alias("filename"), "content")
-    written = named.mapInArrow(lambda batches: archive_tasks.write_batches(batches, folder), "filename string")
+    written = named.mapInArrow(lambda batches: archive_tasks.write_batches(batches, folder, folders), "filename string")
     written.write.format("noop").mode("overwrite").save()
 
 
