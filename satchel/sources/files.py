@@ -33,7 +33,7 @@ def _as_files(raw: DataFrame) -> DataFrame:
 def read_files(spark: SparkSession, path: str, glob: str | None = None, with_content: bool = True) -> DataFrame:
     """Whole files as rows.  Filters on ``length`` and ``mtime`` reach the scan, and bytes are read only if used.
 
-    Spark's reader has the driver hold some 1 KB for each file.  Without ``with_content`` the rows are the same but for that
+    Spark's reader has the driver hold some 0.8 KB for each file.  Without ``with_content`` the rows are the same but for that
     column, and tasks list the folder when the query runs, each subfolder by one, so the driver holds nothing of it.  What
     Arrow cannot list, and a path with a pattern, is left to the driver all the same.
     """
